@@ -29,11 +29,13 @@ def write_partitioned(
 ) -> None:
     """Parquet folders per partition value; overwriting replaces only those written.
 
-    Rows are not shuffled by partition value, as one month or day may hold most
-    of the data: each task writes its own files, split by record count.
+    Rows are rebalanced by partition value: values holding many rows are split
+    over several tasks, small ones share a task, so one month with most of the
+    data neither lands in a single task nor scatters into tiny files.
     ``cluster`` orders rows within a file so row groups can be skipped.
     """
     partition, cluster = list(partition), list(cluster)
+    df = df.hint("rebalance", *partition)
     if cluster:
         df = df.sortWithinPartitions(*partition, *cluster)
     writer = (
@@ -82,7 +84,8 @@ def create_analytics_table(
 
 def append_analytics(df: DataFrame, table: str, schema: T.StructType = ANALYTICS_TRIP) -> None:
     """Append conformed trips, clustered within each day's files."""
-    conformed = conform(df, schema).sortWithinPartitions("pickup_date", *ANALYTICS_CLUSTER)
+    balanced = conform(df, schema).hint("rebalance", "pickup_date")
+    conformed = balanced.sortWithinPartitions("pickup_date", *ANALYTICS_CLUSTER)
     names = [n for n in schema.fieldNames() if n != "pickup_date"] + ["pickup_date"]
     conformed.select(*names).write.mode("append").format("parquet").partitionBy("pickup_date").saveAsTable(table)
 
@@ -108,10 +111,10 @@ def write_hash_distributed(
 ) -> None:
     """Table bucketed by ``key``, so joins and aggregates on it need no shuffle.
 
-    Rows are not repartitioned by the key first: a key holding most rows would
-    land in one task. Each task writes its share of every bucket instead.
+    Rows are rebalanced by the key first, which splits a key holding most rows
+    over several tasks instead of leaving it to one.
     """
-    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key)
+    writer = df.hint("rebalance", key).write.mode("overwrite").format("parquet").bucketBy(buckets, key)
     ordering = list(sort)
     if ordering:
         writer = writer.sortBy(*ordering)
