@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` hinted for broadcast when it has at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether a lookup has at most ``max_rows`` rows.
 
-    The check counts up to ``max_rows + 1`` rows of the lookup, never of the
-    large side. Larger lookups are left to a shuffle join, whose skewed keys
-    the adaptive planner splits.
+    Counts up to ``max_rows + 1`` rows of the lookup, never of the large side.
+    Larger lookups belong in a shuffle join, whose skewed keys the adaptive
+    planner splits.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return df.limit(max_rows + 1).count() <= max_rows

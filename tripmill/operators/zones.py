@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions import features
 from tripmill.functions.profiles import V4, Profile
-from tripmill.operators.sizing import broadcast_if_small
+from tripmill.operators.sizing import fits_broadcast
 
 SIDES = (("pu_location_id", "pickup"), ("do_location_id", "dropoff"))
 
@@ -22,11 +22,10 @@ def _named(zones: DataFrame, key: str, prefix: str) -> DataFrame:
 
 def zone_enrich(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Borough and zone of both trip ends; trips with an unknown end are dropped."""
-    lookup = broadcast_if_small(zones)
-    hinted = lookup is not zones
+    small = fits_broadcast(zones)
     for key, prefix in SIDES:
         named = _named(zones, key, prefix)
-        trips = trips.join(F.broadcast(named) if hinted else named, key)
+        trips = trips.join(F.broadcast(named) if small else named, key)
     return trips
 
 
