@@ -14,6 +14,11 @@ METRICS = ("total_amount", "trip_distance", "trip_duration_minutes", "speed_mph"
 FENCE = 1.5
 
 
+def with_fences(quartiles: DataFrame) -> DataFrame:
+    reach = FENCE * (F.col("q3") - F.col("q1"))
+    return quartiles.withColumns({"lower_bound": F.col("q1") - reach, "upper_bound": F.col("q3") + reach})
+
+
 def iqr_fences(
     df: DataFrame,
     metrics: Sequence[str] = METRICS,
@@ -23,10 +28,7 @@ def iqr_fences(
 ) -> DataFrame:
     """Rows (by..., metric, q1, q3, lower_bound, upper_bound)."""
     found = quantiles(df, metrics, [0.25, 0.75], by, approx, few_groups)
-    reach = FENCE * (F.col("q3") - F.col("q1"))
-    return spread(found, {0.25: "q1", 0.75: "q3"}, by).withColumns(
-        {"lower_bound": F.col("q1") - reach, "upper_bound": F.col("q3") + reach}
-    )
+    return with_fences(spread(found, {0.25: "q1", 0.75: "q3"}, by))
 
 
 def iqr_outliers(

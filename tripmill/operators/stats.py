@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.functions.pvalues import t_pvalue
-from tripmill.operators.outliers import iqr_fences
+from tripmill.operators.outliers import with_fences
 from tripmill.operators.quantiles import long_form, quantiles, spread
 
 # Columns of the standard statistics.
@@ -94,11 +94,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORE_METRICS) ->
     value = [F.col(c).cast("double") for c in columns]
     aggregates = []
     for i, j in pairs:
-        both = value[i].isNotNull() & value[j].isNotNull()
-        varied = (F.min(F.when(both, value[i])) < F.max(F.when(both, value[i]))) & (
-            F.min(F.when(both, value[j])) < F.max(F.when(both, value[j]))
-        )
-        aggregates.append(F.when(varied, F.corr(value[i], value[j])).alias(f"r{i}_{j}"))
+        r = F.corr(value[i], value[j])
+        aggregates.append(F.when(~F.isnan(r), r).alias(f"r{i}_{j}"))
     for i in range(len(columns)):
         aggregates.append(F.when(F.min(value[i]) < F.max(value[i]), F.lit(1.0)).alias(f"r{i}_{i}"))
 
@@ -166,16 +163,15 @@ def five_number_summary(
     Whiskers are the furthest values still inside 1.5 interquartile ranges.
     """
     by = list(by)
-    fences = iqr_fences(df, [value], by, approx, few_groups)
-    medians = spread(quantiles(df, [value], [0.5], by, approx, few_groups), {0.5: "median"}, by)
+    found = quantiles(df, [value], [0.25, 0.5, 0.75], by, approx, few_groups)
+    boxes = with_fences(spread(found, {0.25: "q1", 0.5: "median", 0.75: "q3"}, by))
     if few_groups:
-        fences, medians = F.broadcast(fences), F.broadcast(medians)
+        boxes = F.broadcast(boxes)
     rows = long_form(df, [value], by)
-    on = _same_group(rows, fences, by)
     inside = F.col("value").between(F.col("lower_bound"), F.col("upper_bound"))
     boxed = (
-        rows.join(fences, on)
-        .groupBy(*[rows[k] for k in by], fences["q1"], fences["q3"])
+        rows.join(boxes, _same_group(rows, boxes, by))
+        .groupBy(*[rows[k] for k in by], "q1", "median", "q3")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min("value").alias("minimum"),
@@ -185,10 +181,8 @@ def five_number_summary(
             F.count_if(~inside).alias("outliers"),
         )
     )
-    joined = boxed.join(medians, _same_group(boxed, medians, by))
-    return joined.select(
-        *[boxed[k] for k in by],
-        "n", "minimum", "lower_whisker", "q1", "median", "q3", "upper_whisker", "maximum", "outliers",
+    return boxed.select(
+        *by, "n", "minimum", "lower_whisker", "q1", "median", "q3", "upper_whisker", "maximum", "outliers"
     )
 
 
@@ -216,11 +210,8 @@ def histogram_bins(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
         .groupBy(_bin(value, low, high, bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    width = (F.col("bounds.high") - F.col("bounds.low")) / bins
-    edges = bounds.where(F.col("bounds.low").isNotNull()).select(
-        F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"),
-        F.col("bounds.low").alias("_low"),
-        width.alias("_width"),
+    edges = df.sparkSession.range(1, bins + 1).select(
+        F.col("id").cast("int").alias("bin"), low.alias("_low"), ((high - low) / bins).alias("_width")
     )
     return edges.join(F.broadcast(counted), "bin", "left").select(
         "bin",
