@@ -14,6 +14,15 @@ def as_column(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def stable_round(value: ColumnOrName, digits: int) -> Column:
+    """Round an aggregate half up, whatever order its rows were added in.
+
+    The last bits of a distributed sum vary from run to run; dropping them
+    first keeps a value at a rounding boundary on the same side.
+    """
+    return F.round(F.round(as_column(value), 9), digits)
+
+
 def bin_cut(value: ColumnOrName, bands: Iterable[tuple[float, str]], floor: float | None = None) -> Column:
     """Right-closed bins: the first band whose upper edge is not below ``value``.
 

@@ -30,6 +30,15 @@ def long_form(df: DataFrame, columns: Sequence[str], keep: Iterable[str] = ()) -
     return rows.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def linked(lookup: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``lookup`` with its keys renamed and the null-safe condition joining it on them."""
+    renamed = lookup.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return renamed, condition
+
+
 def _bracketed(rows: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
     """Per key and wanted percentile: row count and a value range holding its rank."""
     low = [max(0.0, p - SLACK) for p in probs]
@@ -74,19 +83,14 @@ def exact_quantiles(
     by = list(by)
     keys = [*by, "metric"]
     rows = long_form(df, columns, by)
-    brackets = _bracketed(rows, keys, probs)
+    brackets, condition = linked(_bracketed(rows, keys, probs), keys)
     if few_groups or not by:
         brackets = F.broadcast(brackets)
-
-    same = [rows[k].eqNullSafe(brackets[k]) for k in by] + [rows["metric"] == brackets["metric"]]
-    condition = same[0]
-    for clause in same[1:]:
-        condition = condition & clause
     side = F.when(F.col("value") < F.col("_lo"), -1).when(F.col("value") > F.col("_hi"), BUCKETS).otherwise(0)
     target = [*keys, "p", "_n", "_lo", "_hi"]
     points = (
         rows.join(brackets, condition)
-        .select(*[rows[k] for k in keys], "p", "_n", "_lo", "_hi", side.alias("_side"), "value")
+        .select(*keys, "p", "_n", "_lo", "_hi", side.alias("_side"), "value")
         .groupBy(*target, "_side", F.when(F.col("_side") == 0, F.col("value")).alias("_point"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
@@ -107,17 +111,14 @@ def exact_quantiles(
         )
         .select(*keys, "p", "_bucket", "_start")
     )
+    link = [*keys, "p", "_bucket"]
+    chosen, at = linked(chosen, link)
     if few_groups or not by:
         chosen = F.broadcast(chosen)
-    link = [*keys, "p", "_bucket"]
-    at = points["p"] == chosen["p"]
-    at = at & (points["metric"] == chosen["metric"]) & (points["_bucket"] == chosen["_bucket"])
-    for k in by:
-        at = at & points[k].eqNullSafe(chosen[k])
     within = Window.partitionBy(*link).orderBy("_point")
     ranked = (
         points.join(chosen, at)
-        .select(*[points[k] for k in link], "_n", "_point", "_c", "_start")
+        .select(*link, "_n", "_point", "_c", "_start")
         .withColumn("_from", F.col("_start") + F.sum("_c").over(within) - F.col("_c"))
     )
     picked = ranked.groupBy(*keys, "p", "_n").agg(

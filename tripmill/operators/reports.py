@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.columns import label_rank
+from tripmill.functions.columns import label_rank, stable_round
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,7 @@ class Measure:
         if self.where:
             value = F.when(F.col(self.where[0]) == F.lit(self.where[1]), value).otherwise(F.lit(0.0))
         made = {"avg": F.avg, "sum": F.sum, "std": F.stddev_samp, "min": F.min, "max": F.max}[self.kind](value)
-        return made if digits is None else F.round(made, digits)
+        return made if digits is None else stable_round(made, digits)
 
 
 COUNT = Measure("count")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tripmill.functions.pvalues import t_pvalue
 from tripmill.operators.outliers import with_fences
-from tripmill.operators.quantiles import long_form, quantiles, spread
+from tripmill.operators.quantiles import linked, long_form, quantiles, spread
 
 # Columns of the standard statistics.
 CORE_METRICS = ("total_amount", "trip_distance", "trip_duration_minutes", "tip_percentage", "speed_mph")
@@ -164,14 +164,15 @@ def five_number_summary(
     """
     by = list(by)
     found = quantiles(df, [value], [0.25, 0.5, 0.75], by, approx, few_groups)
-    boxes = with_fences(spread(found, {0.25: "q1", 0.5: "median", 0.75: "q3"}, by))
+    boxes, same_group = linked(with_fences(spread(found, {0.25: "q1", 0.5: "median", 0.75: "q3"}, by)), by)
+    boxes = boxes.drop("metric")
     if few_groups:
         boxes = F.broadcast(boxes)
     rows = long_form(df, [value], by)
     inside = F.col("value").between(F.col("lower_bound"), F.col("upper_bound"))
     boxed = (
-        rows.join(boxes, _same_group(rows, boxes, by))
-        .groupBy(*[rows[k] for k in by], "q1", "median", "q3")
+        rows.join(boxes, same_group)
+        .groupBy(*by, "q1", "median", "q3")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min("value").alias("minimum"),
@@ -186,13 +187,6 @@ def five_number_summary(
     )
 
 
-def _same_group(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Column:
-    condition = left[by[0]].eqNullSafe(right[by[0]])
-    for key in by[1:]:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
     """1-based equal-width bin; the maximum falls into the last one."""
     share = F.try_divide(F.lit(bins) * (value - low), high - low)
@@ -224,7 +218,7 @@ def histogram_bins(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 def density(
     df: DataFrame,
     value: str,
-    by: Sequence[str] = (),
+    by: Sequence[str],
     bins: int = 128,
     points: int = 64,
     few_groups: bool = False,
@@ -241,14 +235,13 @@ def density(
         F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count(F.lit(1)).alias("_n"),
         F.stddev_samp("_v").alias("_std"),
     ).where(F.col("_high") > F.col("_low"))
-    if few_groups or not by:
+    shape, same_group = linked(shape, by)
+    if few_groups:
         shape = F.broadcast(shape)
-    on = _same_group(rows, shape, by) if by else F.lit(True)
-    group = [rows[k] for k in by]
     shape_columns = ["_low", "_high", "_n", "_std"]
     counted = (
-        rows.join(shape, on)
-        .groupBy(*group, *shape_columns, _bin(F.col("_v"), F.col("_low"), F.col("_high"), bins).alias("_bin"))
+        rows.join(shape, same_group)
+        .groupBy(*by, *shape_columns, _bin(F.col("_v"), F.col("_low"), F.col("_high"), bins).alias("_bin"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     span = F.col("_high") - F.col("_low")

@@ -45,10 +45,10 @@ def monthly_metrics(
     """
     if first and last:
         df = month_span(df, first, last)
-    averages = [F.round(F.avg(source), 2).alias(name) for name, source in MONTHLY_AVERAGES.items()]
+    averages = [C.stable_round(F.avg(source), 2).alias(name) for name, source in MONTHLY_AVERAGES.items()]
     table = (
         df.groupBy(*by, C.month_start("pickup_year", "pickup_month").alias("month"))
-        .agg(F.count(F.lit(1)).alias("total_trips"), F.round(F.sum("total_amount"), 2).alias("total_revenue"), *averages)
+        .agg(F.count(F.lit(1)).alias("total_trips"), C.stable_round(F.sum("total_amount"), 2).alias("total_revenue"), *averages)
     )
     if not fill_missing:
         return table

@@ -309,8 +309,8 @@ def summary_report(df: DataFrame, approx: bool = False) -> DataFrame:
     if approx:
         return df.agg(
             F.count(F.lit(1)).alias("total_trips"),
-            F.round(F.sum("total_amount"), 2).alias("total_revenue"),
-            *[F.round(F.avg(source), 2).alias(name) for name, source in averages.items()],
+            C.stable_round(F.sum("total_amount"), 2).alias("total_revenue"),
+            *[C.stable_round(F.avg(source), 2).alias(name) for name, source in averages.items()],
             *[F.approx_count_distinct(source).alias(name) for name, source in uniques.items()],
         )
     pairs = df.groupBy(*places).agg(
@@ -320,11 +320,11 @@ def summary_report(df: DataFrame, approx: bool = False) -> DataFrame:
     )
 
     def mean(column: str):
-        return F.round(F.try_divide(F.sum(f"_sum_{column}"), F.sum(f"_count_{column}")), 2)
+        return C.stable_round(F.try_divide(F.sum(f"_sum_{column}"), F.sum(f"_count_{column}")), 2)
 
     return pairs.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_trips"),
-        F.round(F.sum("_sum_total_amount"), 2).alias("total_revenue"),
+        C.stable_round(F.sum("_sum_total_amount"), 2).alias("total_revenue"),
         *[mean(source).alias(name) for name, source in averages.items()],
         *[F.count_distinct(source).alias(name) for name, source in uniques.items()],
     )

@@ -162,7 +162,7 @@ def process_v4(
     lookup = files.scan_zones(spark, zone_path)
     derived = derive_v4(files.scan_raw_trips(spark, input_path), lookup)
     path = f"{out}/processed/{year}/{month:02d}/trips"
-    writers.write_partitioned(derived, path)
+    writers.write_partitioned(derived, path, replace="all")
     stored = spark.read.parquet(path)
     statistics = trip_statistics(stored)
     writers.write_frames(statistics, f"{out}/statistics/{year}/{month:02d}")

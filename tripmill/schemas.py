@@ -5,9 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    """StructType from ``name type`` pairs separated by commas."""
-    return T.StructType.fromDDL(text)
+    """StructType from ``name type`` pairs separated by commas; needs no session."""
+    pairs = (part.split() for part in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Field names and types of the published record layouts.

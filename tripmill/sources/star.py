@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the mapping.
 SECONDS_PER_DAY = 86_400
@@ -15,8 +16,15 @@ LOCATIONS = 97
 LAST_ZONE = 90
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table; its schema is read from a footer once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,9 +25,13 @@ def write_partitioned(
     partition: Iterable[str] = MONTH_PARTITION,
     cluster: Iterable[str] = (),
     mode: str = "overwrite",
+    replace: str = "partitions",
     max_records_per_file: int = 20_000_000,
 ) -> None:
-    """Parquet folders per partition value; overwriting replaces only those written.
+    """Parquet folders per partition value.
+
+    Overwriting replaces the partitions written, or with ``replace="all"``
+    everything stored at ``path``.
 
     Rows are rebalanced by partition value: values holding many rows are split
     over several tasks, small ones share a task, so one month with most of the
@@ -42,13 +46,13 @@ def write_partitioned(
         df.write.mode(mode).partitionBy(*partition).option("maxRecordsPerFile", max_records_per_file)
     )
     if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = writer.option("partitionOverwriteMode", "static" if replace == "all" else "dynamic")
     writer.parquet(path)
 
 
 def write_trips_by_day(df: DataFrame, path: str) -> None:
-    """Trips by pickup day, ordered by hour and payment description."""
-    write_partitioned(df, path, DAY_PARTITION, DAY_CLUSTER)
+    """Replace a trip table stored by pickup day, ordered by hour and payment description."""
+    write_partitioned(df, path, DAY_PARTITION, DAY_CLUSTER, replace="all")
 
 
 def write_frames(frames: Mapping[str, DataFrame], root: str) -> list[str]:

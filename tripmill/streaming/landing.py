@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,12 +12,46 @@ from pyspark.sql.streaming import StreamingQuery
 from tripmill.plans.processing import derive_v1
 from tripmill.sources.writers import MONTH_PARTITION, write_partitioned
 
+DELIVERY_PARTITION = ("file_year", "file_month")
+_MONTH_IN_NAME = r"(\d{4})-(\d{2})[^/]*$"
+
+Derive = Callable[[DataFrame], DataFrame]
+
 
 def stream_files(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """Newly arrived Parquet files with the delivery each row came from."""
-    source = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
+    """Newly arrived Parquet files below ``folder``."""
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
+
+
+def stream_land_files(
+    spark: SparkSession, folder: str, schema: T.StructType, out: str, checkpoint: str, derive: Derive = derive_v1
+) -> StreamingQuery:
+    """Clean and derive every file not seen yet, append by pickup month, then stop.
+
+    The file sink's log keeps a restarted run from storing a file twice.
+    """
+    return (
+        derive(stream_files(spark, folder, schema))
+        .writeStream.format("parquet")
+        .partitionBy(*MONTH_PARTITION)
+        .option("path", out)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _part_of_name(group: int) -> Column:
+    return F.regexp_extract(F.col("_metadata.file_path"), _MONTH_IN_NAME, group).try_cast("int")
+
+
+def with_delivery(source: DataFrame) -> DataFrame:
+    """Rows with the month named by their file and the file's time and path."""
     return source.select(
         "*",
+        _part_of_name(1).alias("file_year"),
+        _part_of_name(2).alias("file_month"),
         F.struct(
             F.col("_metadata.file_modification_time").alias("delivered"), F.col("_metadata.file_path").alias("file")
         ).alias("delivery"),
@@ -25,36 +59,34 @@ def stream_files(spark: SparkSession, folder: str, schema: T.StructType) -> Data
 
 
 def latest_delivery(batch: DataFrame) -> DataFrame:
-    """Rows of the last delivered file of each pickup month.
+    """Rows of the last delivered file of each file month.
 
-    Deliveries are compared per file, one row each; trips are not sorted.
+    Deliveries are compared one row per file; trips are not sorted.
     """
-    month = list(MONTH_PARTITION)
+    month = list(DELIVERY_PARTITION)
     per_file = batch.groupBy(*month, "delivery").agg(F.count(F.lit(1)).alias("_rows"))
     newest = Window.partitionBy(*month).orderBy(F.desc("delivery"))
     chosen = per_file.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
-    return batch.join(chosen.select(*month, "delivery"), [*month, "delivery"], "left_semi")
+    return batch.join(chosen.select("delivery"), "delivery", "left_semi")
 
 
-def replace_months(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer: a month delivered again replaces what was stored for it.
+def stream_replace_months(
+    spark: SparkSession, folder: str, schema: T.StructType, out: str, checkpoint: str, derive: Derive = derive_v1
+) -> StreamingQuery:
+    """Like :func:`stream_land_files`, but a month delivered again replaces the
+    rows stored for it.
 
-    Overwriting whole months makes a repeated batch harmless.
+    The month is the one in the file name: a January file may hold a few
+    December trips, and they must not replace December. A batch overwrites
+    whole months, so repeating it is harmless.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_partitioned(latest_delivery(batch).drop("delivery"), path, MONTH_PARTITION)
-
-    return write
-
+        write_partitioned(latest_delivery(batch).drop("delivery"), out, DELIVERY_PARTITION)
 
-def stream_land_files(
-    spark: SparkSession, folder: str, schema: T.StructType, out: str, checkpoint: str, derive=derive_v1
-) -> StreamingQuery:
-    """Clean and derive every file not seen yet, store by month, then stop."""
-    derived = derive(stream_files(spark, folder, schema))
     return (
-        derived.writeStream.foreachBatch(replace_months(out))
+        derive(with_delivery(stream_files(spark, folder, schema)))
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
