@@ -46,7 +46,7 @@ timed1 AS (
     CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month,
     CAST(year(tpep_pickup_datetime) AS INTEGER) AS pickup_year,
     CAST(dayofweek(tpep_pickup_datetime) + 1 AS INTEGER) AS pickup_dayofweek,
-    round((epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60, 2) AS trip_duration_minutes
+    half_up((epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60, 2) AS trip_duration_minutes
   FROM cleaned
 ),
 v1 AS (
@@ -55,14 +55,14 @@ v1 AS (
       WHEN pickup_hour BETWEEN 17 AND 20 THEN 'evening_rush' WHEN pickup_hour >= 21 THEN 'night'
       ELSE 'late_night' END AS time_of_day,
     CASE WHEN trip_duration_minutes > 0
-      THEN round(trip_distance / (trip_duration_minutes / 60), 2) ELSE 0 END AS speed_mph,
+      THEN half_up(trip_distance / (trip_duration_minutes / 60), 2) ELSE 0 END AS speed_mph,
     CASE WHEN trip_distance <= 2 THEN 'short' WHEN trip_distance <= 5 THEN 'medium'
       WHEN trip_distance <= 10 THEN 'long' ELSE 'very_long' END AS distance_category,
     CAST(trip_distance > 10 AS INTEGER) AS is_long_trip,
-    CASE WHEN trip_distance > 0 THEN round(total_amount / trip_distance, 2) ELSE 0 END AS cost_per_mile,
+    CASE WHEN trip_distance > 0 THEN half_up(total_amount / trip_distance, 2) ELSE 0 END AS cost_per_mile,
     CASE WHEN trip_duration_minutes > 0
-      THEN round(total_amount / trip_duration_minutes, 2) ELSE 0 END AS cost_per_minute,
-    CASE WHEN fare_amount > 0 THEN round(tip_amount / fare_amount * 100, 2) ELSE 0 END AS tip_percentage,
+      THEN half_up(total_amount / trip_duration_minutes, 2) ELSE 0 END AS cost_per_minute,
+    CASE WHEN fare_amount > 0 THEN half_up(tip_amount / fare_amount * 100, 2) ELSE 0 END AS tip_percentage,
     CASE payment_type WHEN 1 THEN 'credit_card' WHEN 2 THEN 'cash' WHEN 3 THEN 'no_charge'
       WHEN 4 THEN 'dispute' ELSE 'unknown' END AS payment_type_desc
   FROM timed1
@@ -86,16 +86,16 @@ labelled2 AS (
       WHEN pickup_hour <= 15 THEN 'midday' WHEN pickup_hour <= 19 THEN 'evening_rush' ELSE 'night' END AS time_of_day,
     CASE WHEN trip_distance <= 2 THEN 'short' WHEN trip_distance <= 5 THEN 'medium'
       WHEN trip_distance <= 10 THEN 'long' WHEN trip_distance > 10 THEN 'very_long' END AS trip_distance_category,
-    round(exact_minutes, 2) AS trip_duration_minutes
+    half_up(exact_minutes, 2) AS trip_duration_minutes
   FROM timed2
 ),
 v2 AS (
   SELECT * EXCLUDE (exact_minutes), time_of_day IN ('morning_rush', 'evening_rush') AS is_rush_hour,
     CASE WHEN trip_duration_minutes <> 0
-      THEN round(trip_distance / (trip_duration_minutes / 60), 2) END AS speed_mph,
-    CASE WHEN trip_distance > 0 THEN round(total_amount / trip_distance, 2) END AS cost_per_mile,
-    CASE WHEN trip_duration_minutes <> 0 THEN round(total_amount / trip_duration_minutes, 2) END AS cost_per_minute,
-    CASE WHEN fare_amount <> 0 THEN round(tip_amount / fare_amount * 100, 2) END AS tip_percentage
+      THEN half_up(trip_distance / (trip_duration_minutes / 60), 2) END AS speed_mph,
+    CASE WHEN trip_distance > 0 THEN half_up(total_amount / trip_distance, 2) END AS cost_per_mile,
+    CASE WHEN trip_duration_minutes <> 0 THEN half_up(total_amount / trip_duration_minutes, 2) END AS cost_per_minute,
+    CASE WHEN fare_amount <> 0 THEN half_up(tip_amount / fare_amount * 100, 2) END AS tip_percentage
   FROM labelled2
 ),
 limits AS (
@@ -116,7 +116,7 @@ _ENRICHED = """,
     CAST(day(tpep_pickup_datetime) AS INTEGER) AS pickup_day,
     CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month,
     dayofweek(tpep_pickup_datetime) IN (0, 6) AS is_weekend,
-    round((epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60, 2) AS trip_duration_minutes,
+    half_up((epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60, 2) AS trip_duration_minutes,
     CASE WHEN hour(tpep_pickup_datetime) BETWEEN 6 AND 10 THEN 'Morning Rush'
       WHEN hour(tpep_pickup_datetime) BETWEEN 11 AND 16 THEN 'Midday'
       WHEN hour(tpep_pickup_datetime) BETWEEN 17 AND 20 THEN 'Evening Rush' ELSE 'Night' END AS time_of_day
@@ -177,17 +177,28 @@ def _with(select: str, extra: str = "") -> str:
     return f"WITH {_BASE.strip()}{extra}\n{select}"
 
 
+# Roundings spelled out below: ``tidy(x, d)`` rounds an aggregate half up after
+# dropping the noise of its last bits; ``half_up(x, d)`` rounds the shortest
+# decimal text of a double half up.
+_ROUNDINGS = {
+    "tidy": "CAST(round(CAST({value} AS DECIMAL(38, 9)),{digits}) AS DOUBLE)",
+    "half_up": "CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)),{digits}) AS DOUBLE)",
+}
+
+
 def _expand(sql: str) -> str:
-    """Spell out ``tidy(x, d)``: half-up rounding after dropping the noise of the last bits."""
-    while (at := sql.rfind("tidy(")) >= 0:
-        depth, comma, end = 0, -1, at + 5
-        while depth >= 0:
-            depth += {"(": 1, "[": 1, ")": -1, "]": -1}.get(sql[end], 0)
-            if sql[end] == "," and depth == 0:
-                comma = end
-            end += 1
-        value, digits = sql[at + 5 : comma], sql[comma + 1 : end - 1]
-        sql = f"{sql[:at]}CAST(round(CAST({value} AS DECIMAL(38, 9)),{digits}) AS DOUBLE){sql[end:]}"
+    for name, form in _ROUNDINGS.items():
+        call = f"{name}("
+        while (at := sql.rfind(call)) >= 0:
+            start = end = at + len(call)
+            depth, comma = 0, -1
+            while depth >= 0:
+                depth += {"(": 1, "[": 1, ")": -1, "]": -1}.get(sql[end], 0)
+                if sql[end] == "," and depth == 0:
+                    comma = end
+                end += 1
+            text = form.format(value=sql[start:comma], digits=sql[comma + 1 : end - 1])
+            sql = sql[:at] + text + sql[end:]
     return sql
 
 
@@ -442,7 +453,7 @@ def _zone_joins() -> dict[str, str]:
         ),
         "zone_enrich_features": _with(
             "SELECT trip_id, pickup_zone, dropoff_zone, trip_duration_minutes, CASE WHEN trip_duration_minutes > 0 "
-            "THEN round(total_amount / trip_duration_minutes, 2) END AS cost_per_minute, pickup_hour, pickup_day, "
+            "THEN half_up(total_amount / trip_duration_minutes, 2) END AS cost_per_minute, pickup_hour, pickup_day, "
             "pickup_month, is_weekend, time_of_day FROM enriched",
             enriched,
         ),
@@ -963,6 +974,13 @@ _DATES = {
 }
 
 
+# Integer columns with nulls, presented as doubles on both sides.
+_SPARSE_COUNTS = {
+    "passenger_count": ("scan_parquet_schema", "fetch_month", "features_v2", "features_local"),
+    "prev_month_trips": ("monthly_lag", "month_growth"),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     found = {
         **_sources(),
@@ -974,7 +992,8 @@ def oracle_sql() -> dict[str, str]:
         **_statistics(),
     }
     found = {name: _expand(text) for name, text in found.items()}
-    for column, names in _DATES.items():
-        for name in names:
-            found[name] = f"SELECT * REPLACE (CAST({column} AS VARCHAR) AS {column}) FROM ({found[name]})"
+    for kind, columns in (("VARCHAR", _DATES), ("DOUBLE", _SPARSE_COUNTS)):
+        for column, names in columns.items():
+            for name in names:
+                found[name] = f"SELECT * REPLACE (CAST({column} AS {kind}) AS {column}) FROM ({found[name]})"
     return found

@@ -606,14 +606,22 @@ def builders() -> dict[str, Build]:
     return dict(_BUILDERS)
 
 
-def portable(df: DataFrame) -> DataFrame:
-    """Dates as ISO text, which every client reads alike."""
-    dates = {f.name: F.col(f.name).cast("string") for f in df.schema if isinstance(f.dataType, T.DateType)}
-    return df.withColumns(dates) if dates else df
+# Integer columns that hold nulls in some results.
+_SPARSE_COUNTS = {
+    "passenger_count": ("scan_parquet_schema", "fetch_month", "features_v2", "features_local"),
+    "prev_month_trips": ("monthly_lag", "month_growth"),
+}
+
+
+def portable(name: str, df: DataFrame) -> DataFrame:
+    """Types every client reads alike: dates as ISO text, integers with nulls as doubles."""
+    casts = {f.name: F.col(f.name).cast("string") for f in df.schema if isinstance(f.dataType, T.DateType)}
+    casts |= {c: F.col(c).cast("double") for c, names in _SPARSE_COUNTS.items() if name in names}
+    return df.withColumns(casts) if casts else df
 
 
 def queries() -> dict[str, Query]:
-    def bind(build: Build) -> Query:
-        return lambda spark, folder: portable(build(Tables(spark, folder)))
+    def bind(name: str, build: Build) -> Query:
+        return lambda spark, folder: portable(name, build(Tables(spark, folder)))
 
-    return {name: bind(build) for name, build in _BUILDERS.items()}
+    return {name: bind(name, build) for name, build in _BUILDERS.items()}
