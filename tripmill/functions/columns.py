@@ -46,9 +46,16 @@ def label_rank(value: ColumnOrName, labels: Iterable[str]) -> Column:
 
 
 def lookup(value: ColumnOrName, labels: Mapping[int, str], missing: str) -> Column:
-    pairs = [F.lit(x) for pair in labels.items() for x in pair]
-    found = F.try_element_at(F.create_map(*pairs), as_column(value).cast("int"))
-    return F.coalesce(found, F.lit(missing))
+    """Label of a code; ``missing`` for other codes and for null.
+
+    A chain of tests compiles to far less code than a map lookup, which keeps
+    the projection below the size the JVM still compiles.
+    """
+    value = as_column(value)
+    chain = F
+    for code, label in labels.items():
+        chain = chain.when(value == code, label)
+    return chain.otherwise(missing)
 
 
 def ratio(over: ColumnOrName, under: ColumnOrName, rule: str = "null", scale: float = 1) -> Column:

@@ -16,6 +16,17 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """A scan over fewer splits than there are cores, spread over all of them by ``key``.
+
+    A file with one row group is read by one task however large the cluster.
+    Scans with enough splits, as any large table has, are left alone, so no
+    large table is shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
     """One month of a table laid out as ``pickup_year=/pickup_month=`` folders.
 

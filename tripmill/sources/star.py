@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmill.sources.files import spread_rows
+
 # Fixed values of the mapping.
 SECONDS_PER_DAY = 86_400
 LOCATIONS = 97
@@ -33,8 +35,11 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     Both inputs grow with the data: no broadcast hint here. The engine picks
     the join from file sizes and splits skewed order keys at run time.
     """
-    lines = read_table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"
+    lines = spread_rows(
+        read_table(spark, folder, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"
+        ),
+        "l_orderkey",
     )
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
