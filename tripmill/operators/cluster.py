@@ -10,6 +10,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmill.session import settle
+
 # Features standardised before clustering.
 FEATURES = ("total_trips", "avg_fare", "avg_distance", "avg_tip_percent", "avg_speed")
 
@@ -20,8 +22,10 @@ def location_clusters(
     """``profile`` (one row per location) with a ``cluster`` label.
 
     Labels are numbered by cluster centre, so equal clusterings get equal
-    labels. Rows with a missing feature stay, with a null label.
+    labels. Rows with a missing feature stay, with a null label. The profile is
+    stored first, as scaling and every k-means iteration read it.
     """
+    profile = settle(profile, "profile")
     complete = reduce(lambda left, right: left & right, [F.col(c).isNotNull() for c in features])
     usable = VectorAssembler(inputCols=list(features), outputCol="_raw").transform(profile.where(complete))
     scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(usable)

@@ -101,7 +101,7 @@ def exact_quantiles(
     position = (F.col("_n") - 1) * F.col("p")
     first = F.floor(position)
     second = F.least(first + 1, F.col("_n") - 1)
-    target_window = Window.partitionBy(*target).orderBy("_bucket")
+    target_window = Window.partitionBy(*target).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     chosen = (
         points.groupBy(*target, "_bucket")
         .agg(F.sum("_c").alias("_size"))
@@ -115,7 +115,7 @@ def exact_quantiles(
     chosen, at = linked(chosen, link)
     if few_groups or not by:
         chosen = F.broadcast(chosen)
-    within = Window.partitionBy(*link).orderBy("_point")
+    within = Window.partitionBy(*link).orderBy("_point").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         points.join(chosen, at)
         .select(*link, "_n", "_point", "_c", "_start")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tripmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,3 +53,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="tripmill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tripmill-{purpose}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Cuts the lineage before iterative work; a lost executor re-reads files
+    instead of repeating everything upstream.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
