@@ -94,8 +94,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORE_METRICS) ->
     value = [F.col(c).cast("double") for c in columns]
     aggregates = []
     for i, j in pairs:
-        r = F.corr(value[i], value[j])
-        aggregates.append(F.when(~F.isnan(r), r).alias(f"r{i}_{j}"))
+        # Sums of squares and products over rows where both are present. The
+        # built-in corr divides without a guard and fails on a constant column.
+        squares = F.sqrt(F.regr_sxx(value[j], value[i])) * F.sqrt(F.regr_syy(value[j], value[i]))
+        aggregates.append(F.try_divide(F.regr_sxy(value[j], value[i]), squares).alias(f"r{i}_{j}"))
     for i in range(len(columns)):
         aggregates.append(F.when(F.min(value[i]) < F.max(value[i]), F.lit(1.0)).alias(f"r{i}_{i}"))
 

@@ -581,9 +581,8 @@ def _(t: Tables) -> DataFrame:
 
 @register("stream_hourly_counts")
 def _(t: Tables) -> DataFrame:
-    source, out = t.shared("arrivals"), t.shared("hours")
-    t.given("events").write.parquet(source)
-    stream = t.spark.readStream.schema(t.given("events").schema).parquet(source)
+    schema, out = t.given("events").schema, t.shared("hours")
+    stream = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
     counts = windows.hourly_counts(stream, "ts", value="value")
     windows.write_counts(counts, out, t.shared("hours-log")).awaitTermination()
     stored = t.spark.read.parquet(out)

@@ -99,6 +99,7 @@ def file_inventory(
     """Delivered files with size, age and whether each passes the arrival check.
 
     Lists files without opening them: the content column is never selected.
+    Files without content are not listed; :func:`expected_files` reports them.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     listing = (
@@ -112,3 +113,12 @@ def file_inventory(
     return listing.withColumn("age_hours", age).withColumn(
         "accepted", (F.col("size_bytes") > 0) & (F.col("age_hours") <= max_age_hours)
     )
+
+
+def expected_files(inventory: DataFrame, expected: DataFrame, name: str = "file_name") -> DataFrame:
+    """Each expected file name and whether it was delivered, fresh and not empty."""
+    listed = inventory.select(
+        F.element_at(F.split("path", "/"), -1).alias(name), "size_bytes", "age_hours", F.col("accepted").alias("_ok")
+    )
+    found = expected.select(name).join(listed, name, "left")
+    return found.withColumn("accepted", F.coalesce("_ok", F.lit(False))).drop("_ok")
