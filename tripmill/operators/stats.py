@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,33 +83,78 @@ def distribution_stats(df: DataFrame, columns: Sequence[str] | None = None, appr
     return _moment_table(df, list(columns or numeric_columns(df)), measures, approx)
 
 
+_MASK_BITS = 62
+_FLAT = 1e-13
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORE_METRICS) -> DataFrame:
-    """Pearson matrix as rows (metric_a, metric_b, r), all pairs in one aggregate.
+    """Pearson matrix as rows (metric_a, metric_b, r).
+
+    Rows with a null in either column are left out of that pair only. A column
+    without spread correlates with nothing, itself included: null.
 
-    Rows with a null in either column are left out of that pair only. A
-    column without spread correlates with nothing, itself included: null.
+    Rows are summed per pattern of missing columns, one product per pair, so
+    the pairwise treatment of nulls costs nothing per row. Values are taken
+    relative to the column minimum, which makes a constant column exactly zero.
     """
     columns = list(columns)
-    pairs = list(combinations(range(len(columns)), 2))
-    value = [F.col(c).cast("double") for c in columns]
-    aggregates = []
-    for i, j in pairs:
-        # Sums of squares and products over rows where both are present. The
-        # built-in corr divides without a guard and fails on a constant column.
-        squares = F.sqrt(F.regr_sxx(value[j], value[i])) * F.sqrt(F.regr_syy(value[j], value[i]))
-        aggregates.append(F.try_divide(F.regr_sxy(value[j], value[i]), squares).alias(f"r{i}_{j}"))
-    for i in range(len(columns)):
-        aggregates.append(F.when(F.min(value[i]) < F.max(value[i]), F.lit(1.0)).alias(f"r{i}_{i}"))
-
-    def entry(i: int, j: int) -> Column:
-        return F.struct(
-            F.lit(columns[i]).alias("metric_a"),
-            F.lit(columns[j]).alias("metric_b"),
-            F.col(f"r{min(i, j)}_{max(i, j)}").alias("r"),
+    size = range(len(columns))
+    pairs = [(i, j) for i in size for j in size if i <= j]
+    masks = range(0, len(columns), _MASK_BITS)
+    least = df.agg(F.struct(*[F.min(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)])).scalar()
+    # Expression text below: a few hundred columns are built in one call each.
+    shifted = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)], least.alias("low"))
+    missing = [
+        " | ".join(f"IF(v{i} IS NULL, {1 << (i - start)}L, 0L)" for i in size[start : start + _MASK_BITS])
+        for start in masks
+    ]
+    patterns = (
+        shifted.selectExpr(
+            *[f"v{i} - low.m{i} AS x{i}" for i in size], *[f"{text} AS mask{k}" for k, text in enumerate(missing)]
         )
+        .groupBy(*[f"mask{k}" for k in range(len(missing))])
+        .agg(
+            F.expr("count(*) AS n"),
+            F.expr(f"array({', '.join(f'sum(x{i})' for i in size)}) AS s"),
+            F.expr(f"array({', '.join(f'sum(x{i} * x{j})' for i, j in pairs)}) AS p"),
+        )
+    )
+    slot = {pair: k for k, pair in enumerate(pairs)}
 
-    size = range(len(columns))
-    return df.agg(*aggregates).select(F.inline(F.array(*[entry(i, j) for i in size for j in size])))
+    def present(i: int) -> str:
+        return f"(shiftright(mask{i // _MASK_BITS}, {i % _MASK_BITS}) & 1L) = 0"
+
+    entries = ", ".join(
+        f"struct({i} AS i, {j} AS j, {present(i)} AND {present(j)} AS both, s[{i}] AS a, s[{j}] AS b, "
+        f"p[{slot[i, i]}] AS aa, p[{slot[j, j]}] AS bb, p[{k}] AS ab)"
+        for (i, j), k in slot.items()
+    )
+    summed = (
+        patterns.selectExpr("n", f"inline(array({entries}))")
+        .where("both")
+        .groupBy("i", "j")
+        .agg(*[F.sum(name).alias(name) for name in ("n", "a", "b", "aa", "bb", "ab")])
+    )
+    n, a, b = F.col("n"), F.col("a"), F.col("b")
+
+    def varied(squares: Column, total: Column) -> Column:
+        rest = squares - total * total / n
+        return F.when(rest > squares * _FLAT, rest)
+
+    root = F.sqrt(varied(F.col("aa"), a)) * F.sqrt(varied(F.col("bb"), b))
+    r = F.when(F.col("i") == F.col("j"), F.when(root.isNotNull(), F.lit(1.0))).otherwise(
+        F.try_divide(F.col("ab") - a * b / n, root)
+    )
+    cells = df.sparkSession.range(len(columns)).selectExpr("CAST(id AS int) AS row").selectExpr(
+        "row", f"explode(sequence(0, {len(columns) - 1})) AS column"
+    )
+    placed = cells.selectExpr("row", "column", "least(row, column) AS i", "greatest(row, column) AS j")
+    label = F.array(*[F.lit(c) for c in columns])
+    return placed.join(F.broadcast(summed.select("i", "j", r.alias("r"))), ["i", "j"], "left").select(
+        F.element_at(label, F.col("row") + 1).alias("metric_a"),
+        F.element_at(label, F.col("column") + 1).alias("metric_b"),
+        "r",
+    )
 
 
 def correlation_all_numeric(df: DataFrame) -> DataFrame:
