@@ -13,6 +13,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmill.session import settle
+
 ACCURACY = 10_000
 SLACK = 3 / ACCURACY
 BUCKETS = 1024
@@ -77,15 +79,15 @@ def exact_quantiles(
 
     Without ``by`` the bracket table has one row per column and percentile and
     is broadcast. With ``by`` it is broadcast only if ``few_groups`` states
-    that the group labels come from a fixed list; otherwise the engine decides
-    from its measured size.
+    that the group labels come from a fixed list. Otherwise it is stored first,
+    so the engine picks the join from its real size: small ones are broadcast
+    and the rows are not shuffled.
     """
     by = list(by)
     keys = [*by, "metric"]
     rows = long_form(df, columns, by)
     brackets, condition = linked(_bracketed(rows, keys, probs), keys)
-    if few_groups or not by:
-        brackets = F.broadcast(brackets)
+    brackets = F.broadcast(brackets) if few_groups or not by else settle(brackets, "brackets")
     side = F.when(F.col("value") < F.col("_lo"), -1).when(F.col("value") > F.col("_hi"), BUCKETS).otherwise(0)
     target = [*keys, "p", "_n", "_lo", "_hi"]
     points = (

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tripmill.functions.pvalues import t_pvalue
 from tripmill.operators.outliers import with_fences
 from tripmill.operators.quantiles import linked, long_form, quantiles, spread
+from tripmill.session import settle
 
 # Columns of the standard statistics.
 CORE_METRICS = ("total_amount", "trip_distance", "trip_duration_minutes", "tip_percentage", "speed_mph")
@@ -119,19 +120,24 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORE_METRICS) ->
             F.expr(f"array({', '.join(f'sum(x{i} * x{j})' for i, j in pairs)}) AS p"),
         )
     )
-    slot = {pair: k for k, pair in enumerate(pairs)}
+    numbers = {
+        "i": [i for i, _ in pairs],
+        "j": [j for _, j in pairs],
+        "diagonal": [k for k, (i, j) in enumerate(pairs) if i == j],
+    }
+    first, second, diagonal = (f"array({', '.join(map(str, numbers[key]))})" for key in ("i", "j", "diagonal"))
+    mask_list = f"array({', '.join(f'mask{k}' for k in range(len(missing)))})"
 
-    def present(i: int) -> str:
-        return f"(shiftright(mask{i // _MASK_BITS}, {i % _MASK_BITS}) & 1L) = 0"
+    def present(index: str) -> str:
+        return f"shiftright({mask_list}[{index} DIV {_MASK_BITS}], CAST({index} % {_MASK_BITS} AS int)) & 1L = 0"
 
-    entries = ", ".join(
-        f"struct({i} AS i, {j} AS j, {present(i)} AND {present(j)} AS both, s[{i}] AS a, s[{j}] AS b, "
-        f"p[{slot[i, i]}] AS aa, p[{slot[j, j]}] AS bb, p[{k}] AS ab)"
-        for (i, j), k in slot.items()
-    )
     summed = (
-        patterns.selectExpr("n", f"inline(array({entries}))")
-        .where("both")
+        patterns.selectExpr("*", "posexplode(p) AS (k, ab)")
+        .selectExpr("*", f"{first}[k] AS i", f"{second}[k] AS j")
+        .where(f"{present('i')} AND {present('j')}")
+        .selectExpr(
+            "i", "j", "n", "s[i] AS a", "s[j] AS b", f"p[{diagonal}[i]] AS aa", f"p[{diagonal}[j]] AS bb", "ab"
+        )
         .groupBy("i", "j")
         .agg(*[F.sum(name).alias(name) for name in ("n", "a", "b", "aa", "bb", "ab")])
     )
@@ -213,8 +219,7 @@ def five_number_summary(
     found = quantiles(df, [value], [0.25, 0.5, 0.75], by, approx, few_groups)
     boxes, same_group = linked(with_fences(spread(found, {0.25: "q1", 0.5: "median", 0.75: "q3"}, by)), by)
     boxes = boxes.drop("metric")
-    if few_groups:
-        boxes = F.broadcast(boxes)
+    boxes = F.broadcast(boxes) if few_groups else settle(boxes, "boxes")
     rows = long_form(df, [value], by)
     inside = F.col("value").between(F.col("lower_bound"), F.col("upper_bound"))
     boxed = (
@@ -283,8 +288,7 @@ def density(
         F.stddev_samp("_v").alias("_std"),
     ).where(F.col("_high") > F.col("_low"))
     shape, same_group = linked(shape, by)
-    if few_groups:
-        shape = F.broadcast(shape)
+    shape = F.broadcast(shape) if few_groups else settle(shape, "shape")
     shape_columns = ["_low", "_high", "_n", "_std"]
     counted = (
         rows.join(shape, same_group)

@@ -274,21 +274,31 @@ REPORTS_V4: dict[str, Report] = {
 }
 
 
+def all_rows():
+    """A window over a whole aggregated frame of a few dozen rows."""
+    return Window.partitionBy(F.lit(0))
+
+
+def with_spread(counts: DataFrame, column: str, mean: str, spread: str) -> DataFrame:
+    """Mean and standard deviation of a column beside every row of a small frame."""
+    return counts.withColumns(
+        {mean: F.avg(column).over(all_rows()), spread: F.stddev_samp(column).over(all_rows())}
+    )
+
+
 def peak_hours(df: DataFrame) -> DataFrame:
     """Hourly demand with a level against mean and deviation of the hourly counts.
 
-    Mean and deviation are a scalar subquery over the 24 hourly rows.
+    The trips are read once: the statistics are taken over the 24 hourly rows.
     """
     hourly = df.groupBy("pickup_hour").agg(
         F.count(F.lit(1)).alias("trip_count"),
         F.avg("total_amount").alias("avg_fare"),
         F.avg("tip_percentage").alias("avg_tip_percent"),
     )
-    stats = hourly.agg(
-        F.struct(F.avg("trip_count").alias("mean"), F.stddev_samp("trip_count").alias("spread")).alias("stats")
-    ).scalar()
-    level = C.demand_level("trip_count", stats.getField("mean"), stats.getField("spread"))
-    return hourly.withColumn("demand_level", level).orderBy("pickup_hour")
+    measured = with_spread(hourly, "trip_count", "_mean", "_spread")
+    level = C.demand_level("trip_count", F.col("_mean"), F.col("_spread"))
+    return measured.withColumn("demand_level", level).drop("_mean", "_spread").orderBy("pickup_hour")
 
 
 def summary_report(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -381,8 +391,7 @@ def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
 def payment_share(df: DataFrame) -> DataFrame:
     """Trips per payment type and their share of all trips."""
     counts = df.groupBy("payment_type").agg(F.count(F.lit(1)).alias("trip_count"))
-    everything = F.sum("trip_count").over(Window.partitionBy(F.lit(0)))
-    return counts.withColumn("share", F.col("trip_count") / everything)
+    return counts.withColumn("share", F.col("trip_count") / F.sum("trip_count").over(all_rows()))
 
 
 def scatter_speed_distance(df: DataFrame) -> DataFrame:

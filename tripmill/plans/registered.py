@@ -405,13 +405,7 @@ add(
 
 @register("cross_stats")
 def _(t: Tables) -> DataFrame:
-    hourly = frequency(t.v2(), "pickup_hour")
-    shape = hourly.agg(
-        F.struct(F.avg("row_count").alias("mean"), F.stddev_samp("row_count").alias("spread")).alias("shape")
-    ).scalar()
-    return rounded(
-        hourly.withColumns({"avg_trips": shape.getField("mean"), "stddev_trips": shape.getField("spread")})
-    )
+    return rounded(catalog.with_spread(frequency(t.v2(), "pickup_hour"), "row_count", "avg_trips", "stddev_trips"))
 
 
 add("value_semi_join", lambda t: outliers.outlier_rows(t.v2(), "total_amount").select("trip_id", "total_amount"))
