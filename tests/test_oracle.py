@@ -10,9 +10,7 @@ from compare import connect, difference
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
-WITHOUT_SQL = {
-    "file_inventory", "location_clusters", "adf_statistic", "trip_statistics", "trip_metrics", "eda_summary",
-}
+WITHOUT_SQL = {"file_inventory", "location_clusters", "adf_statistic"}
 
 
 @pytest.fixture(scope="module")

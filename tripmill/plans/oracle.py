@@ -301,6 +301,16 @@ def _sources() -> dict[str, str]:
             "v1", "payment_type_desc", {"payment_count": "n", "total_revenue": REVENUE, "avg_tip_percentage": TIP}
         ),
         "write_trips_partitioned": _frequency("pickup_date, pickup_hour", "v1", may),
+        "append_analytics": _with(
+            "SELECT payment_type, time_of_day, is_weekend, count(*) AS trip_count, tidy(avg(total_amount), 6) AS avg_fare, "
+            "tidy(avg(tip_percentage), 6) AS avg_tip_percentage, tidy(avg(cost_per_mile), 6) AS avg_cost_per_mile "
+            f"FROM v2 {may} GROUP BY ALL"
+        ),
+        "write_hash_distributed": _frequency("pickup_location_id", "v2"),
+        "save_query_result": _grouped(
+            "v2", "pickup_location_id", {"trip_count": "n", "avg_fare": "a:fare_amount"}
+        ),
+        "run_sql_script": _frequency("pickup_hour", "v2", "WHERE pickup_hour >= 12"),
         "truncate_load": _with("SELECT pickup_dayofweek, count(*) AS row_count FROM sample GROUP BY ALL", _SAMPLE),
     }
 
@@ -750,6 +760,52 @@ def _reports() -> dict[str, str]:
     }
 
 
+def _bundles() -> dict[str, str]:
+    def parts(table: str, sizes: dict[str, str], extra: str = "") -> str:
+        rows = " UNION ALL ".join(
+            f"SELECT '{name}' AS part, CAST({size} AS BIGINT) AS rows FROM {table}" for name, size in sizes.items()
+        )
+        return _with(rows, extra)
+
+    def groups(*keys: str) -> str:
+        """Number of groups, those with nulls in their key included."""
+        return f"count(DISTINCT concat_ws('|', {', '.join(f'coalesce(CAST({k} AS VARCHAR), chr(0))' for k in keys)}))"
+
+    return {
+        "trip_metrics": parts(
+            "v1",
+            {
+                "daily_metrics": groups("pickup_date"),
+                "hourly_metrics": groups("pickup_date", "pickup_hour"),
+                "location_metrics": groups("pu_location_id"),
+                "payment_metrics": groups("payment_type_desc"),
+            },
+        ),
+        "trip_statistics": parts(
+            "v4",
+            {
+                "overall": "count(*) * 0 + 1",
+                "by_borough": groups("pickup_borough"),
+                "by_time": groups("time_of_day"),
+                "popular_routes": f"least(10, {groups('pickup_zone', 'dropoff_zone')})",
+            },
+            _V4,
+        ),
+        "eda_summary": parts(
+            "v2",
+            {
+                "basic_stats": "count(*) * 0 + 17",
+                "hourly_patterns": groups("pickup_hour"),
+                "daily_patterns": groups("pickup_dayofweek"),
+                "weekend_vs_weekday": groups("is_weekend"),
+                "payment_distribution": "count(DISTINCT payment_type)",
+                "distance_categories": "count(DISTINCT trip_distance_category)",
+                "means_by_time": groups("time_of_day"),
+            },
+        ),
+    }
+
+
 _FINANCIAL = {
     "trip_count": "n",
     "avg_fare": FARE,
@@ -988,6 +1044,7 @@ def oracle_sql() -> dict[str, str]:
         **_derived(),
         **_zone_joins(),
         **_reports(),
+        **_bundles(),
         **_series(),
         **_statistics(),
     }

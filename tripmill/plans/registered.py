@@ -233,6 +233,42 @@ def _(t: Tables) -> DataFrame:
     return rounded(t.spark.table("view_financial_registered"))
 
 
+@register("append_analytics")
+def _(t: Tables) -> DataFrame:
+    writers.create_analytics_table(t.spark, "registered_analytics", t.shared("analytics"))
+    writers.append_analytics(tables.month_slice(t.v2(), *MONTH), "registered_analytics")
+    stored = tables.scan_table(t.spark, "registered_analytics")
+    return rounded(catalog.REPORTS_V2["view_financial"](stored))
+
+
+@register("write_hash_distributed")
+def _(t: Tables) -> DataFrame:
+    kept = t.v2().select("pickup_location_id", "pickup_hour", "total_amount")
+    writers.write_hash_distributed(kept, "registered_buckets", 8, path=t.shared("buckets"))
+    return frequency(tables.scan_table(t.spark, "registered_buckets"), "pickup_location_id")
+
+
+@register("save_query_result")
+def _(t: Tables) -> DataFrame:
+    result = catalog.REPORTS_V2["location_trip_counts"](t.v2())
+    writers.save_table(result, "registered_result", path=t.shared("result"))
+    return rounded(tables.scan_table(t.spark, "registered_result"))
+
+
+@register("run_sql_script")
+def _(t: Tables) -> DataFrame:
+    t.v2().createOrReplaceTempView("registered_script_trips")
+    writers.run_sql_script(
+        t.spark,
+        """
+        CREATE OR REPLACE TEMP VIEW registered_hours AS
+          SELECT pickup_hour, count(*) AS row_count FROM registered_script_trips GROUP BY pickup_hour;
+        CREATE OR REPLACE TEMP VIEW registered_busy AS SELECT * FROM registered_hours WHERE pickup_hour >= 12;
+        """,
+    )
+    return t.spark.table("registered_busy")
+
+
 # ---------------------------------------------------------------- cleaning
 
 add("drop_null_critical", lambda t: clean.drop_null_critical(t.raw()).select("trip_id"))

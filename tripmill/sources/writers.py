@@ -71,8 +71,10 @@ def write_metric(df: DataFrame, root: str, metric: str, year: int, month: int) -
     return path
 
 
-def save_table(df: DataFrame, table: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).saveAsTable(table)
+def save_table(df: DataFrame, table: str, mode: str = "overwrite", path: str | None = None) -> None:
+    """Store a query result as a catalogue table, at ``path`` if given."""
+    writer = df.write.mode(mode).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def create_analytics_table(
