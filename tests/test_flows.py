@@ -319,6 +319,24 @@ def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark, "x").startswith(root) and shared_dir(spark, "x") != shared_dir(spark, "x")
 
 
+class Unset:
+    """A session without a shared folder."""
+
+    def __init__(self, master: str):
+        self.conf, self.sparkContext = self, self
+        self.master = master
+
+    def get(self, key, default):
+        return default
+
+
+def test_only_local_sessions_use_a_machine_folder():
+    first, second = (shared_dir(Unset("local[2]"), "x") for _ in range(2))
+    assert os.path.dirname(first) == os.path.dirname(second)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Unset("spark://host:7077"), "x")
+
+
 def test_union_fills_missing_columns(spark):
     left = spark.createDataFrame([(1, "a")], "x int, y string")
     right = spark.createDataFrame([(2,)], "x int")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,11 @@ def local_session(cores: int | None = None, memory: str = "8g", **conf: str) ->
     return build_session("tripmill-local", f"local[{cores}]", **settings)
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tripmill-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's ``spark.checkpoint.dir``.
 
@@ -50,8 +56,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tripmill-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/tripmill-{purpose}-{uuid.uuid4().hex}"
 
 
