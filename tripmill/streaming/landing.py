@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmill.plans.processing import derive_v1
+from tripmill.session import settle
 from tripmill.sources.writers import MONTH_PARTITION, write_partitioned
 
 DELIVERY_PARTITION = ("file_year", "file_month")
@@ -61,13 +62,15 @@ def with_delivery(source: DataFrame) -> DataFrame:
 def latest_delivery(batch: DataFrame) -> DataFrame:
     """Rows of the last delivered file of each file month.
 
-    Deliveries are compared one row per file; trips are not sorted.
+    Deliveries are compared one row per file; trips are not sorted. The chosen
+    deliveries are stored first, so their real size picks the join and a large
+    file's rows are not shuffled to one task.
     """
     month = list(DELIVERY_PARTITION)
     per_file = batch.groupBy(*month, "delivery").agg(F.count(F.lit(1)).alias("_rows"))
     newest = Window.partitionBy(*month).orderBy(F.desc("delivery"))
     chosen = per_file.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
-    return batch.join(chosen.select("delivery"), "delivery", "left_semi")
+    return batch.join(settle(chosen.select("delivery"), "deliveries"), "delivery", "left_semi")
 
 
 def stream_replace_months(
