@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.functions import columns as C
 from tripmill.functions import features, profiles
 from tripmill.operators import clean, outliers, quality, stats, timeseries, zones
 from tripmill.operators.sampling import limit_rows
@@ -140,7 +141,8 @@ def as_v1_columns(trips: DataFrame) -> DataFrame:
     renamed = trips.withColumnsRenamed(
         {"trip_distance_category": "distance_category", "pickup_location_id": "pu_location_id"}
     )
-    described = features.C.lookup(F.col("payment_type").try_cast("int"), profiles.PAYMENT_LABELS, profiles.PAYMENT_UNKNOWN)
+    code = F.col("payment_type").try_cast("int")
+    described = C.lookup(code, profiles.PAYMENT_LABELS, profiles.PAYMENT_UNKNOWN)
     return renamed.withColumns({"payment_type_desc": described, "is_weekend": F.col("is_weekend").cast("int")})
 
 

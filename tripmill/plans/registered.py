@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from tripmill import schemas
 from tripmill.functions import columns as C
 from tripmill.functions import features, profiles
-from tripmill.functions.pvalues import t_pvalue
 from tripmill.operators import clean, cluster, outliers, quality, sampling, stats, timeseries, zones
 from tripmill.plans import catalog, processing
 from tripmill.session import shared_dir
