@@ -855,8 +855,8 @@ averaged AS (
         "monthly_metrics": _with("SELECT * FROM monthly", _MONTHLY),
         "monthly_metrics_filled": _with(
             "SELECT CAST(m AS DATE) AS month, coalesce(total_trips, 0) AS total_trips, total_revenue FROM "
-            "(SELECT unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS m FROM monthly "
-            "WHERE month(month) <= 3) LEFT JOIN (SELECT * FROM monthly WHERE month(month) <= 3) ON m = month",
+            "(SELECT unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS m FROM monthly) "
+            "LEFT JOIN monthly ON m = month",
             _MONTHLY,
         ),
         "monthly_lag": _with(f"SELECT *, {lagged} FROM monthly", _MONTHLY),

@@ -497,12 +497,10 @@ def _monthly(t: Tables) -> DataFrame:
 add("monthly_metrics", _monthly)
 
 
-@register("monthly_metrics_filled")
-def _(t: Tables) -> DataFrame:
-    quarter = t.v2().where(F.col("pickup_month").isin(1, 2, 3))
-    return timeseries.monthly_metrics(quarter, fill_missing=True).select("month", "total_trips", "total_revenue")
-
-
+add(
+    "monthly_metrics_filled",
+    lambda t: timeseries.monthly_metrics(t.v2(), fill_missing=True).select("month", "total_trips", "total_revenue"),
+)
 add("monthly_lag", lambda t: timeseries.monthly_lag(_monthly(t)))
 add("month_growth", lambda t: rounded(timeseries.month_growth(timeseries.monthly_lag(_monthly(t)))))
 add("moving_average_3", lambda t: rounded(timeseries.moving_average(_monthly(t))))
