@@ -7,9 +7,10 @@ from conftest import SMALL
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from tripmill.plans import registered
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registered.queries()
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 WITHOUT_SQL = {"file_inventory", "location_clusters", "adf_statistic"}
 
 
