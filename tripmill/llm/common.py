@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Most bytes of text that one output batch of a Python step gathers.
 BATCH_BYTES = 8 << 20
@@ -45,10 +48,7 @@ def map_rows(
         if held:
             yield pa.RecordBatch.from_pylist(held, arrow)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
     return df.mapInArrow(batches, schema)
 
 
@@ -59,10 +59,8 @@ def _pieces(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
 
 def slices(source: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Input batches cut so that the text of each is about ``limit`` bytes; a longer text stands alone."""
-    import numpy as np
-
     for batch in source:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends, start = np.cumsum(lengths), 0
         while start < batch.num_rows:
             before = int(ends[start - 1]) if start else 0
