@@ -26,45 +26,81 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import require, table
+from tripmill.llm.token_counts import _byte_of_symbol
 from tripmill.session import settle
 
 CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
 CLOSING_ID = 0
 #: Entries kept per Python worker; a full store is emptied and fills again.
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 400_000
 #: Pieces that one (length, bucket) ranks on average at most.
 BUCKET_ROWS = 20_000
 #: Characters at which str.split cuts and the tokenizer's own white space does not (fixed values).
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-ADDED = re.compile(r"<\|(?:startoftext|endoftext)\|>")
+#: Chunks of these characters need no Unicode normalisation; of the letters, lower case has one form (fixed values).
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: Split of a lower-case plain chunk before merging (fixed value of this vocabulary).
+WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 class ChunkEncoder:
-    """Ids of a text from the ids of its chunks between white space, which this vocabulary encodes one by one."""
+    """Ids of a text from the ids of its chunks between white space, which this vocabulary encodes one by one.
+
+    Chunks of plain characters are split into words here, and the tokenizer's
+    merging model encodes each distinct word; anything else goes to the whole
+    tokenizer.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.symbols = {byte: symbol for symbol, byte in _byte_of_symbol().items()}
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def word(self, word: str) -> bytes:
+        """Ids of one word, by the tokenizer's merging model."""
+        found = self.words.get(word)
+        if found is None:
+            symbols = word if word.isascii() else "".join(map(self.symbols.__getitem__, word.encode()))
+            found = np.array([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
+            if len(self.words) > KEPT_CHUNKS:
+                self.words.clear()
+            self.words[word] = found
+        return found
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        chunks = [None if ODD_SPACE.search(t) or ADDED.search(t) else t.split() for t in texts]
-        new = list({c for words in chunks if words for c in words if c not in self.known})
+        known = self.known
+        for text in texts:
+            if ODD_SPACE.search(text) or "<|" in text:
+                yield self.whole([text])[0]
+                continue
+            chunks = text.split()
+            try:
+                yield b"".join(map(known.__getitem__, chunks))
+            except KeyError:
+                self.learn({c for c in chunks if c not in known}, chunks)
+                yield b"".join(map(known.__getitem__, chunks))
+
+    def learn(self, new: set[str], chunks: list[str]) -> None:
         if len(self.known) + len(new) > KEPT_CHUNKS:
             self.known.clear()
-            new = list({c for words in chunks if words for c in words})
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            self.known.update(zip(part, self.whole(part)))
-        known = self.known
-        for text, words in zip(texts, chunks):
-            yield self.whole([text])[0] if words is None else b"".join([known[w] for w in words])
+            new = set(chunks)
+        odd = []
+        for chunk in new:
+            if len(chunk) <= 200 and PLAIN.fullmatch(chunk):
+                self.known[chunk] = b"".join(map(self.word, WORDS.findall(chunk.lower())))
+            else:
+                odd.append(chunk)
+        if odd:
+            self.known.update(zip(odd, self.whole(odd)))
 
 
 @lru_cache(maxsize=2)

@@ -16,6 +16,7 @@ columns are kept, and existing columns named like a result are replaced.
 from __future__ import annotations
 
 import json
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,15 +27,18 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import require, table
+from tripmill.llm.common import require, slices, table
 
 LIMIT = 1024
 VOCABULARY = "byte_bpe_50k.json"
 #: Entries kept per Python worker; a full store is emptied and fills again.
-KEPT_WORDS = 400_000
-KEPT_PAIRS = 600_000
+KEPT_WORDS = 300_000
+KEPT_PAIRS = 500_000
 #: Split of a text into words before merging (fixed value of this vocabulary).
 WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+#: White space other than space, tab and line ends (fixed values), and what makes a space not begin a word.
+ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+BESIDE_SPACE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -62,40 +66,70 @@ class PrefixCounter:
         self.ranks = {(to_bytes(a), to_bytes(b)): rank for rank, (a, b) in enumerate(merges)}
         added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
-        self.tokens = {bytes([b]) for b in range(256)} | {a + b for a, b in self.ranks}
-        self.longest = max(map(len, self.tokens))
+        self.made: dict[bytes, int] = {}
+        self.halves: dict[bytes, tuple[bytes, bytes]] = {}
+        for pair, rank in self.ranks.items():
+            if self.made.setdefault(pair[0] + pair[1], rank) == rank:
+                self.halves[pair[0] + pair[1]] = pair
+        self.names = sorted({bytes([b]) for b in range(256)} | {a + b for a, b in self.ranks})
+        self.ids = {token: number for number, token in enumerate(self.names)}
+        self.longest = max(map(len, self.names))
         self.counts: dict[str, int] = {}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
-
-    def merged(self, word: bytes) -> list[bytes]:
-        """Encoding by repeated merging, for the short strings of a compatibility test."""
-        parts = [word[i : i + 1] for i in range(len(word))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(pair, 1 << 30), i) for i, pair in enumerate(zip(parts, parts[1:])))
-            if rank == 1 << 30:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        self.chunks: dict[str, int] = {}
+        self.pairs: dict[int, bool] = {}
+        self._word, self._last, self._counts = b"", [0], [0]
 
     def compatible(self, left: bytes, right: bytes) -> bool:
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[left, right] = self.merged(left + right) == [left, right]
-        return found
+        """Whether no merge across the border comes before the merges that made the two tokens.
+
+        The merges are undone from the last one on. Each time, the two parts that
+        touch the border must not merge earlier than the merge just undone; of
+        equal merges the left one comes first.
+        """
+        ranks, made, halves = self.ranks, self.made, self.halves
+        before = 1 << 30
+        while True:
+            if ranks.get((left, right), before) < before:
+                return False
+            of_left, of_right = made.get(left, -1), made.get(right, -1)
+            if of_left > of_right:
+                before, left = of_left, halves[left][1]
+            elif of_right >= 0:
+                before, right = of_right + 1, halves[right][0]
+            else:
+                return True
 
     def word_counts(self, word: bytes) -> list[int]:
-        """Token count of each prefix of one word, from the empty one on."""
-        last: list[bytes] = [b""]
-        counts = [0]
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = word[start:end]
-                if token in self.tokens and (not start or self.compatible(last[start], token)):
-                    last.append(token)
-                    counts.append(counts[start] + 1)
-                    break
+        """Token count of each prefix of one word, from the empty one on.
+
+        What the previous word shares with this one is kept, so sorted words
+        share the work for their common prefixes.
+        """
+        last, counts, shared = self._last, self._counts, 0
+        for old, new in zip(self._word, word):
+            if old != new:
+                break
+            shared += 1
+        del last[shared + 1 :], counts[shared + 1 :]
+        ids, pairs, longest = self.ids, self.pairs, self.longest
+        for end in range(shared + 1, len(word) + 1):
+            for start in range(end - longest if end > longest else 0, end):
+                token = ids.get(word[start:end])
+                if token is None:
+                    continue
+                if start:
+                    pair = last[start] << 20 | token
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        if len(pairs) >= KEPT_PAIRS:
+                            pairs.clear()
+                        fits = pairs[pair] = self.compatible(self.names[last[start]], word[start:end])
+                    if not fits:
+                        continue
+                last.append(token)
+                counts.append(counts[start] + 1)
+                break
+        self._word = word
         return counts
 
     def word_count(self, word: str) -> int:
@@ -108,6 +142,32 @@ class PrefixCounter:
                 self.counts[word] = count
         return count
 
+    def prepare(self, texts: list[str]) -> list[list[str] | None]:
+        """Counts the new words of several texts at once, in sorted order; the chunks of each text."""
+        known = self.chunks
+        chunks = [self._chunks(text) for text in texts]
+        new = {c for own in chunks if own for c in own if c not in known}
+        if new and len(known) + len(new) > KEPT_WORDS:
+            known.clear()
+            new = {c for own in chunks if own for c in own}
+        split = {chunk: WORDS.findall(chunk) for chunk in new}
+        for word in sorted({w for words in split.values() for w in words if w not in self.counts}):
+            self.word_count(word)
+        for chunk, words in split.items():
+            known[chunk] = sum(map(self.word_count, words))
+        return chunks
+
+    def _chunks(self, text: str) -> list[str] | None:
+        """Chunks that begin with a single space each, or None if the text has to be split into words.
+
+        A single space between two other characters always begins a word.
+        """
+        if text[:1] == " " or text[-1:] == " " or any(x in text for x in BESIDE_SPACE) or ODD_SPACE.search(text):
+            return None
+        if self.special is not None and "<|" in text and self.special.search(text):
+            return None
+        return text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
+
     def _split(self, text: str) -> list[str]:
         """Words and special strings in order; special strings are single tokens."""
         if self.special is None or not self.special.search(text):
@@ -116,11 +176,27 @@ class PrefixCounter:
         return [w for i, part in enumerate(parts) for w in ([part] if i % 2 else WORDS.findall(part))]
 
     def count(self, text: str) -> int:
-        known, total, special = self.counts, 0, self.special is not None and self.special.search(text)
-        for word in self._split(text):
-            found = known.get(word)
-            total += found if found is not None else 1 if special and self.special.fullmatch(word) else self.word_count(word)
-        return total
+        return sum(self.chunk_counts(text)[1])
+
+    def chunk_counts(self, text: str, chunks: list[str] | None = None) -> tuple[list[str], list[int]]:
+        """Chunks of a text that are encoded one by one, and their counts; ``chunks`` come from ``prepare``."""
+        if chunks is None and (chunks := self.prepare([text])[0]) is None:
+            words = self._split(text)
+            return words, [1 if self.special and self.special.fullmatch(w) else self.word_count(w) for w in words]
+        return chunks, list(map(self.chunks.__getitem__, chunks))
+
+    def count_and_fit(self, text: str, budget: int, chunks: list[str] | None = None) -> tuple[int, int | None]:
+        """Token count, and the characters of the longest prefix within ``budget`` if the text is longer."""
+        chunks, counts = self.chunk_counts(text, chunks)
+        total = sum(counts)
+        if total <= budget:
+            return total, None
+        sums = list(accumulate(counts, initial=0))
+        over = bisect_right(sums, budget)
+        first, last = max(0, over - 4), min(len(chunks), over + 4)
+        before = sum(map(len, chunks[:first]))
+        part = Prefixes(self, "".join(chunks[first:last]))
+        return total, before + part.longest_within(budget - sums[first])
 
     def prefixes(self, text: str) -> "Prefixes":
         return Prefixes(self, text)
@@ -156,7 +232,7 @@ class Prefixes:
 
     def _long(self, word: int) -> list[int]:
         if word not in self.inside:
-            self.inside[word] = self.counter.word_counts(self.text[self.ends[word] : self.ends[word + 1]].encode())
+            self.inside[word] = self.counter.word_counts(self.text[self.ends[word] : self.ends[word + 1]].encode())[:]
         return self.inside[word]
 
     def longest_within(self, budget: int) -> int:
@@ -186,11 +262,11 @@ def count_tokens(docs: DataFrame, text_col: str = "text", limit: int = LIMIT, pa
         own = counter(path)
         for column in texts:
             rows = []
-            for value in column:
-                text = value.as_py() or ""
-                tokens = own.count(text)
-                cut = None if tokens <= limit else own.prefixes(text).longest_within(limit)
-                rows.append((tokens, len(text[:cut].encode())))
+            for piece in slices([pa.record_batch([column], ["text"])], "text", 1 << 20):
+                strings = [text or "" for text in piece.column(0).to_pylist()]
+                for text, chunks in zip(strings, own.prepare(strings)):
+                    tokens, cut = own.count_and_fit(text, limit, chunks)
+                    rows.append((tokens, len(text[:cut].encode())))
             yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], ["n_tokens", "fit_bytes"])
 
     results = ("n_bytes", "n_tokens", "over_limit", "fit_bytes")

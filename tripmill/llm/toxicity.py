@@ -52,19 +52,31 @@ LEET = dict(zip("01345678@$!|", "oieasgtbasil"))
 HIDDEN = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 
 _PLAIN = str.maketrans({**HOMOGLYPHS, **{c: None for c in HIDDEN}})
-_LEET_WORD = re.compile(r"(?<![^\W\d_])[\w@$!|]*[^\W\d_][\w@$!|]*")
+_SIGNS = re.compile(r"[01345678@$!|]+")
+_WORD = re.compile(r"(?<![^\W\d_])[\w@$!|]*[^\W\d_][\w@$!|]*")
 _LEET_SIGN = re.compile(r"[01345678@$!|](?=[\w@$!|])|(?<=[\w@$!|])[013457]")
 _ODD = re.compile(r"[0-9@$!|]")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _unsign(found: re.Match) -> str:
+    """One or two signs as letters where they stand for letters: before a letter, or digits after one."""
+    signs, text, end = found[0], found.string, found.end()
+    if len(signs) > 2:
+        return signs
+    followed = end < len(text) and text[end].isalpha()
+    led = found.start() > 0 and text[found.start() - 1].isalpha()
+    if followed and (led or not signs.isdigit()) or led and signs.isdigit() or followed and signs in ("0", "1", "3", "5"):
+        return "".join([LEET[s] for s in signs])
+    return signs
+
+
 def fold(text: str) -> str:
     """Folded text: words of letters, one space between them and around the text."""
     text = text.lower()
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text).translate(_PLAIN)
-    if _ODD.search(text):
-        text = _LEET_WORD.sub(lambda m: _LEET_SIGN.sub(lambda s: LEET[s[0]], m[0]) if _ODD.search(m[0]) else m[0], text)
+    text = _SIGNS.sub(_unsign, text)
     return f" {' '.join(_WORD.findall(text))} "
 
 
