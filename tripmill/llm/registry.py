@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, suffix_dedup, token_counts, toxicity
+from tripmill.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scores, packing, pieces, suffix_dedup, token_counts, toxicity
 
-MODULES = (token_counts, toxicity, language_id, exact_dedup, packing, jaccard_join, embedding_dedup, suffix_dedup)
+MODULES = (token_counts, toxicity, language_id, exact_dedup, packing, jaccard_join, embedding_dedup, suffix_dedup, pieces, lm_scores)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
