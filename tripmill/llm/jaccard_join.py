@@ -109,6 +109,18 @@ def prefix_length(n: int) -> int:
     return n - (SHARE * n + OF - 1) // OF + 1
 
 
+def needed(size, extra, other_size, other_extra, least, greatest):
+    """Shared prefix shingles that a similar pair has at least.
+
+    One more than the smaller extra; and of the 4/9 of both sizes that similar sets
+    share, what cannot lie beyond the prefix that ends first.
+    """
+    whole = (lambda x, y: x // y) if isinstance(size, np.ndarray) else (lambda x, y: F.floor(x / y))
+    beyond, other_beyond = (whole(n * SHARE + OF - 1, OF) - 1 - e for n, e in ((size, extra), (other_size, other_extra)))
+    shared = whole((size + other_size) * SHARE + SHARE + OF - 1, SHARE + OF)
+    return greatest(least(extra, other_extra) + 1, shared - greatest(beyond, other_beyond))
+
+
 def similar(left: np.ndarray, right: np.ndarray) -> bool:
     shared = len(np.intersect1d(left, right, assume_unique=True))
     return OF * shared >= SHARE * (len(left) + len(right) - shared) and shared > 0
@@ -219,7 +231,7 @@ def _meet(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fit = OF * small >= SHARE * large
         left, right, lead = left[fit], right[fit], lead[fit]
         if len(left):
-            a, b, need = cid[left], cid[right], np.minimum(extra[left], extra[right]) + 1
+            a, b, need = cid[left], cid[right], needed(size[left], extra[left], size[right], extra[right], np.minimum, np.maximum)
             order = np.lexsort((b, a))
             a, b, need, lead = a[order], b[order], need[order], lead[order]
             at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
@@ -388,7 +400,7 @@ def _crossing(rows: DataFrame) -> DataFrame:
         F.least("cid", "_c").alias("a"),
         F.greatest("cid", "_c").alias("b"),
         F.lit(1).cast("long").alias("n"),
-        (F.least(F.col("meta").bitwiseAND(7), F.col("_m").bitwiseAND(7)) + 1).alias("need"),
+        needed(size, F.col("meta").bitwiseAND(7), other, F.col("_m").bitwiseAND(7), F.least, F.greatest).alias("need"),
         F.lit(False).alias("done"),
     )
 
