@@ -130,11 +130,11 @@ def factor_ranges(rows: list[bytes], before: np.ndarray, fewest: np.ndarray, ord
     by_suffix = np.array(sorted(range(count), key=lambda i: rows[i][before[i] :]), np.int64)
     sums, steps = [], []
     for base in _BASES:  # rolling hashes of the window that starts `distance` before the minimizer
-        powers = np.ones(length, np.uint64)
-        powers[:-1] = np.cumprod(np.full(length - 1, base, np.uint64))[::-1]
-        right = np.zeros((count, length), np.uint8)
-        right[:, : min(length, width)] = aligned[:, deepest : deepest + length]
-        sums.append(((right.astype(np.uint64) + np.uint64(1)) * powers).sum(axis=1, dtype=np.uint64))
+        total = np.zeros(count, np.uint64)
+        for place in range(length):  # byte by byte, so that no matrix of words is held
+            byte = aligned[:, deepest + place] if place < width else np.zeros(count, np.uint8)
+            total = total * np.uint64(base) + (byte.astype(np.uint64) + np.uint64(1))
+        sums.append(total)
         steps.append((np.uint64(base), np.uint64(pow(base, -1, 1 << 64)), np.uint64(pow(base, length - 1, 1 << 64))))
     one = np.uint64(1)
     for distance in range(deepest + 1):
