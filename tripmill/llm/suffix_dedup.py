@@ -207,7 +207,7 @@ def _squeeze(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _cut_rows(length: int):
+def _cut_rows(length: int, hot_rows: int):
     def cut(source: Iterator[dict]) -> Iterator[dict]:
         """The bytes of each run (kind 0), suffix hashes of hot runs (kind 1), and the text itself (kind 2)."""
         import zstandard
@@ -219,7 +219,7 @@ def _cut_rows(length: int):
             yield key | {"kind": 2, "data": row["z"]}
             for run in row["runs"]:
                 data = text[run["start"] : run["start"] + run["starts"] + length - 1]
-                if run["n"] <= HOT:
+                if run["n"] <= hot_rows:
                     yield key | {"kind": 0, "h": run["h"], "start": run["start"], "starts": run["starts"], "place": run["place"], "data": data}
                     continue
                 for i, (f1, f2) in enumerate(zip(*(h.view(np.int64).tolist() for h in window_hashes(data, length)))):
@@ -293,7 +293,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = texts.join(per_text, ["k1", "k2"]).join(classes.select("k1", "k2", "least"), ["k1", "k2"])
     id_type = classes.schema["least"].dataType.simpleString()
     shape = f"k1 bigint, k2 bigint, least {id_type}, kind int, h bigint, h2 bigint, start bigint, starts int, place bigint, data binary"
-    cut = settle(map_rows(wanted, _cut_rows(length), shape, lambda r: 100 + len(r.get("data") or b"")), "suffix-rows")
+    cut = settle(map_rows(wanted, _cut_rows(length, HOT), shape, lambda r: 100 + len(r.get("data") or b"")), "suffix-rows")
     spans = "k1 bigint, k2 bigint, later boolean, low bigint, high bigint"
     close = (
         cut.where("kind = 0")
