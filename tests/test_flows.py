@@ -288,6 +288,36 @@ def test_two_deliveries_in_one_batch_keep_the_later(spark, make_trips, tmp_path)
     assert spark.read.parquet(out).count() == 1
 
 
+def test_files_of_one_delivery_are_kept_together(spark, make_trips, tmp_path):
+    source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    os.makedirs(f"{source}/file_year=2023/file_month=02")
+    march = make_trips(at(1), at(2))
+    one_file(march, source, "yellow_2023-03_a.parquet")
+    one_file(make_trips(at(3)), source, "yellow_2023-03_b.parquet")
+    one_file(make_trips(at(4)), source, "part-00007-31ee.parquet")
+    for name in ("part-00000-12ab.parquet", "part-00001-12ab.parquet"):
+        one_file(make_trips(at(1, month=2)), f"{source}/file_year=2023/file_month=02", name)
+    landing.stream_replace_months(spark, source, march.schema, out, log).awaitTermination()
+    counts = {r.file_month: r["count"] for r in spark.read.parquet(out).groupBy("file_month").count().collect()}
+    assert counts == {2: 2, 3: 3}
+    assert spark.read.parquet(f"{out}-rejected").count() == 1
+
+
+def test_analytics_table_starts_empty_again(spark, tmp_path):
+    rows = spark.createDataFrame([], schemas.ANALYTICS_TRIP)
+    one = rows.unionByName(spark.sql("SELECT DATE'2023-03-01' AS pickup_date"), allowMissingColumns=True)
+    for _ in range(2):
+        writers.create_analytics_table(spark, "twice_analytics", str(tmp_path / "analytics"))
+        writers.append_analytics(one, "twice_analytics")
+        assert spark.table("twice_analytics").count() == 1
+    spark.sql("DROP TABLE twice_analytics")
+
+
+def test_sql_scripts_split_outside_quotes_and_comments():
+    script = "SELECT ';' AS a; -- not; here\nSELECT 2 /* nor; here */; SELECT `x;y` FROM t"
+    assert [s.split()[0] for s in writers.split_sql(script)] == ["SELECT"] * 3
+
+
 def test_stream_counts_drop_late_rows(spark, make_trips, tmp_path):
     source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
     os.makedirs(source)

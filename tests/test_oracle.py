@@ -11,7 +11,7 @@ from tripmill.plans import registered
 
 QUERIES = registered.queries()
 SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
-WITHOUT_SQL = {"file_inventory", "location_clusters", "adf_statistic"}
+WITHOUT_SQL = {"location_clusters", "adf_statistic"}
 
 
 @pytest.fixture(scope="module")

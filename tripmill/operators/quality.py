@@ -75,7 +75,7 @@ def min_count_check(df: DataFrame, minimum: int = MIN_RECORDS) -> DataFrame:
 
 def require(verdicts: DataFrame) -> None:
     """Raise if any gate row failed. Gates are a handful of rows."""
-    failed = [r.asDict() for r in verdicts.where(~F.coalesce(F.col("passed"), F.lit(False))).limit(100).collect()]
+    failed = [r.asDict() for r in verdicts.where(~F.coalesce(F.col("passed"), F.lit(False))).collect()]
     if failed:
         raise QualityError("; ".join(f"{r.get('check_name', 'gate')}: {r}" for r in failed))
 

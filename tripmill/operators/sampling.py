@@ -17,7 +17,7 @@ def _shuffled(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("/", F.lit(seed), F.col(key).cast("string")))
 
 
-def limit_rows(df: DataFrame, n: int = 10_000, key: str = "trip_id") -> DataFrame:
+def limit_rows(df: DataFrame, n: int, key: str = "trip_id") -> DataFrame:
     """At most ``n`` rows, the same ones on every run."""
     return df.orderBy(_shuffled(key, 0), key).limit(n)
 

@@ -369,12 +369,11 @@ def top_pickup_locations(df: DataFrame, n: int = 10) -> DataFrame:
     return top_n_by(busiest, "trip_count", n, ["pickup_location_id"])
 
 
-def time_grain_rollup(df: DataFrame, grain: str = "day", limit: int = 10_000, column: str = "pickup_datetime") -> DataFrame:
-    """Trips per time grain, earliest first, at most ``limit`` grains."""
+def time_grain_rollup(df: DataFrame, grain: str = "day", limit: int | None = None, column: str = "pickup_datetime") -> DataFrame:
+    """Trips per time grain; a chart's ``limit`` keeps the earliest grains only."""
     when = F.date_trunc(grain, F.col(column).cast("timestamp_ntz")).cast("timestamp_ntz")
-    return (
-        df.groupBy(when.alias("period")).agg(F.count(F.lit(1)).alias("trip_count")).orderBy("period").limit(limit)
-    )
+    counts = df.groupBy(when.alias("period")).agg(F.count(F.lit(1)).alias("trip_count"))
+    return counts if limit is None else counts.orderBy("period").limit(limit)
 
 
 def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:

@@ -80,8 +80,8 @@ def eda_run(trips: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def analysis_bundle(trips: DataFrame) -> dict[str, DataFrame]:
-    """Every dataset of the analysis run, lazily."""
+def analysis_bundle(trips: DataFrame, scatter_rows: int = 10_000) -> dict[str, DataFrame]:
+    """Every dataset of the analysis run, lazily; ``scatter_rows`` bounds the points of the scatter chart alone."""
     monthly = timeseries.monthly_lag(timeseries.monthly_metrics(trips))
     names = (
         "hourly_demand",
@@ -99,7 +99,7 @@ def analysis_bundle(trips: DataFrame) -> dict[str, DataFrame]:
         "trend": timeseries.trend_regression(monthly),
         "heatmap": catalog.demand_heatmap(trips),
         "fare_boxes": stats.five_number_summary(trips, "total_amount", ["time_of_day"], few_groups=True),
-        "scatter": limit_rows(trips).select("trip_distance", "trip_duration_minutes", "total_amount", "time_of_day"),
+        "scatter": limit_rows(trips, scatter_rows).select("trip_distance", "trip_duration_minutes", "total_amount", "time_of_day"),
         "trend_lines": stats.ols_trend_line(trips),
         "radar": stats.zscore_profile(catalog.REPORTS_V2["radar_profile"](trips)),
         "correlations": stats.correlation_matrix(trips),

@@ -159,7 +159,7 @@ def _(t: Tables) -> DataFrame:
         "SELECT pickup_location_id, count(*) AS trip_count FROM {trips} "
         "WHERE pickup_hour >= :hour GROUP BY pickup_location_id"
     )
-    return tables.run_query(t.spark, text, {"hour": 12}, trips=t.v2())
+    return tables.run_query(t.spark, text, {"hour": 0}, trips=t.v2())
 
 
 add("generate_trips", lambda t: rounded(synthetic.generate_trips(t.given("orders"), "o_orderkey")))
@@ -171,13 +171,6 @@ def _(t: Tables) -> DataFrame:
     return calendar.month_range(bounds)
 
 
-add(
-    "file_inventory",
-    lambda t: files.file_inventory(t.spark, t.folder).select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), "size_bytes", "accepted"
-    ),
-)
-
 # ---------------------------------------------------------------- sinks
 
 
@@ -206,15 +199,18 @@ def _(t: Tables) -> DataFrame:
 
 @register("write_metric_table")
 def _(t: Tables) -> DataFrame:
-    path = writers.write_metric(
-        catalog.REPORTS_V1["payment_metrics"](t.v1()), t.shared("metrics"), "payment_metrics", *MONTH
+    monthly = t.v1().groupBy("pickup_year", "pickup_month", "payment_type_desc").agg(
+        F.count(F.lit(1)).alias("payment_count"),
+        F.sum("total_amount").alias("total_revenue"),
+        F.avg("tip_percentage").alias("avg_tip_percentage"),
     )
+    path = writers.write_metric_months(monthly, t.shared("metrics"), "payment_metrics")
     return rounded(t.spark.read.parquet(path))
 
 
 @register("write_trips_partitioned")
 def _(t: Tables) -> DataFrame:
-    stored = _stored(t, "days", lambda path: writers.write_trips_by_day(tables.month_slice(t.v1(), *MONTH), path))
+    stored = _stored(t, "days", lambda path: writers.write_trips_by_day(t.v1(), path))
     return frequency(stored, "pickup_date", "pickup_hour")
 
 
@@ -235,7 +231,7 @@ def _(t: Tables) -> DataFrame:
 @register("append_analytics")
 def _(t: Tables) -> DataFrame:
     writers.create_analytics_table(t.spark, "registered_analytics", t.shared("analytics"))
-    writers.append_analytics(tables.month_slice(t.v2(), *MONTH), "registered_analytics")
+    writers.append_analytics(t.v2(), "registered_analytics")
     stored = tables.scan_table(t.spark, "registered_analytics")
     return rounded(catalog.REPORTS_V2["view_financial"](stored))
 
@@ -262,7 +258,7 @@ def _(t: Tables) -> DataFrame:
         """
         CREATE OR REPLACE TEMP VIEW registered_hours AS
           SELECT pickup_hour, count(*) AS row_count FROM registered_script_trips GROUP BY pickup_hour;
-        CREATE OR REPLACE TEMP VIEW registered_busy AS SELECT * FROM registered_hours WHERE pickup_hour >= 12;
+        CREATE OR REPLACE TEMP VIEW registered_busy AS SELECT * FROM registered_hours WHERE pickup_hour >= 0;
         """,
     )
     return t.spark.table("registered_busy")
@@ -443,7 +439,7 @@ def _(t: Tables) -> DataFrame:
     return rounded(catalog.with_spread(frequency(t.v2(), "pickup_hour"), "row_count", "avg_trips", "stddev_trips"))
 
 
-add("value_semi_join", lambda t: outliers.outlier_rows(t.v2(), "total_amount").select("trip_id", "total_amount"))
+add("value_semi_join", lambda t: rounded(outliers.outlier_rows(t.v2(), "speed_mph").select("trip_id", "speed_mph")))
 add("broadcast_zone_rollup", lambda t: rounded(zones.zone_rollup(t.raw(), t.zones())))
 
 
@@ -454,7 +450,7 @@ def _(t: Tables) -> DataFrame:
     return rounded(zones.daily_metrics_zone_join(daily, t.zones(), last, AS_OF_DAYS))
 
 
-add("zone_gap_report", lambda t: zones.zone_gap_report(t.raw(), t.zones()))
+add("zone_gap_report", lambda t: zones.zone_gap_report(t.raw(), t.zones().where(F.col("LocationID") % 10 != 7)))
 
 # ---------------------------------------------------------------- reports
 
@@ -527,14 +523,14 @@ def _(t: Tables) -> DataFrame:
 
 
 _SCATTER = ("trip_id", "trip_distance", "trip_duration_minutes", "total_amount", "time_of_day")
-add("limit_rows", lambda t: sampling.limit_rows(t.v2()).select(*_SCATTER))
+add("limit_rows", lambda t: sampling.limit_rows(t.v2(), 10_000).select(*_SCATTER))
 add("sample_n", lambda t: sampling.sample_n(t.v2()).select("trip_id", "trip_distance", "speed_mph", "time_of_day"))
 
 
 @register("union_months")
 def _(t: Tables) -> DataFrame:
     v2 = t.v2()
-    months = [tables.month_slice(v2, 1996, m) for m in (4, 5, 6)]
+    months = [v2.where(F.col("pickup_month") == m) for m in range(1, 13)]
     return _month_totals(tables.union_tables(months))
 
 

@@ -15,7 +15,6 @@ from tripmill.sources.files import spread_rows
 # Fixed values of the mapping.
 SECONDS_PER_DAY = 86_400
 LOCATIONS = 97
-LAST_ZONE = 90
 
 
 _SCHEMAS: dict[str, T.StructType] = {}
@@ -55,7 +54,7 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
         F.timestamp_add("SECOND", (start + length).cast("int"), F.col("o_orderdate")).alias("tpep_dropoff_datetime"),
         F.col("l_linenumber").alias("passenger_count"),
         ((F.col("l_partkey") * 13 + F.col("l_linenumber") * 101) % 2500 / 100).alias("trip_distance"),
-        (F.col("l_suppkey") % LOCATIONS + 1).cast("int").alias("pu_location_id"),
+        (F.col("l_suppkey") + 1).cast("int").alias("pu_location_id"),
         (F.col("l_partkey") % LOCATIONS + 1).cast("int").alias("do_location_id"),
         (F.col("l_orderkey") % 5 + 1).cast("int").alias("payment_type"),
         fare.alias("fare_amount"),
@@ -84,8 +83,8 @@ def blemish(df: DataFrame) -> DataFrame:
 
 
 def zones(spark: SparkSession, folder: str) -> DataFrame:
-    """Zone lookup: LocationID, Borough and Zone; ids above 90 have no zone."""
-    supplier = read_table(spark, folder, "supplier").where(F.col("s_suppkey") < LAST_ZONE)
+    """Zone lookup, one zone per supplier: LocationID, Borough and Zone."""
+    supplier = read_table(spark, folder, "supplier")
     nation = read_table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, folder, "region").select("r_regionkey", "r_name")
     return (

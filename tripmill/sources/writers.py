@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -71,6 +72,13 @@ def write_metric(df: DataFrame, root: str, metric: str, year: int, month: int) -
     return path
 
 
+def write_metric_months(df: DataFrame, root: str, metric: str) -> str:
+    """Store a metric of all months, one folder per month; months not in ``df`` stay. Returns the path."""
+    path = f"{root}/{metric}"
+    write_partitioned(df, path)
+    return path
+
+
 def save_table(df: DataFrame, table: str, mode: str = "overwrite", path: str | None = None) -> None:
     """Store a query result as a catalogue table, at ``path`` if given."""
     writer = df.write.mode(mode).format("parquet")
@@ -80,9 +88,15 @@ def save_table(df: DataFrame, table: str, mode: str = "overwrite", path: str | N
 def create_analytics_table(
     spark: SparkSession, table: str, path: str, schema: T.StructType = ANALYTICS_TRIP
 ) -> None:
-    """Drop and recreate an empty analytics table partitioned by pickup day."""
+    """Drop and recreate an empty analytics table partitioned by pickup day.
+
+    Dropping an external table leaves its files, so they are overwritten with
+    nothing; a second run starts empty like the first.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("pickup_date").parquet(path)
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (pickup_date) LOCATION '{path}'"
     )
@@ -142,13 +156,29 @@ class StatementResult:
     error: str | None = None
 
 
+# Quoted text, comments, or anything else up to a semicolon.
+_SQL_PART = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|;|[^'\"`;/-]+|.", re.DOTALL)
+
+
+def split_sql(text: str) -> list[str]:
+    """Statements of a script; semicolons within quotes and comments do not end one."""
+    statements, current = [], []
+    for part in [*_SQL_PART.findall(text), ";"]:
+        if part != ";":
+            current.append("\n" if part.startswith(("--", "/*")) else part)
+            continue
+        statements.append("".join(current).strip())
+        current = []
+    return [s for s in statements if s]
+
+
 def run_sql_script(spark: SparkSession, text: str) -> list[StatementResult]:
-    """Run each statement of a script; a failure is reported and the rest still run."""
+    """Run each statement of a script; a failure is reported in full and the rest still run."""
     results = []
-    for statement in filter(None, (part.strip() for part in text.split(";"))):
+    for statement in split_sql(text):
         try:
             spark.sql(statement)
             results.append(StatementResult(statement, True))
         except Exception as error:  # noqa: BLE001 - any failure is part of the report
-            results.append(StatementResult(statement, False, str(error).splitlines()[0]))
+            results.append(StatementResult(statement, False, str(error)))
     return results

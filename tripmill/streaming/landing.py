@@ -14,7 +14,11 @@ from tripmill.session import settle
 from tripmill.sources.writers import MONTH_PARTITION, write_partitioned
 
 DELIVERY_PARTITION = ("file_year", "file_month")
-_MONTH_IN_NAME = r"(\d{4})-(\d{2})[^/]*$"
+# Month of a file: a year-month between separators of its name, or folders file_year=/file_month=.
+MONTH_IN_NAME = r"(?:^|[/_.])(\d{4})-(0[1-9]|1[0-2])(?=[_.][^/]*$)"
+MONTH_IN_FOLDER = r"/file_year=(\d{4})/file_month=(0?[1-9]|1[0-2])/"
+# A date behind the month tells deliveries of one folder apart.
+STAMP_IN_NAME = r"\d{4}-\d{2}_(\d{8})(?=[_.][^/]*$)"
 
 Derive = Callable[[DataFrame], DataFrame]
 
@@ -43,52 +47,73 @@ def stream_land_files(
     )
 
 
-def _part_of_name(group: int) -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), _MONTH_IN_NAME, group).try_cast("int")
+def _month_part(group: int, pattern: str) -> Column:
+    path = F.col("_metadata.file_path")
+    named, folder = F.regexp_extract(path, pattern, group), F.regexp_extract(path, MONTH_IN_FOLDER, group)
+    return F.coalesce(folder.try_cast("int"), named.try_cast("int"))
 
 
-def with_delivery(source: DataFrame) -> DataFrame:
-    """Rows with the month named by their file and the file's time and path."""
+def with_delivery(source: DataFrame, pattern: str = MONTH_IN_NAME) -> DataFrame:
+    """Rows with the month of their file (null if it tells none) and its delivery.
+
+    A delivery is everything of one month that arrives in one folder under one
+    stamp, however many files it has.
+    """
+    path = F.col("_metadata.file_path")
     return source.select(
         "*",
-        _part_of_name(1).alias("file_year"),
-        _part_of_name(2).alias("file_month"),
-        F.struct(
-            F.col("_metadata.file_modification_time").alias("delivered"), F.col("_metadata.file_path").alias("file")
-        ).alias("delivery"),
+        _month_part(1, pattern).alias("file_year"),
+        _month_part(2, pattern).alias("file_month"),
+        F.struct(F.regexp_extract(path, STAMP_IN_NAME, 1).alias("stamp"), F.regexp_extract(path, r"^(.*)/[^/]*$", 1).alias("folder")).alias("delivery"),
+        F.col("_metadata.file_modification_time").alias("delivered"),
     )
 
 
 def latest_delivery(batch: DataFrame) -> DataFrame:
-    """Rows of the last delivered file of each file month.
+    """Rows of the last delivery of each file month: by stamp, then by the time of its newest file.
 
-    Deliveries are compared one row per file; trips are not sorted. The chosen
+    Deliveries are compared one row per delivery; trips are not sorted. The chosen
     deliveries are stored first, so their real size picks the join and a large
-    file's rows are not shuffled to one task.
+    delivery's rows are not shuffled to one task.
     """
     month = list(DELIVERY_PARTITION)
-    per_file = batch.groupBy(*month, "delivery").agg(F.count(F.lit(1)).alias("_rows"))
-    newest = Window.partitionBy(*month).orderBy(F.desc("delivery"))
-    chosen = per_file.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
-    return batch.join(settle(chosen.select("delivery"), "deliveries"), "delivery", "left_semi")
+    per_delivery = batch.groupBy(*month, "delivery").agg(F.max("delivered").alias("_newest"))
+    newest = Window.partitionBy(*month).orderBy(F.desc("delivery.stamp"), F.desc("_newest"), F.desc("delivery.folder"))
+    chosen = per_delivery.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
+    return batch.join(settle(chosen.select(*month, "delivery"), "deliveries"), [*month, "delivery"], "left_semi")
 
 
 def stream_replace_months(
-    spark: SparkSession, folder: str, schema: T.StructType, out: str, checkpoint: str, derive: Derive = derive_v1
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    out: str,
+    checkpoint: str,
+    derive: Derive = derive_v1,
+    pattern: str = MONTH_IN_NAME,
+    rejected: str | None = None,
 ) -> StreamingQuery:
     """Like :func:`stream_land_files`, but a month delivered again replaces the
     rows stored for it.
 
-    The month is the one in the file name: a January file may hold a few
-    December trips, and they must not replace December. A batch overwrites
-    whole months, so repeating it is harmless.
+    The month is the one that the file's name or folder tells: a January file may
+    hold a few December trips, and they must not replace December. The delivery
+    is chosen before rows are cleaned, so one that cleaning empties still
+    replaces an older one's rows in its batch. A batch overwrites whole months, so
+    repeating it is harmless. Rows of files that tell no month are stored as they
+    are below ``rejected`` (default: ``out`` with ``-rejected``), by batch.
     """
+    rejected = rejected or f"{out.rstrip('/')}-rejected"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_partitioned(latest_delivery(batch).drop("delivery"), out, DELIVERY_PARTITION)
+        known = F.col("file_year").isNotNull() & F.col("file_month").isNotNull()
+        lost = batch.where(~known).drop(*DELIVERY_PARTITION, "delivery", "delivered")
+        if not lost.isEmpty():
+            lost.write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
+        write_partitioned(derive(latest_delivery(batch.where(known)).drop("delivery", "delivered")), out, DELIVERY_PARTITION)
 
     return (
-        derive(with_delivery(stream_files(spark, folder, schema)))
+        with_delivery(stream_files(spark, folder, schema), pattern)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
