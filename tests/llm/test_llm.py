@@ -297,6 +297,21 @@ def test_suffix_dedup_hot_minimizers(spark, monkeypatch):
     rows = [(i, prose(rng, 30) + passage + prose(rng, 30)) for i in range(12)]
     found = {r.doc_id: r.n_removed for r in suffix_dedup.removal_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert found == {i: r[1] for i, r in removed([(i, t.encode()) for i, t in rows]).items()}
+    copies = [(20 + i, rows[i % 3][1][: 300 + 40 * i] + "~" + rows[i % 3][1][300 + 40 * i :]) for i in range(12)]
+    rows += copies + [(40, "q" * 900), (41, "q" * 700), (42, "ab" * 400), (43, rows[5][1] + rows[5][1]), (None, rows[2][1] + "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    digest = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.removal_report(docs).collect()}
+    assert digest == removed([(i, t.encode()) for i, t in rows])
+    earlier = suffix_dedup.repeated_spans(docs)[1].where("not later")
+    least = {r.k1: r.least for r in suffix_dedup.repeated_spans(docs)[0].collect()}
+    marked = {(least[r.k1], p) for r in earlier.collect() for p in range(r.low, r.high)}
+    seen, wanted = set(), set()
+    for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        for p in range(len(text) - 399):
+            if text[p : p + 400] in seen:
+                wanted.update((i, q) for q in range(p, p + 400))
+            seen.add(text[p : p + 400])
+    assert marked == wanted
 
 
 def test_pieces_equal_the_library(edge_docs, no_docs):

@@ -15,10 +15,14 @@ text position in suffix order lies in the same run, that is if it is not the
 run's smallest position; the longest next factor mirrors it. Matches are compared
 byte by byte before they count.
 
-A minimizer with more than ``HOT`` rows is not gathered in a task: its suffixes
-are grouped by a 128-bit hash of their ``length`` bytes, with smallest and largest
-positions combined before the shuffle. Equal texts form one class that is read
-once; further copies of a text repeat all of it.
+A minimizer with more than ``HOT`` rows is not gathered in a task. Its runs are
+compared in pieces by 128-bit hashes: of all bytes of a piece, and of the core
+that its suffixes have in common. Of pieces with the same bytes only the first
+and the last occurrence (combined before the shuffle) can have anything else to
+find; the others match from end to end. These two go on in narrower pieces while
+another piece has their core, down to single suffixes, so an occurrence makes a
+few rows at each width and not one for each suffix. Equal texts form one class
+that is read once; further copies of a text repeat all of it.
 
 Positions are ordered by (id, place in the text). Null text counts as empty, and
 texts shorter than ``length`` never change. Null ids come last. Repeated rows are
@@ -44,6 +48,8 @@ GRAM = 32
 HOT = 4096
 SEGMENT = 900_000
 ROWS_BYTES = 12 << 20
+#: Distances to the minimizer in one piece of a hot run; each width divides the one before, the first pieces are whole runs.
+WIDTHS = (64, 8, 1)
 _INDEX = np.uint64((1 << 20) - 1)
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1)
 
@@ -98,19 +104,6 @@ def _runs_of(group: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarr
     return number, starts[first] + shift, counts, places[first] + shift, hashes[places[first]].view(np.int64)
 
 
-def window_hashes(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of each ``length``-byte window."""
-    values = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
-    out = []
-    for base in _BASES:
-        inverse = pow(base, -1, 1 << 64)
-        down = np.cumprod(np.append(np.uint64(1), np.full(len(values) - 1, inverse, np.uint64)))
-        up = np.cumprod(np.append(np.uint64(1), np.full(len(values), base, np.uint64)))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * down)])
-        out.append(_mix((sums[length:] - sums[:-length]) * up[: len(values) - length + 1]))
-    return out[0], out[1]
-
-
 def factor_ranges(rows: list[bytes], before: np.ndarray, fewest: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """Suffixes with an earlier and with a later match, as ranges of their distance to the minimizer.
 
@@ -209,7 +202,7 @@ def _squeeze(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut_rows(length: int, hot_rows: int):
     def cut(source: Iterator[dict]) -> Iterator[dict]:
-        """The bytes of each run (kind 0), suffix hashes of hot runs (kind 1), and the text itself (kind 2)."""
+        """The bytes of each run (kind 0, hot ones kind 1), and the text itself (kind 2)."""
         import zstandard
 
         unpack = zstandard.ZstdDecompressor()
@@ -219,15 +212,65 @@ def _cut_rows(length: int, hot_rows: int):
             yield key | {"kind": 2, "data": row["z"]}
             for run in row["runs"]:
                 data = text[run["start"] : run["start"] + run["starts"] + length - 1]
-                if run["n"] <= hot_rows:
-                    yield key | {"kind": 0, "h": run["h"], "start": run["start"], "starts": run["starts"], "place": run["place"], "data": data}
-                    continue
-                for i, (f1, f2) in enumerate(zip(*(h.view(np.int64).tolist() for h in window_hashes(data, length)))):
-                    yield key | {"kind": 1, "h": f1, "h2": f2, "start": run["start"] + i, "place": run["place"]}
+                yield key | {"kind": int(run["n"] > hot_rows), "h": run["h"], "start": run["start"], "starts": run["starts"], "place": run["place"], "data": data}
 
     return cut
 
 
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def _pieces(width: int, length: int):
+    def pieces(source: Iterator[dict]) -> Iterator[dict]:
+        """Pieces of at most ``width`` distances of the given ranges of a run, with hashes of their core and of all their bytes."""
+        for row in source:
+            data, at = row["data"], row["place"] - row["start"]
+            key = {c: row[c] for c in ("k1", "k2", "least", "start", "place")}
+            for span in row["ranges"]:
+                low = span["low"]
+                while low <= span["high"]:
+                    block = low - low % width
+                    end = min(block + width - 1, length - GRAM)
+                    high = min(end, span["high"])
+                    core, whole = data[at - block : at - end + length], data[at - high : at - low + length]
+                    yield key | {"low": low, "high": high, "block": block, "core": _digest(core), "whole": _digest(b"%d %d " % (low, high) + whole)}
+                    low = high + 1
+
+    return pieces
+
+
+def _hot_spans(runs_of: DataFrame, length: int) -> DataFrame | None:
+    """Spans (k1, k2, later, low, high) of the runs of hot minimizers; None where there are no such runs."""
+    key = ["k1", "k2", "start", "place"]
+    id_type = runs_of.schema["least"].dataType.simpleString()
+    shape = f"k1 bigint, k2 bigint, least {id_type}, start bigint, place bigint, low bigint, high bigint, block bigint, core binary, whole binary"
+    whole_run = F.struct((F.col("place") - F.col("start") - F.col("starts") + 1).alias("low"), (F.col("place") - F.col("start")).alias("high"))
+    todo, spans = runs_of.withColumn("ranges", F.array(whole_run)), None
+    for width in (length, *WIDTHS):
+        if todo.isEmpty():
+            break
+        position = F.struct(F.col("least").isNull().alias("none"), "least", "k1", "k2", "place")
+        pieces = settle(map_rows(todo, _pieces(width, length), shape, lambda r: 160).withColumn("position", position), "hot-pieces")
+        contents = pieces.groupBy("block", "core", "whole").agg(F.min("position").alias("_first"), F.max("position").alias("_last"))
+        shared = contents.groupBy("block", "core").agg(F.count(F.lit(1)).alias("_contents")).where("_contents > 1")
+        ends = contents.join(shared, ["block", "core"], "left").where("_first <> _last or _contents > 1")
+        is_first, is_last = F.col("position") == F.col("_first"), F.col("position") == F.col("_last")
+        told = settle(
+            pieces.join(ends, ["block", "core", "whole"]).select(
+                *key, "low", "high", (~is_first).alias("earlier"), (~is_last).alias("later"), ((is_first | is_last) & F.col("_contents").isNotNull()).alias("open")
+            ),
+            "hot-matches",
+        )
+        sides = F.explode(F.array(F.struct(F.col("earlier").alias("hit"), F.lit(False).alias("later")), F.struct(F.col("later").alias("hit"), F.lit(True).alias("later"))))
+        found = told.select("k1", "k2", "place", "low", "high", sides.alias("_s")).where("_s.hit")
+        found = found.select("k1", "k2", "_s.later", (F.col("place") - F.col("high")).alias("low"), (F.col("place") - F.col("low") + length).alias("high"))
+        spans = found if spans is None else spans.unionByName(found)
+        ranges = told.where("open").groupBy(*key).agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+        todo = runs_of.join(ranges, key)
+    return spans
+
+
 def _match(length: int):
     def match(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Spans (k1, k2, later, low, high) from rows sorted by h: low to high has matches; later tells where they lie."""
@@ -292,29 +335,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = long_enough.mapInArrow(_squeeze, "k1 bigint, k2 bigint, z binary").dropDuplicates(["k1", "k2"])
     wanted = texts.join(per_text, ["k1", "k2"]).join(classes.select("k1", "k2", "least"), ["k1", "k2"])
     id_type = classes.schema["least"].dataType.simpleString()
-    shape = f"k1 bigint, k2 bigint, least {id_type}, kind int, h bigint, h2 bigint, start bigint, starts int, place bigint, data binary"
+    shape = f"k1 bigint, k2 bigint, least {id_type}, kind int, h bigint, start bigint, starts int, place bigint, data binary"
     cut = settle(map_rows(wanted, _cut_rows(length, HOT), shape, lambda r: 100 + len(r.get("data") or b"")), "suffix-rows")
-    spans = "k1 bigint, k2 bigint, later boolean, low bigint, high bigint"
+    span = "k1 bigint, k2 bigint, later boolean, low bigint, high bigint"
     close = (
         cut.where("kind = 0")
         .select("h", "k1", "k2", "least", "start", "starts", "place", "data")
         .repartition("h")
         .sortWithinPartitions("h")
-        .mapInArrow(_match(length), spans)
-    )
-    position = F.struct(F.col("least").isNull().alias("none"), "least", "k1", "k2", "start")
-    hot = cut.where("kind = 1").select("h", "h2", "k1", "k2", "start", "place", position.alias("position"))
-    ends = hot.groupBy("h", "h2").agg(F.min("position").alias("_first"), F.max("position").alias("_last")).where("_first <> _last")
-    sides = F.explode(F.array(F.struct((F.col("position") != F.col("_first")).alias("hit"), F.lit(False).alias("later")), F.struct((F.col("position") != F.col("_last")).alias("hit"), F.lit(True).alias("later"))))
-    common = (
-        hot.join(ends, ["h", "h2"])
-        .select("k1", "k2", "place", "start", sides.alias("_s"))
-        .where("_s.hit")
-        .groupBy("k1", "k2", "place", F.col("_s.later").alias("later"))
-        .agg(F.min("start").alias("low"), (F.max("start") + length).alias("high"))
-        .select("k1", "k2", "later", "low", "high")
+        .mapInArrow(_match(length), span)
     )
-    return classes, settle(close.unionByName(common), "spans"), cut.where("kind = 2").select("k1", "k2", F.col("data").alias("z"))
+    hot = _hot_spans(cut.where("kind = 1").select("k1", "k2", "least", "start", "starts", "place", "data"), length)
+    spans = settle(close if hot is None else close.unionByName(hot), "spans")
+    return classes, spans, cut.where("kind = 2").select("k1", "k2", F.col("data").alias("z"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
