@@ -5,8 +5,8 @@ one global order of shingles, two sets of similarity 0.8 share at least ``l`` of
 the first ``n - ceil(0.8 n) + l`` shingles of each, for any ``l``. So:
 
 1. Sets are hashed per document. Documents with equal sets form one class, and
-   only classes are compared. Frequent shingles are found from counts of
-   prefixes; a bounded number of them goes last in the global order.
+   only classes are compared. Frequent shingles are counted over whole sets; a
+   bounded number of them goes last in the global order, rarer ones first.
 2. Each class takes a prefix whose length follows its estimated candidate cost:
    the more frequent its prefix shingles, the longer the prefix and the more
    shared shingles a partner must show.
@@ -41,9 +41,8 @@ from tripmill.session import settle
 WORDS = 5
 #: Similarity 0.8 as a ratio of integers.
 SHARE, OF = 4, 5
-#: A shingle in so many prefixes goes last in the order; at most so many of them.
-HOT, HOT_KEPT = 64, 200_000
-WARM = 16
+#: Shingles in so many sets go last in the order, by count; at most so many of them.
+FREQUENT, FREQUENT_KEPT = 16, 200_000
 #: Shingles repeated less often within one map task are not reported as frequent.
 LOCAL_REPEATS = 4
 #: Longest list that gives all its pairs.
@@ -137,7 +136,7 @@ def _sets_of(batch: pa.RecordBatch) -> Iterator[tuple[list, list[np.ndarray], li
 
 
 def _describe(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, n_shingles, cid) of each document, and (token, n) of shingles repeated among prefixes of the task."""
+    """(id, n_shingles, cid) of each document, and (token, n) of shingles repeated among sets of the task."""
     held, weight, seen = [], 0, set()
 
     def frequent() -> pa.RecordBatch:
@@ -156,8 +155,8 @@ def _describe(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for cid, shingles in zip(cids, sets):
                 if cid is not None and cid not in seen:
                     seen.add(cid)
-                    held.append(shingles[: prefix_length(len(shingles))])
-                    weight += len(held[-1])
+                    held.append(shingles)
+                    weight += len(shingles)
             empty = pa.nulls(len(sets), pa.int64())
             yield pa.record_batch([piece.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(cids, pa.int64()), empty, empty], names)
         if weight > 4_000_000:
@@ -181,9 +180,8 @@ def _emit_prefixes(tokens: np.ndarray, counts: np.ndarray):
                     size, base = len(shingles), prefix_length(len(shingles))
                     at = np.minimum(np.searchsorted(tokens, shingles), max(0, len(tokens) - 1))
                     known = counts[at] * (tokens[at] == shingles) if len(tokens) else np.zeros(size, np.int64)
-                    hot = known >= HOT
-                    ordered = np.concatenate([shingles[~hot], shingles[hot]])
-                    cost = np.concatenate([known[~hot], known[hot]])[:base]
+                    by_count = np.argsort(known, kind="stable")  # the global order: count, then hash
+                    ordered, cost = shingles[by_count], known[by_count][:base]
                     extra = min(MOST_EXTRA, size - base, int(np.log2(1 + cost.sum() / base)))
                     rows.append(ordered[: base + extra])
                     cids.append(np.full(base + extra, cid, np.int64))
@@ -335,8 +333,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     described = settle(plain.mapInArrow(_describe, f"id {id_type}, n_shingles bigint, cid bigint, token bigint, n bigint"), "sets")
     documents = described.where("token IS NULL").select("id", "n_shingles", "cid")
     frequent = (
-        described.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= WARM).orderBy(F.desc("n"), "token").limit(HOT_KEPT)
-    ).toPandas()  # at most HOT_KEPT rows
+        described.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(FREQUENT_KEPT)
+    ).toPandas()  # at most FREQUENT_KEPT rows
     tokens = frequent["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     emit = _emit_prefixes(tokens[order], frequent["n"].to_numpy(np.int64)[order])
