@@ -248,6 +248,21 @@ def test_jaccard_join_long_lists(spark):
     assert found == near_components(rows)
 
 
+def test_bitmaps_never_exclude_similar_sets(spark):
+    rng = np.random.default_rng(13)
+    rows, expected = [], {}
+    for i in range(300):
+        whole = rng.integers(0, 1 << 63, rng.integers(2, 400), np.int64).astype(np.uint64)
+        share = rng.random() * 0.3
+        left, right = np.unique(whole[rng.random(len(whole)) >= share]), np.unique(whole[rng.random(len(whole)) >= share])
+        expected[i] = jaccard_join.similar(left, right)
+        rows.append((i, len(left), *jaccard_join.marks_of(left).tolist(), len(right), *jaccard_join.marks_of(right).tolist()))
+    sides = [f"{side}{c}" for side in ("_l", "_r") for c in ("size", *range(jaccard_join.MARKS))]
+    docs = spark.createDataFrame(rows, "i int, " + ", ".join(f"{c} bigint" for c in sides))
+    close = {r.i for r in docs.where(jaccard_join._may_be_similar("_l", "_r")).collect()}
+    assert {i for i, yes in expected.items() if yes} <= close and 0 < len(close) < len(rows)
+
+
 def test_components_of_a_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     assert {r.node: r.component for r in components.connected(chain).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}

@@ -11,7 +11,8 @@ the first ``n - ceil(0.8 n) + l`` shingles of each, for any ``l``. So:
    the more frequent its prefix shingles, the longer the prefix and the more
    shared shingles a partner must show.
 3. Prefix rows meet by shingle. Short lists give all their pairs, long lists only
-   the pairs with their first member. Pairs with enough shared shingles are
+   the pairs with their first member. Pairs with enough shared shingles whose
+   bitmaps of set bits differ in no more places than similar sets can are
    verified on the complete sets of both texts.
 4. What a long list left out, and unverified pairs, are taken up where the two
    sides are not yet in one component: exactly these pairs could still change a
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import require, slices, table
@@ -48,6 +49,8 @@ LOCAL_REPEATS = 4
 #: Longest list that gives all its pairs.
 SHORT_LIST = 16
 MOST_EXTRA = 4
+#: Longs in the bitmap of a set.
+MARKS = 16
 CHUNK = 1 << 20
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -125,6 +128,27 @@ def similar(left: np.ndarray, right: np.ndarray) -> bool:
     return OF * shared >= SHARE * (len(left) + len(right) - shared) and shared > 0
 
 
+def marks_of(shingles: np.ndarray) -> np.ndarray:
+    """Bitmap of a set: the bit of each shingle is set."""
+    bits = np.zeros(64 * MARKS, bool)
+    bits[(shingles % np.uint64(64 * MARKS)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.int64)
+
+
+def _may_be_similar(left: str, right: str) -> Column:
+    """Whether bitmaps allow similarity; columns of the two sides start with ``left`` and ``right``.
+
+    Each bit that differs is a shingle of one side only, and similar sets have at most 1/9
+    of their sizes in such shingles.
+    """
+    apart = sum((F.bit_count(F.col(f"{left}{i}").bitwiseXOR(F.col(f"{right}{i}"))) for i in range(1, MARKS)), F.bit_count(F.col(f"{left}0").bitwiseXOR(F.col(f"{right}0"))))
+    return apart * (OF + SHARE) <= (F.col(f"{left}size") + F.col(f"{right}size")) * (OF - SHARE)
+
+
+def _marks(texts: DataFrame, cid: str, prefix: str) -> DataFrame:
+    return texts.select(F.col("cid").alias(cid), F.col("size").alias(f"{prefix}size"), *[F.col(f"m{i}").alias(f"{prefix}{i}") for i in range(MARKS)])
+
+
 def _class_id(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -279,19 +303,24 @@ def _with(lead, token: np.ndarray, cid: np.ndarray, meta: np.ndarray):
 
 
 def _compressed(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cid, z) of each distinct set of a task: the text compressed."""
+    """(cid, z, size, marks) of each distinct set of a task: the text compressed, the size and bitmap of its set."""
     import zstandard
 
     squeeze, seen = zstandard.ZstdCompressor(3), set()
     for batch in source:
         for _, sets, texts in _sets_of(batch):
-            cids, packed = [], []
+            cids, packed, sizes, marks = [], [], [], []
             for shingles, text in zip(sets, texts):
                 if len(shingles) and (cid := _class_id(shingles)) not in seen:
                     seen.add(cid)
                     cids.append(cid)
                     packed.append(squeeze.compress(text))
-            yield pa.record_batch([pa.array(cids, pa.int64()), pa.array(packed, pa.binary())], ["cid", "z"])
+                    sizes.append(len(shingles))
+                    marks.append(marks_of(shingles))
+            columns = [pa.array(c) for c in np.array(marks, np.int64).reshape(-1, MARKS).T]
+            yield pa.record_batch(
+                [pa.array(cids, pa.int64()), pa.array(packed, pa.binary()), pa.array(sizes, pa.int64()), *columns], ["cid", "z", "size", *(f"m{i}" for i in range(MARKS))]
+            )
 
 
 def _verify(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +343,10 @@ def _verify(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are similar; each text travels once for each pair and once for each left side."""
+    """The pairs (a, b) whose texts are similar; texts of pairs that may be similar travel, once for each pair and once for each left side."""
+    marked = pairs.join(_marks(texts, "a", "_l"), "a").join(_marks(texts, "b", "_r"), "b")
+    pairs = settle(marked.where(_may_be_similar("_l", "_r")).select("a", "b"), "close-pairs")
+    texts = texts.select("cid", "z")
     right = pairs.join(texts, pairs.b == texts.cid).select("a", "b", "z")
     left = pairs.select("a").distinct().join(texts, F.col("a") == texts.cid).select("a", F.lit(None).cast("long").alias("b"), "z")
     # a left side with many partners is split; each part gets the left text
@@ -350,7 +382,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     long_lists = met.where("token IS NOT NULL").select("token", "cid", "meta").distinct()
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).union(long_lists.select("cid")).distinct()
-    squeezed = plain.select("text").mapInArrow(_compressed, "cid bigint, z binary")
+    squeezed = plain.select("text").mapInArrow(_compressed, "cid bigint, z binary, size bigint, " + ", ".join(f"m{i} bigint" for i in range(MARKS)))
     texts = settle(squeezed.join(wanted, "cid", "left_semi").dropDuplicates(["cid"]), "texts")
 
     # pairs with the first member of a list: nearly all components come together here
@@ -362,7 +394,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     side = classes.select(F.col("cid"), F.col("component"))
     left, right = side.toDF("a", "_of_a"), side.toDF("b", "_of_b")
     apart = pairs.join(left, "a").join(right, "b").where("_of_a <> _of_b").select("a", "b", "n", "need", (F.col("first") & (F.col("n") >= F.col("need"))).alias("done"))
-    crossing = _crossing(long_lists.join(side, "cid"))
+    crossing = _crossing(long_lists.join(side, "cid").join(_marks(texts, "cid", "_l"), "cid"))
     open_pairs = (
         apart.unionByName(crossing)
         .groupBy("a", "b")
@@ -387,14 +419,14 @@ def _components(wanted: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _crossing(rows: DataFrame) -> DataFrame:
-    """Pairs across components in long lists: members outside the list's main component, against the others."""
+    """Pairs across components in long lists that may be similar: members outside the list's main component, against the others."""
     counted = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("_members"))
     main = counted.groupBy("token").agg(F.max(F.struct("_members", "component")).alias("_main"), F.count(F.lit(1)).alias("_parts"))
     mixed = rows.join(main.where("_parts > 1").select("token", F.col("_main.component").alias("_main")), "token")
-    few = mixed.where("component <> _main").select("token", F.col("cid").alias("_c"), F.col("component").alias("_k"), F.col("meta").alias("_m"))
+    few = mixed.where("component <> _main").select("token", F.col("cid").alias("_c"), F.col("component").alias("_k"), F.col("meta").alias("_m"), *[F.col(f"_l{c}").alias(f"_r{c}") for c in ("size", *range(MARKS))])
     met = mixed.join(few, "token").where((F.col("component") == F.col("_main")) | (F.col("component") < F.col("_k"))).where("component <> _k")
     size, other = F.shiftright("meta", 3), F.shiftright("_m", 3)
-    return met.where(F.least(size, other) * OF >= F.greatest(size, other) * SHARE).select(
+    return met.where((F.least(size, other) * OF >= F.greatest(size, other) * SHARE) & _may_be_similar("_l", "_r")).select(
         F.least("cid", "_c").alias("a"),
         F.greatest("cid", "_c").alias("b"),
         F.lit(1).cast("long").alias("n"),
