@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -363,6 +364,14 @@ def test_lm_scores_on_edges(edge_docs, no_docs):
     assert lm_scores.score(no_docs).count() == 0
 
 
+def test_lm_scores_know_every_frequent_word(spark):
+    """More words of five occurrences than a fixed vocabulary held: each pair is in five texts alike."""
+    text = " ".join(f"w{i}" for i in range(66_000))
+    rows = lm_scores.score(spark.createDataFrame([(i, text) for i in range(5)], "doc_id int, text string")).collect()
+    assert [(r.n_words, r.backoff_share) for r in rows] == [(66_000, 0.0)] * 5
+    assert all(abs(r.mean_log_score - math.log(4 / 5)) < 1e-9 for r in rows)
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_matches_sql(spark, database, name):
     assert difference(registry.queries()[name](spark, SMALL).toPandas(), database.execute(registry.oracle_sql()[name]).df()) is None
