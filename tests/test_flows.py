@@ -303,6 +303,26 @@ def test_files_of_one_delivery_are_kept_together(spark, make_trips, tmp_path):
     assert spark.read.parquet(f"{out}-rejected").count() == 1
 
 
+def test_deliveries_over_several_triggers(spark, make_trips, tmp_path):
+    source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    os.makedirs(source)
+    march = make_trips(at(1), at(2))
+
+    def run(trips, name):
+        one_file(trips, source, name)
+        landing.stream_replace_months(spark, source, march.schema, out, log).awaitTermination()
+        rows = spark.read.parquet(out).groupBy("file_month").count().collect()
+        return {r.file_month: r["count"] for r in rows}
+
+    assert run(make_trips(at(1, month=2)), "yellow_2023-02_20230301.parquet") == {2: 1}
+    assert run(march, "a_2023-03_20230401.parquet") == {2: 1, 3: 2}
+    assert run(make_trips(at(3)), "b_2023-03_20230401.parquet") == {2: 1, 3: 3}  # more of the same delivery
+    assert run(make_trips(at(4)), "yellow_2023-03_20230315.parquet") == {2: 1, 3: 3}  # an older one, late
+    assert run(make_trips({"trip_distance": 0.0}), "yellow_2023-03_20230501.parquet") == {2: 1}  # cleaned to nothing
+    assert run(make_trips(at(5)), "yellow_2023-03_20230415.parquet") == {2: 1}  # older than the empty one
+    assert run(make_trips(at(6)), "yellow_2023-03_20230601.parquet") == {2: 1, 3: 1}
+
+
 def test_analytics_table_starts_empty_again(spark, tmp_path):
     rows = spark.createDataFrame([], schemas.ANALYTICS_TRIP)
     one = rows.unionByName(spark.sql("SELECT DATE'2023-03-01' AS pickup_date"), allowMissingColumns=True)

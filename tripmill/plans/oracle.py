@@ -682,6 +682,7 @@ def _reports() -> dict[str, str]:
             {"trip_count": "n", "avg_fare": FARE, "avg_distance": MILES},
         ),
         "stream_land_files": _grouped("v1", "pickup_hour", weekday),
+        "stream_replace_months": _grouped("v1", "pickup_hour", weekday),
         "peak_hours": _with(
             "SELECT pickup_hour, trip_count, tidy(f, 6) AS avg_fare, tidy(tip, 6) AS avg_tip_percent, "
             "CASE WHEN trip_count > m + s THEN 'High' WHEN trip_count < m - s THEN 'Low' ELSE 'Normal' END AS demand_level "

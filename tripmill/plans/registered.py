@@ -602,6 +602,20 @@ def _(t: Tables) -> DataFrame:
     return rounded(catalog.REPORTS_V1["viz_hourly_patterns"](t.spark.read.parquet(out)))
 
 
+@register("stream_replace_months")
+def _(t: Tables) -> DataFrame:
+    """Half of the trips, then in later triggers a newer delivery of all of them, in two parts."""
+    source, out, log = t.shared("deliveries"), t.shared("replaced"), t.shared("replaced-log")
+    raw = t.raw()
+    months = {"file_year": F.coalesce(F.year("tpep_pickup_datetime"), F.lit(1900)), "file_month": F.coalesce(F.month("tpep_pickup_datetime"), F.lit(1))}
+    odd = F.coalesce(F.xxhash64("trip_id") % 2 != 0, F.lit(False))
+    for folder, part in (("first", odd), ("second", ~odd), ("second", odd)):
+        some = raw.where(part).withColumns(months).hint("rebalance", *months)
+        some.write.mode("append").partitionBy(*months).parquet(f"{source}/{folder}")
+        landing.stream_replace_months(t.spark, source, raw.schema, out, log).awaitTermination()
+    return rounded(catalog.REPORTS_V1["viz_hourly_patterns"](t.spark.read.parquet(out)))
+
+
 @register("stream_hourly_counts")
 def _(t: Tables) -> DataFrame:
     schema, out = t.given("events").schema, t.shared("hours")

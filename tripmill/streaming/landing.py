@@ -20,6 +20,8 @@ MONTH_IN_FOLDER = r"/file_year=(\d{4})/file_month=(0?[1-9]|1[0-2])/"
 # A date behind the month tells deliveries of one folder apart.
 STAMP_IN_NAME = r"\d{4}-\d{2}_(\d{8})(?=[_.][^/]*$)"
 
+LEDGER = "file_year int, file_month int, delivery struct<stamp: string, folder: string>, newest timestamp"
+
 Derive = Callable[[DataFrame], DataFrame]
 
 
@@ -69,18 +71,33 @@ def with_delivery(source: DataFrame, pattern: str = MONTH_IN_NAME) -> DataFrame:
     )
 
 
-def latest_delivery(batch: DataFrame) -> DataFrame:
-    """Rows of the last delivery of each file month: by stamp, then by the time of its newest file.
+def latest_delivery(batch: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """The last delivery of each file month, if rows of it are in the batch: by stamp, then by the time of its newest file.
 
-    Deliveries are compared one row per delivery; trips are not sorted. The chosen
-    deliveries are stored first, so their real size picks the join and a large
-    delivery's rows are not shuffled to one task.
+    ``stored`` has the delivery that each month's stored rows belong to; ``held``
+    tells whether the chosen one is that. Deliveries are compared one row per
+    delivery; trips are not sorted.
     """
     month = list(DELIVERY_PARTITION)
-    per_delivery = batch.groupBy(*month, "delivery").agg(F.max("delivered").alias("_newest"))
-    newest = Window.partitionBy(*month).orderBy(F.desc("delivery.stamp"), F.desc("_newest"), F.desc("delivery.folder"))
-    chosen = per_delivery.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
-    return batch.join(settle(chosen.select(*month, "delivery"), "deliveries"), [*month, "delivery"], "left_semi")
+    seen = batch.groupBy(*month, "delivery").agg(F.max("delivered").alias("newest")).withColumn("held", F.lit(False))
+    if stored is not None:
+        seen = seen.union(stored.select(*month, "delivery", "newest", F.lit(True)))
+    per_delivery = seen.groupBy(*month, "delivery").agg(
+        F.max("newest").alias("newest"), F.bool_or("held").alias("held"), F.bool_or(~F.col("held")).alias("_arrived")
+    )
+    newest = Window.partitionBy(*month).orderBy(F.desc("delivery.stamp"), F.desc("newest"), F.desc("delivery.folder"))
+    chosen = per_delivery.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1 AND _arrived")
+    return chosen.drop("_rank", "_arrived")
+
+
+def _keep_only(spark: SparkSession, folder: str, name: str) -> None:
+    """Delete everything in ``folder`` except ``name``; the folder may be absent."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if store.exists(path):
+        for status in store.listStatus(path):
+            if status.getPath().getName() != name:
+                store.delete(status.getPath(), True)
 
 
 def stream_replace_months(
@@ -92,25 +109,43 @@ def stream_replace_months(
     derive: Derive = derive_v1,
     pattern: str = MONTH_IN_NAME,
     rejected: str | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Like :func:`stream_land_files`, but a month delivered again replaces the
     rows stored for it.
 
     The month is the one that the file's name or folder tells: a January file may
-    hold a few December trips, and they must not replace December. The delivery
-    is chosen before rows are cleaned, so one that cleaning empties still
-    replaces an older one's rows in its batch. A batch overwrites whole months, so
-    repeating it is harmless. Rows of files that tell no month are stored as they
-    are below ``rejected`` (default: ``out`` with ``-rejected``), by batch.
+    hold a few December trips, and they must not replace December. Which delivery
+    a month's rows belong to is kept below ``ledger`` (default: ``out`` with
+    ``-deliveries``): more files of it are added in later batches, a newer one
+    replaces it, an older one is left out. Deliveries are chosen before rows are
+    cleaned, so one that cleaning empties still empties its month. Rows are stored
+    by month and ``delivery_batch``, and a batch decides from the ledger of the
+    batches before it, so repeating it is harmless. Rows of files that tell no
+    month are stored as they are below ``rejected`` (default: ``out`` with
+    ``-rejected``), by batch.
     """
     rejected = rejected or f"{out.rstrip('/')}-rejected"
+    ledger = ledger or f"{out.rstrip('/')}-deliveries"
+    month = list(DELIVERY_PARTITION)
+    spark.createDataFrame([], LEDGER).write.mode("ignore").parquet(f"{ledger}/delivery_batch=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
         known = F.col("file_year").isNotNull() & F.col("file_month").isNotNull()
-        lost = batch.where(~known).drop(*DELIVERY_PARTITION, "delivery", "delivered")
+        lost = batch.where(~known).drop(*month, "delivery", "delivered")
         if not lost.isEmpty():
             lost.write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
-        write_partitioned(derive(latest_delivery(batch.where(known)).drop("delivery", "delivered")), out, DELIVERY_PARTITION)
+        arrived = batch.where(known)
+        before = own.read.schema(f"{LEDGER}, delivery_batch bigint").parquet(ledger).where(F.col("delivery_batch") < batch_id)
+        last = before.groupBy(*month).agg(F.max_by(F.struct("delivery", "newest"), "delivery_batch").alias("_last"))
+        # stored first, so their real size picks the join and a large delivery's rows are not shuffled to one task
+        chosen = settle(latest_delivery(arrived, last.select(*month, "_last.*")), "deliveries")
+        rows = arrived.join(chosen.select(*month, "delivery"), [*month, "delivery"], "left_semi").drop("delivery", "delivered")
+        write_partitioned(derive(rows).withColumn("delivery_batch", F.lit(batch_id)), out, [*month, "delivery_batch"])
+        for year, number in chosen.where(~F.col("held")).select(*month).collect():  # one row per month
+            _keep_only(own, f"{out}/file_year={year}/file_month={number}", f"delivery_batch={batch_id}")
+        chosen.drop("held").write.mode("overwrite").parquet(f"{ledger}/delivery_batch={batch_id}")
 
     return (
         with_delivery(stream_files(spark, folder, schema), pattern)
