@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import time
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 
 from tripmill import schemas
 from tripmill.functions import features, profiles
-from tripmill.operators import cluster, quality, sampling
+from tripmill.operators import bundles, cluster, quality, sampling
+from tripmill.operators.reports import Report, std
 from tripmill.plans import catalog, processing, registered
 from tripmill.session import shared_dir
-from tripmill.sources import files, synthetic, tables, writers
+from tripmill.sources import files, publish, synthetic, tables, writers
 from tripmill.streaming import landing, windows
 
 NOON = datetime(2023, 3, 1, 12, 0, 0)
@@ -176,12 +178,12 @@ def test_clusters_keep_every_location(spark):
 def test_flow_v1(spark, make_trips, tmp_path):
     source = str(tmp_path / "in.parquet")
     make_trips(at(1), at(1, 13), at(2), {"trip_distance": 0.0}).write.parquet(source)
-    stored = processing.process_v1(spark, source, str(tmp_path / "out"), 2023, 3)
-    assert stored.count() == 3
-    daily = spark.read.parquet(str(tmp_path / "out/daily_metrics/2023_03"))
-    assert sum(r.total_trips for r in daily.collect()) == 3
-    hourly = spark.read.parquet(str(tmp_path / "out/hourly_metrics/2023_03"))
-    assert sum(r.trips_per_hour for r in hourly.collect()) == 3
+    run = processing.process_v1(spark, source, str(tmp_path / "out"), 2023, 3)
+    assert run.read("trips").count() == 3
+    assert (run.metrics["rows_read"], run.metrics["record_count"], run.metrics["months"]) == (4, 3, 1)
+    assert sum(r.total_trips for r in run.read("daily_metrics").collect()) == 3
+    assert sum(r.trips_per_hour for r in run.read("hourly_metrics").collect()) == 3
+    assert {(r.file_year, r.file_month) for r in run.read("payment_metrics").collect()} == {(2023, 3)}
 
 
 def test_flow_v2(spark, make_trips, tmp_path):
@@ -191,9 +193,13 @@ def test_flow_v2(spark, make_trips, tmp_path):
         raw.withColumns({"pickup_year": F.year("tpep_pickup_datetime"), "pickup_month": F.month("tpep_pickup_datetime")}), root
     )
     stored = processing.process_v2(spark, root, "flow_v2_t", str(tmp_path / "t"), 2023, 3)
-    assert stored.count() == 2
+    assert stored.count() == spark.table("flow_v2_t").count() == 2
     assert spark.table("viz_payment_analysis_2023_03").first().payment_type_desc == "credit_card"
     assert {r.day_type for r in spark.table("viz_weekday_weekend_2023_03").collect()} == {"Weekday"}
+    # another month leaves the first where it is, and the same month again replaces only itself
+    for month, rows in ((4, 3), (3, 3)):
+        assert processing.process_v2(spark, root, "flow_v2_t", str(tmp_path / "t"), 2023, month).count() == rows
+    assert spark.table("viz_hourly_patterns_2023_04").first().total_trips == 1
 
 
 def test_flow_v4(spark, make_trips, tmp_path):
@@ -201,9 +207,137 @@ def test_flow_v4(spark, make_trips, tmp_path):
     zone_path.write_text("LocationID,Borough,Zone\n1,North,A\n2,South,B\n")
     rows = [{**at(1 + i % 20), "trip_distance": 1 + i / 50, "total_amount": 5 + i / 50} for i in range(100)]
     make_trips(*rows, {"pu_location_id": 7}).write.parquet(source)
-    stored, statistics = processing.process_v4(spark, source, str(zone_path), str(tmp_path / "out"), 2023, 3)
-    assert statistics["overall"].first().total_trips == stored.count() == 99
-    assert spark.read.parquet(str(tmp_path / "out/statistics/2023/03/popular_routes")).first().trip_count == 99
+    run = processing.process_v4(spark, source, str(zone_path), str(tmp_path / "out"), 2023, 3)
+    assert run.read("overall").first().total_trips == run.read("enriched").count() == 99
+    assert run.read("popular_routes").first().trip_count == 99
+    assert run.metrics["rows_read"] == 101
+
+
+@pytest.fixture
+def year(make_trips, tmp_path):
+    """Twelve delivered months, month m with m good trips and a bad one."""
+    root = str(tmp_path / "year")
+    trips = make_trips(*[row for m in range(1, 13) for row in ([at(1 + i, month=m) for i in range(m)] + [{**at(28, month=m), "trip_distance": 0.0}])])
+    months = {"file_year": F.year("tpep_pickup_datetime"), "file_month": F.month("tpep_pickup_datetime")}
+    writers.write_partitioned(trips.withColumns(months), root, processing.FILE_MONTH)
+    return root
+
+
+def months_of(frame):
+    return {r.file_month: r["count"] for r in frame.groupBy("file_month").count().collect()}
+
+
+def test_months_run_twice_leave_twelve_months(spark, year, tmp_path):
+    out, every = str(tmp_path / "out"), {m: m for m in range(1, 13)}
+    for _ in range(2):
+        for month in (1, 2, 3):
+            run = processing.process_v1_months(spark, year, out, [(2023, month)])
+    assert months_of(run.read("trips")) == {m: m for m in (1, 2, 3)}
+    for _ in range(2):
+        run = processing.process_v1_months(spark, year, out)
+        assert run.metrics["rows_read"] == 78 + 12 and run.metrics["record_count"] == 78
+    assert months_of(run.read("trips")) == every and run.version == 8
+    for name, column in (("daily_metrics", "total_trips"), ("location_metrics", "pickups_count")):
+        totals = run.read(name).groupBy("file_month").agg(F.sum(column).alias("count")).collect()
+        assert {r.file_month: r["count"] for r in totals} == every
+    assert run.tables.superseded().select("part").distinct().count() == 12
+    assert run.tables.read("trips", ["file_year=2023/file_month=5"]).count() == 5
+
+
+def test_a_run_outside_the_limits_publishes_nothing(spark, year, tmp_path):
+    out = str(tmp_path / "out")
+    run = processing.process_v1_months(spark, year, out, [(2023, 12)])
+    strict = quality.Limits(min_records=1, min_success_rate=0.95)
+    with pytest.raises(quality.QualityError, match="success rate"):
+        processing.process_v1_months(spark, year, out, [(2023, 1), (2023, 12)], limits=strict)
+    assert months_of(run.read("trips")) == {12: 12}
+    assert run.tables.live().select(F.max("version")).first()[0] == 1
+    loose = quality.Limits(min_records=1, min_success_rate=0.5)
+    assert months_of(processing.process_v1_months(spark, year, out, [(2023, 1)], limits=loose).read("trips")) == {1: 1, 12: 12}
+
+
+def test_a_month_without_good_trips_becomes_empty(spark, make_trips, tmp_path):
+    out, good, bad = (str(tmp_path / n) for n in ("out", "good", "bad"))
+    make_trips(at(1), at(2)).write.parquet(good)
+    make_trips({**at(1), "trip_distance": 0.0}).write.parquet(bad)
+    processing.process_v1(spark, good, out, 2023, 2)
+    run = processing.process_v1(spark, good, out, 2023, 3)
+    assert months_of(run.read("daily_metrics")) == {2: 2, 3: 2}
+    run = processing.process_v1(spark, bad, out, 2023, 3)
+    assert months_of(run.read("trips")) == months_of(run.read("daily_metrics")) == {2: 2}
+    run = processing.process_v1(spark, bad, out, 2023, 2)
+    assert run.read("trips").count() == 0 and "pickup_hour" in run.read("trips").columns
+
+
+def test_publication_is_seen_whole_or_not_at_all(spark, tmp_path):
+    tables = publish.Publication(spark, str(tmp_path / "p"))
+    one = lambda *rows: spark.createDataFrame(list(rows), "k int, x int")
+    with pytest.raises(ValueError, match="nothing is published"):
+        tables.read("a")
+    first = [tables.stage(one((1, 10), (2, 20)), "a", "r1", ["k"]), tables.stage(one((1, 1)), "b", "r1", ["k"])]
+    assert tables.live().count() == 0  # staged is not visible
+    assert tables.publish(first, ["k=1", "k=2"]) == 1
+    assert len([f for f in os.listdir(tmp_path / "p" / "manifest") if f.endswith(".parquet")]) == 2  # the empty start, and one file for both tables
+    second = tables.stage(one((2, 21), (3, 30), (None, 40)), "a", "r2", ["k"])
+    assert sorted(tuple(r) for r in tables.read("a").collect()) == [(1, 10), (2, 20)]
+    tables.publish([second], ["k=2"])
+    rows = lambda: sorted((tuple(r) for r in tables.read("a").collect()), key=str)
+    assert rows() == [(1, 10), (2, 21), (3, 30), (None, 40)]
+    lost = tables.stage(one((1, 11)), "a", "r3", ["k"])
+    tables.staged(lost).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{tables.root}/{lost.folder}")
+    with pytest.raises(publish.PublicationError, match="differ"):
+        tables.publish([lost], ["k=1"])
+    assert rows() == [(1, 10), (2, 21), (3, 30), (None, 40)]
+    again = tables.stage(one((1, 12)), "a", "r3", ["k"])  # the same run, staged again
+    assert tables.publish([again], ["k=1"]) == 3 and rows()[0] == (1, 12)
+    with pytest.raises(ValueError, match="one run"):
+        tables.publish([again, second], [])
+
+
+def test_bundles_read_the_trips_once(spark, small, tmp_path):
+    path = str(tmp_path / "t")
+    registered.Tables(spark, small).v1().write.parquet(path)
+    read, reports = spark.read.parquet(path), processing.metric_reports()
+    cells = bundles.shared_cells(read, reports)
+    assert cells._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    for name, report in reports.items():
+        ours, direct = registered.rounded(bundles.roll_up(cells, report)), registered.rounded(report(read))
+        assert ours.exceptAll(direct).count() == direct.exceptAll(ours).count() == 0
+    with pytest.raises(ValueError, match="rolled up"):
+        bundles.roll_up(cells, Report(("pickup_hour",), {"spread": std("total_amount")}))
+
+
+def test_conditional_measures_roll_up(spark, make_trips):
+    trips = processing.derive_v2(make_trips(at(1, 7), at(1, 12), {**at(4, 8), "total_amount": None}, {**at(5, 3), "pu_location_id": None}))
+    reports = {n: catalog.REPORTS_V2[n] for n in ("payment_patterns", "revenue_by_location", "weekday_weekend_comparison")}
+    cells = bundles.shared_cells(trips, reports)
+    for report in reports.values():
+        assert bundles.roll_up(cells, report).collect() == report(trips).collect()
+    none = bundles.shared_cells(trips.limit(0), {"all": catalog.REPORTS_V4["overall_stats"]}, ["trip_id"])
+    assert bundles.roll_up(none, replace(catalog.REPORTS_V4["overall_stats"], keys=())).first().total_trips == 0
+
+
+def test_long_form_names_keys_and_measures(spark):
+    frame = spark.createDataFrame([("a", 1, 2.5, None), (None, 2, None, 7)], "k string, n int, x double, y int")
+    rows = sorted(tuple(r) for r in bundles.long_form({"p": frame}, {"p": ["k", "n"]}).fillna(-1).collect())
+    assert rows == [("p", "-|2", "x", -1.0), ("p", "-|2", "y", 7.0), ("p", "a|1", "x", 2.5), ("p", "a|1", "y", -1.0)]
+
+
+def test_deliveries_of_different_layouts(spark, make_trips, tmp_path):
+    root = str(tmp_path / "in")
+    old = make_trips(at(1, month=1), at(2, month=1)).withColumnsRenamed({"pu_location_id": "PULocationID"})
+    old = old.withColumn("passenger_count", F.expr("IF(day(tpep_pickup_datetime) = 1, 2.0, 1.5)")).withColumn("tpep_dropoff_datetime", F.lit("soon"))
+    new = make_trips(at(1, month=2)).withColumn("extra_column", F.lit(1)).withColumn("fare_amount", F.lit("12.5")).withColumn("payment_type", F.lit(2**40))
+    for month, frame in ((1, old), (2, new), (3, new)):
+        frame.write.parquet(f"{root}/file_year=2023/file_month={month}")
+    found = files.scan_deliveries(spark, root, keep=("trip_id",), reject_column="misfits")
+    assert len(files.layouts(spark, files.delivery_folders(spark, root))) == 2
+    rows = sorted(found.collect(), key=lambda r: (r.file_month, r.tpep_pickup_datetime))
+    assert [(r.file_month, r.passenger_count, r.misfits, r.fare_amount, r.payment_type, r.pu_location_id) for r in rows] == [
+        (1, 2, 1, 10.0, 1, 1), (1, None, 2, 10.0, 1, 1), (2, 1, 1, 12.5, None, 1), (3, 1, 1, 12.5, None, 1),
+    ]
+    assert months_of(files.scan_deliveries(spark, root, months=[(2023, 3), (2022, 3)])) == {3: 1}
+    assert files.scan_deliveries(spark, root, months=[]).count() == 0
 
 
 def test_bundles_run(spark, small):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,14 +28,30 @@ class Limits:
     min_success_rate: float = MIN_SUCCESS_RATE
 
 
+def count_columns(pickup: str = "pickup_datetime", dropoff: str = "dropoff_datetime") -> dict[str, Column]:
+    """The counts that the gates look at, as aggregates."""
+    return {
+        "record_count": F.count(F.lit(1)),
+        "null_pickup_count": F.count_if(F.col(pickup).isNull()),
+        "null_dropoff_count": F.count_if(F.col(dropoff).isNull()),
+        "negative_fare_count": F.count_if(F.col("fare_amount") < 0),
+    }
+
+
 def dq_counts(df: DataFrame, pickup: str = "pickup_datetime", dropoff: str = "dropoff_datetime") -> DataFrame:
     """One row: records, missing pickups, missing dropoffs, negative fares."""
-    return df.agg(
-        F.count(F.lit(1)).alias("record_count"),
-        F.count_if(F.col(pickup).isNull()).alias("null_pickup_count"),
-        F.count_if(F.col(dropoff).isNull()).alias("null_dropoff_count"),
-        F.count_if(F.col("fare_amount") < 0).alias("negative_fare_count"),
-    )
+    return df.agg(*[column.alias(name) for name, column in count_columns(pickup, dropoff).items()])
+
+
+def failed_gates(counts: Mapping[str, int], limits: Limits) -> list[str]:
+    """What a run's observed counts fail, in words; ``rows_read`` and ``record_count`` give the success rate."""
+    failed = [f"{name} is {counts[name]}" for name in MUST_BE_ZERO if counts[name]]
+    records, read = counts["record_count"], counts["rows_read"]
+    if not limits.min_records <= records <= limits.max_records:
+        failed.append(f"record_count {records} is not from {limits.min_records} to {limits.max_records}")
+    if read and records / read < limits.min_success_rate:
+        failed.append(f"success rate {records / read:.4f} is below {limits.min_success_rate}")
+    return failed
 
 
 def _verdicts(counts: DataFrame, checks: dict[str, tuple[Column, Column]]) -> DataFrame:

@@ -291,11 +291,14 @@ def peak_hours(df: DataFrame) -> DataFrame:
 
     The trips are read once: the statistics are taken over the 24 hourly rows.
     """
-    hourly = df.groupBy("pickup_hour").agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.avg("total_amount").alias("avg_fare"),
-        F.avg("tip_percentage").alias("avg_tip_percent"),
-    )
+    return with_demand_level(HOURLY_COUNTS(df))
+
+
+HOURLY_COUNTS = Report(("pickup_hour",), {"trip_count": COUNT, "avg_fare": FARE, "avg_tip_percent": TIP})
+
+
+def with_demand_level(hourly: DataFrame) -> DataFrame:
+    """Hourly counts with a level against the mean and deviation of all of them."""
     measured = with_spread(hourly, "trip_count", "_mean", "_spread")
     level = C.demand_level("trip_count", F.col("_mean"), F.col("_spread"))
     return measured.withColumn("demand_level", level).drop("_mean", "_spread").orderBy("pickup_hour")
@@ -342,7 +345,11 @@ def summary_report(df: DataFrame, approx: bool = False) -> DataFrame:
 
 def demand_heatmap(df: DataFrame) -> DataFrame:
     """Trips by weekday (rows) and hour (columns ``h0`` to ``h23``)."""
-    counts = REPORTS_V2["hour_day_counts"](df)
+    return heatmap_of(REPORTS_V2["hour_day_counts"](df))
+
+
+def heatmap_of(counts: DataFrame) -> DataFrame:
+    """Counts per weekday and hour with the hours as columns."""
     hours = [F.max(F.when(F.col("pickup_hour") == h, F.col("trip_count"))).alias(f"h{h}") for h in range(24)]
     return counts.groupBy("day_of_week").agg(*hours)
 

@@ -259,6 +259,15 @@ def _sources() -> dict[str, str]:
             "SELECT tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, pu_location_id, "
             "do_location_id, payment_type, fare_amount, tip_amount, total_amount FROM raw"
         ),
+        "scan_drifting_months": _with(
+            "SELECT trip_id, CAST(year(tpep_pickup_datetime) AS INTEGER) AS file_year, "
+            "CAST(month(tpep_pickup_datetime) AS INTEGER) AS file_month, trip_distance, pu_location_id, do_location_id, "
+            "fare_amount, total_amount, tpep_pickup_datetime, "
+            "CASE WHEN year(tpep_pickup_datetime) < 1995 AND passenger_count = 7 THEN NULL ELSE CAST(passenger_count AS DOUBLE) END AS passenger_count, "
+            "CASE WHEN year(tpep_pickup_datetime) < 1995 AND payment_type = 5 THEN NULL ELSE CAST(payment_type AS DOUBLE) END AS payment_type, "
+            "CASE WHEN year(tpep_pickup_datetime) < 1995 THEN CAST(coalesce(passenger_count = 7, FALSE) AS INTEGER) "
+            "+ CAST(payment_type = 5 AS INTEGER) ELSE 0 END AS misfits FROM raw"
+        ),
         "scan_zone_csv": _with("SELECT * FROM zones"),
         "scan_table": _frequency("payment_type", "v2"),
         "scan_month_table": _with(
@@ -662,7 +671,6 @@ def _reports() -> dict[str, str]:
             extra=_V4,
         ),
         "borough_stats": _grouped("v4", "pickup_borough", borough, 2, extra=_V4),
-        "process_v4": _grouped("v4", "pickup_borough", borough, 2, extra=_V4),
         "time_stats": _grouped(
             "v4", "time_of_day", {"trips": "n", "avg_duration": MINUTES, "avg_fare": FARE}, 2, extra=_V4
         ),
@@ -674,8 +682,6 @@ def _reports() -> dict[str, str]:
             "ORDER BY trip_count DESC, pickup_zone, dropoff_zone LIMIT 10",
             _V4,
         ),
-        "process_v1": _grouped("v1", "pickup_date", daily),
-        "process_v2": _grouped("v2", "trip_distance_category, time_of_day, is_weekend", performance),
         "wildcard_union": _grouped(
             "v2",
             "pickup_hour, pickup_dayofweek, time_of_day",
@@ -760,50 +766,146 @@ def _reports() -> dict[str, str]:
     }
 
 
+def _long(parts: dict[str, tuple[str, str]]) -> str:
+    """Long form of several queries: name to (key columns, SQL)."""
+    texts = []
+    for name, (keys, sql) in parts.items():
+        names = [k.strip() for k in keys.split(",")] if keys else []
+        key = f"concat_ws('|', {', '.join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in names)})" if names else "''"
+        own = ", ".join(names) or "no_key"
+        start = f"SELECT {own}, CAST(COLUMNS(* EXCLUDE ({own})) AS DOUBLE) FROM ({sql if names else f'SELECT 0 AS no_key, * FROM ({sql})'})"
+        texts.append(f"SELECT '{name}' AS part, {key} AS key, measure, value FROM ({start}) UNPIVOT INCLUDE NULLS (value FOR measure IN (COLUMNS(* EXCLUDE ({own}))))")
+    return "\nUNION ALL ".join(texts)
+
+
 def _bundles() -> dict[str, str]:
-    def parts(table: str, sizes: dict[str, str], extra: str = "") -> str:
-        rows = " UNION ALL ".join(
-            f"SELECT '{name}' AS part, CAST({size} AS BIGINT) AS rows FROM {table}" for name, size in sizes.items()
-        )
-        return _with(rows, extra)
+    reports, statistics, series, cleaning = _reports(), _statistics(), _series(), _cleaning()
 
-    def groups(*keys: str) -> str:
-        """Number of groups, those with nulls in their key included."""
-        return f"count(DISTINCT concat_ws('|', {', '.join(f'coalesce(CAST({k} AS VARCHAR), chr(0))' for k in keys)}))"
+    def of(keys: dict[str, str], names: dict[str, str] | None = None) -> dict[str, tuple[str, str]]:
+        """Parts that are registered reports: key columns by part, other report names by part."""
+        return {part: (columns, reports[(names or {}).get(part, part)]) for part, columns in keys.items()}
 
+    eda = {
+        "basic_stats": ("metric", statistics["describe_numeric"]),
+        **of(
+            {"hourly_patterns": "pickup_hour", "daily_patterns": "pickup_dayofweek", "weekend_vs_weekday": "is_weekend", "means_by_time": "time_of_day"},
+            {"hourly_patterns": "trips_by_hour", "daily_patterns": "trips_by_dayofweek", "weekend_vs_weekday": "trips_by_weekend", "means_by_time": "mean_by_time"},
+        ),
+        "payment_distribution": ("payment_type", _frequency("payment_type", "v2", "WHERE payment_type IS NOT NULL")),
+        "distance_categories": ("trip_distance_category", reports["value_counts"]),
+    }
+    monthly = (
+        f"SELECT g.*, m.trips_ma_3, m.revenue_ma_3 FROM ({series['month_growth']}) g JOIN ({series['moving_average_3']}) m USING (month)"
+    )
+    statistics_keys = {"overall": "", "by_borough": "pickup_borough", "by_time": "time_of_day", "popular_routes": "pickup_zone, dropoff_zone"}
     return {
-        "trip_metrics": parts(
-            "v1",
-            {
-                "daily_metrics": groups("pickup_date"),
-                "hourly_metrics": groups("pickup_date", "pickup_hour"),
-                "location_metrics": groups("pu_location_id"),
-                "payment_metrics": groups("payment_type_desc"),
-            },
+        "trip_metrics": _long(
+            of({"daily_metrics": "pickup_date", "hourly_metrics": "pickup_date, pickup_hour", "location_metrics": "pu_location_id", "payment_metrics": "payment_type_desc"})
         ),
-        "trip_statistics": parts(
-            "v4",
+        "trip_statistics": _long(of(statistics_keys, {"overall": "overall_stats", "by_borough": "borough_stats", "by_time": "time_stats"})),
+        "eda_summary": _long(eda),
+        "eda_run": _long(
+            {
+                **eda,
+                "distributions": ("metric", statistics["distribution_stats"]),
+                "correlations": ("metric_a, metric_b", statistics["correlation_all_numeric"]),
+                "fares_by_time": ("time_of_day", statistics["five_number_summary"]),
+                "anomalies": ("trip_id, metric", cleaning["iqr_outliers"]),
+                "anomaly_counts": ("metric", cleaning["iqr_outlier_counts"]),
+                "top_pickups": ("pickup_location_id", reports["value_counts_top_pickups"]),
+                "record_count": ("", _with("SELECT count(*) AS record_count FROM v2")),
+            }
+        ),
+        "analysis_bundle": _long(
+            {
+                **of(
+                    {
+                        "peak_hours": "pickup_hour, demand_level", "hourly_demand": "pickup_hour", "payment_patterns": "payment_type",
+                        "trip_distance_analysis": "trip_distance_category", "rush_hour_impact": "time_of_day",
+                        "weekday_weekend_comparison": "day_type", "revenue_by_location": "pickup_location_id", "summary": "",
+                        "heatmap": "day_of_week",
+                    },
+                    {"summary": "summary_report", "heatmap": "demand_heatmap"},
+                ),
+                "monthly": ("month", monthly),
+                "trend": ("metric", series["trend_regression"]),
+                "fare_boxes": ("time_of_day", statistics["five_number_summary"]),
+                "scatter": (
+                    "time_of_day",
+                    "SELECT time_of_day, tidy(trip_distance, 6) AS trip_distance, tidy(trip_duration_minutes, 6) AS trip_duration_minutes, "
+                    f"tidy(total_amount, 6) AS total_amount FROM ({reports['limit_rows']})",
+                ),
+                "trend_lines": ("time_of_day", statistics["ols_trend_line"]),
+                "radar": ("time_of_day", statistics["zscore_profile"]),
+                "correlations": ("metric_a, metric_b", statistics["correlation_matrix"]),
+                "basic_stats": ("metric", statistics["basic_stats"]),
+                "weekend_ttest": ("", statistics["weekend_ttest"]),
+            }
+        ),
+        **_flows(),
+    }
+
+
+def _flows() -> dict[str, str]:
+    """Tables of the flows by file month, which is the month of the raw pickup time."""
+    month = "CAST(year(tpep_pickup_datetime) AS INTEGER) AS file_year, CAST(month(tpep_pickup_datetime) AS INTEGER) AS file_month"
+    months = "file_year, file_month"
+    stored = {"trip_count": "n", "revenue": REVENUE}
+    fmd = {"avg_fare": FARE, "avg_distance": MILES, "avg_duration": MINUTES}
+    tables1 = {
+        "daily_metrics": ("pickup_date", {"total_trips": "n", "total_revenue": REVENUE, "avg_distance": MILES, "avg_duration": MINUTES, "avg_tip_percentage": TIP}),
+        "hourly_metrics": ("pickup_date, pickup_hour", {"trips_per_hour": "n", "avg_fare_per_hour": FARE}),
+        "location_metrics": ("pu_location_id", {"pickups_count": "n", "avg_fare": FARE, "avg_trip_distance": MILES}),
+        "payment_metrics": ("payment_type_desc", {"payment_count": "n", "total_revenue": REVENUE, "avg_tip_percentage": TIP}),
+    }
+    parts1 = {
+        name: (f"{months}, {keys}", _grouped("v1", f"{month}, {keys}", measures)) for name, (keys, measures) in tables1.items()
+    } | {"trips": (months, _grouped("v1", month, stored))}
+    views = {
+        "viz_hourly_patterns": ("pickup_hour", {"total_trips": "n", **fmd}),
+        "viz_daily_revenue": (
+            "pickup_date",
             {
-                "overall": "count(*) * 0 + 1",
-                "by_borough": groups("pickup_borough"),
-                "by_time": groups("time_of_day"),
-                "popular_routes": f"least(10, {groups('pickup_zone', 'dropoff_zone')})",
+                "total_trips": "n", "total_revenue": REVENUE, "avg_tip_percentage": TIP,
+                "card_revenue": "s:CASE WHEN payment_type_desc = 'credit_card' THEN total_amount ELSE 0 END",
+                "cash_revenue": "s:CASE WHEN payment_type_desc = 'cash' THEN total_amount ELSE 0 END",
             },
-            _V4,
         ),
-        "eda_summary": parts(
-            "v2",
+        "viz_distance_distribution": ("distance_category", {"trip_count": "n", "avg_fare": FARE, "avg_duration": MINUTES, "avg_tip_percentage": TIP}),
+        "viz_payment_analysis": ("payment_type_desc", {"trip_count": "n", "avg_fare": FARE, "avg_tip_percentage": TIP, "avg_distance": MILES}),
+        "viz_time_performance": ("time_of_day", {"total_trips": "n", "avg_fare": FARE, "avg_duration": MINUTES, "avg_speed": SPEED, "avg_tip_percentage": TIP}),
+        "viz_weekday_weekend": ("day_type", {"total_trips": "n", **fmd, "avg_tip_percentage": TIP}),
+        "viz_location_performance": (
+            "pu_location_id",
             {
-                "basic_stats": "count(*) * 0 + 17",
-                "hourly_patterns": groups("pickup_hour"),
-                "daily_patterns": groups("pickup_dayofweek"),
-                "weekend_vs_weekday": groups("is_weekend"),
-                "payment_distribution": "count(DISTINCT payment_type)",
-                "distance_categories": "count(DISTINCT trip_distance_category)",
-                "means_by_time": groups("time_of_day"),
+                "total_pickups": "n", "avg_fare": FARE, "avg_distance": MILES, "avg_tip_percentage": TIP,
+                "morning_rush_trips": "count(*) FILTER (time_of_day = 'morning_rush')",
+                "evening_rush_trips": "count(*) FILTER (time_of_day = 'evening_rush')",
             },
         ),
     }
+    analytics = f""",
+visual AS (
+  SELECT *, trip_distance_category AS distance_category, pickup_location_id AS pu_location_id, {WEEKEND_LABEL},
+    CASE payment_type WHEN '1' THEN 'credit_card' WHEN '2' THEN 'cash' WHEN '3' THEN 'no_charge' WHEN '4' THEN 'dispute'
+      ELSE 'unknown' END AS payment_type_desc FROM v2
+)"""
+    parts2 = {name: (keys, _grouped("visual", keys, measures, extra=analytics)) for name, (keys, measures) in views.items()}
+    statistics = {
+        "overall": ("", {"total_trips": "n", "avg_trip_duration": MINUTES, "avg_distance": MILES, "avg_fare": FARE, "avg_tip": "a:tip_amount", "total_revenue": REVENUE}),
+        "by_borough": ("pickup_borough", {"trips": "n", "avg_distance": MILES, "avg_fare": FARE, "total_revenue": REVENUE}),
+        "by_time": ("time_of_day", {"trips": "n", "avg_duration": MINUTES, "avg_fare": FARE}),
+        "popular_routes": ("pickup_zone, dropoff_zone", {"trip_count": "n", "avg_fare": FARE}),
+    }
+    first = "SELECT * FROM ({0}) QUALIFY row_number() OVER (PARTITION BY file_year, file_month ORDER BY trip_count DESC, pickup_zone, dropoff_zone) <= 10"
+    parts4 = {
+        name: (
+            ", ".join(filter(None, (months, keys))),
+            (first if name == "popular_routes" else "{0}").format(_grouped("v4", ", ".join(filter(None, (month, keys))), measures, 2, extra=_V4)),
+        )
+        for name, (keys, measures) in statistics.items()
+    } | {"trips": (months, _grouped("v4", month, stored, extra=_V4))}
+    return {"process_v1": _long(parts1), "process_v2": _long(parts2), "process_v4": _long(parts4)}
 
 
 _FINANCIAL = {
@@ -1019,7 +1121,7 @@ _DATES = {
     "pickup_date": (
         "scan_month_table", "fetch_month", "write_trips_partitioned", "recent_window_filter", "pickup_date",
         "features_v1", "features_v2", "features_local", "daily_metrics", "hourly_metrics", "viz_daily_revenue",
-        "process_v1", "union_months",
+        "union_months",
     ),
     "month_start": ("month_range", "month_start"),
     "date": ("date_hour_extract", "daily_metrics_zone_join", "daily_location_rollup", "chart_daily_revenue"),

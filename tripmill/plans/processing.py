@@ -7,18 +7,28 @@ executor costs a re-read, not a re-derivation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import time
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.functions import columns as C
 from tripmill.functions import features, profiles
-from tripmill.operators import clean, outliers, quality, stats, timeseries, zones
+from tripmill.operators import bundles, clean, outliers, quality, stats, timeseries, zones
+from tripmill.operators.reports import COUNT, Report
 from tripmill.operators.sampling import limit_rows
 from tripmill.plans import catalog
-from tripmill.schemas import ANALYTICS_TRIP
+from tripmill.session import settle
 from tripmill.sources import files, tables, writers
+from tripmill.sources.publish import Publication, PublicationError, new_run_id
+from tripmill.sources.writers import ANALYTICS_CLUSTER, DAY_CLUSTER, DAY_PARTITION
+
+FILE_MONTH = ("file_year", "file_month")
+#: Statistics of the enriched flow and the reports they are.
+STATISTICS = {"overall": "overall_stats", "by_borough": "borough_stats", "by_time": "time_stats", "popular_routes": "popular_routes"}
 
 
 def derive_v1(raw: DataFrame) -> DataFrame:
@@ -37,33 +47,49 @@ def derive_v4(raw: DataFrame, zone_lookup: DataFrame) -> DataFrame:
 
 
 def trip_metrics(processed: DataFrame) -> dict[str, DataFrame]:
-    """The four metric tables."""
-    return {name: catalog.REPORTS_V1[name](processed) for name in catalog.METRIC_TABLES}
+    """The four metric tables, rolled up from one scan."""
+    return bundles.bundle(processed, metric_reports(), _cells)
 
 
 def trip_statistics(enriched: DataFrame) -> dict[str, DataFrame]:
-    """Overall, borough, time-of-day and route statistics."""
-    names = {
-        "overall": "overall_stats",
-        "by_borough": "borough_stats",
-        "by_time": "time_stats",
-        "popular_routes": "popular_routes",
-    }
-    return {label: catalog.REPORTS_V4[name](enriched) for label, name in names.items()}
+    """Overall, borough, time-of-day and route statistics, rolled up from one scan."""
+    return bundles.bundle(enriched, statistic_reports(), _cells)
+
+
+def metric_reports() -> dict[str, Report]:
+    return {name: catalog.REPORTS_V1[name] for name in catalog.METRIC_TABLES}
+
+
+def statistic_reports() -> dict[str, Report]:
+    return {label: catalog.REPORTS_V4[name] for label, name in STATISTICS.items()}
+
+
+def _cells(cells: DataFrame) -> DataFrame:
+    return settle(cells, "cells")
+
+
+def counted(column: str) -> Report:
+    """Rows per value; a null value counts as a value of its own here."""
+    return Report((column,), {"row_count": COUNT}, order=("-row_count", column))
+
+
+EDA_REPORTS: dict[str, Report] = {
+    "hourly_patterns": catalog.REPORTS_V2["trips_by_hour"],
+    "daily_patterns": catalog.REPORTS_V2["trips_by_dayofweek"],
+    "weekend_vs_weekday": catalog.REPORTS_V2["trips_by_weekend"],
+    "payment_distribution": counted("payment_type"),
+    "distance_categories": counted("trip_distance_category"),
+    "means_by_time": catalog.REPORTS_V2["mean_by_time"],
+}
+#: Parts in which a null value is left out.
+WITHOUT_NULLS = {"payment_distribution": "payment_type", "distance_categories": "trip_distance_category"}
 
 
 def eda_summary(trips: DataFrame) -> dict[str, DataFrame]:
-    """Basic, temporal, financial and distance summaries."""
-    reports = catalog.REPORTS_V2
-    return {
-        "basic_stats": stats.describe_numeric(trips),
-        "hourly_patterns": reports["trips_by_hour"](trips),
-        "daily_patterns": reports["trips_by_dayofweek"](trips),
-        "weekend_vs_weekday": reports["trips_by_weekend"](trips),
-        "payment_distribution": catalog.value_counts(trips, "payment_type"),
-        "distance_categories": catalog.value_counts(trips, "trip_distance_category"),
-        "means_by_time": reports["mean_by_time"](trips),
-    }
+    """Basic, temporal, financial and distance summaries; all but the quartiles come from one scan."""
+    found = bundles.bundle(trips, EDA_REPORTS, _cells)
+    found = {name: f.where(F.col(WITHOUT_NULLS[name]).isNotNull()) if name in WITHOUT_NULLS else f for name, f in found.items()}
+    return {"basic_stats": stats.describe_numeric(trips), **found}
 
 
 def eda_run(trips: DataFrame) -> dict[str, DataFrame]:
@@ -80,43 +106,117 @@ def eda_run(trips: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+BUNDLE_REPORTS: dict[str, Report] = {
+    name: catalog.REPORTS_V2[name]
+    for name in (
+        "hourly_demand", "payment_patterns", "trip_distance_analysis", "rush_hour_impact", "weekday_weekend_comparison",
+        "revenue_by_location", "radar_profile", "hour_day_counts",
+    )
+}
+
+
 def analysis_bundle(trips: DataFrame, scatter_rows: int = 10_000) -> dict[str, DataFrame]:
-    """Every dataset of the analysis run, lazily; ``scatter_rows`` bounds the points of the scatter chart alone."""
+    """Every dataset of the analysis run, lazily; ``scatter_rows`` bounds the points of the scatter chart alone.
+
+    The grouped reports, peak hours, radar profile and heat map come from one scan.
+    """
     monthly = timeseries.monthly_lag(timeseries.monthly_metrics(trips))
-    names = (
-        "hourly_demand",
-        "payment_patterns",
-        "trip_distance_analysis",
-        "rush_hour_impact",
-        "weekday_weekend_comparison",
-        "revenue_by_location",
-    )
+    found = bundles.bundle(trips, BUNDLE_REPORTS | {"hourly_counts": catalog.HOURLY_COUNTS}, _cells)
+    radar, by_hour_and_day = found.pop("radar_profile"), found.pop("hour_day_counts")
     return {
-        **{name: catalog.REPORTS_V2[name](trips) for name in names},
-        "peak_hours": catalog.peak_hours(trips),
+        "peak_hours": catalog.with_demand_level(found.pop("hourly_counts")),
+        **found,
         "summary": catalog.summary_report(trips),
         "monthly": timeseries.moving_average(timeseries.month_growth(monthly)),
         "trend": timeseries.trend_regression(monthly),
-        "heatmap": catalog.demand_heatmap(trips),
+        "heatmap": catalog.heatmap_of(by_hour_and_day),
         "fare_boxes": stats.five_number_summary(trips, "total_amount", ["time_of_day"], few_groups=True),
         "scatter": limit_rows(trips, scatter_rows).select("trip_distance", "trip_duration_minutes", "total_amount", "time_of_day"),
         "trend_lines": stats.ols_trend_line(trips),
-        "radar": stats.zscore_profile(catalog.REPORTS_V2["radar_profile"](trips)),
+        "radar": stats.zscore_profile(radar),
         "correlations": stats.correlation_matrix(trips),
         "basic_stats": stats.basic_stats(trips),
         "weekend_ttest": stats.weekend_ttest(trips),
     }
 
 
-def process_v1(spark: SparkSession, input_path: str, out: str, year: int, month: int) -> DataFrame:
-    """Month file to stored trips by day plus the four metric tables."""
-    derived = derive_v1(files.scan_raw_trips(spark, input_path))
-    path = f"{out}/trips_{year}_{month:02d}"
-    writers.write_trips_by_day(derived, path)
-    stored = spark.read.parquet(path)
-    for name, table in trip_metrics(stored).items():
-        writers.write_metric(table, out, name, year, month)
-    return stored
+@dataclass(frozen=True)
+class FlowRun:
+    """What a flow published: the tables below one root, the version, and one row of run metrics."""
+
+    tables: Publication
+    version: int
+    metrics: dict
+
+    def read(self, table: str) -> DataFrame:
+        return self.tables.read(table)
+
+
+def run_flow(
+    raw: DataFrame,
+    out: str,
+    trips: str,
+    derive: Callable[[DataFrame], DataFrame],
+    reports: Mapping[str, Report],
+    months: Sequence[tuple[int, int]],
+    cluster: Sequence[str] = (),
+    limits: quality.Limits | None = None,
+    times: tuple[str, str] = ("tpep_pickup_datetime", "tpep_dropoff_datetime"),
+    run_id: str | None = None,
+) -> FlowRun:
+    """Derive, store and report the given months of ``raw``, then publish all tables of the run in one step.
+
+    ``raw`` has file_year and file_month. The writing job itself counts rows read,
+    rows stored and the values that the gates look at. Reports are computed from the
+    stored trips, one scan for all, for each file month, and have to account for
+    every trip. With ``limits``, a run outside them raises :class:`QualityError` and
+    leaves what is published as it was.
+    """
+    spark, run_id, began = raw.sparkSession, run_id or new_run_id(), time.time()
+    tables = Publication(spark, out)
+    read, rows_read = Observation(f"read-{run_id}"), {"rows_read": F.count(F.lit(1))}
+    derived = derive(raw.observe(read, *[column.alias(name) for name, column in rows_read.items()]))
+    measures = {name: column for name, column in quality.count_columns(*times).items() if name != "record_count"}
+    stored = tables.stage(derived, trips, run_id, FILE_MONTH, cluster, measures)
+    counts = {**writers.observed(read, raw, rows_read), "record_count": stored.observed["rows"], **{name: stored.observed[name] for name in measures}}
+    failed = quality.failed_gates(counts, limits) if limits else []
+    if failed:
+        raise quality.QualityError("; ".join(failed))
+    monthly = {name: bundles.per_part(report, FILE_MONTH) for name, report in reports.items()}
+    found = bundles.bundle(tables.staged(stored), monthly, _cells)
+    staged = [stored]
+    for name, frame in found.items():
+        rows = next(column for column, measure in reports[name].measures.items() if measure == COUNT)
+        kept = bundles.top_within(frame, reports[name], FILE_MONTH)
+        staged.append(tables.stage(kept, name, run_id, FILE_MONTH, measures={"trips": F.coalesce(F.sum(rows), F.lit(0))}))
+        if reports[name].top is None and staged[-1].observed["trips"] != counts["record_count"]:
+            raise PublicationError(f"{name} accounts for {staged[-1].observed['trips']} of {counts['record_count']} trips")
+    version = tables.publish(staged, [f"file_year={year}/file_month={month}" for year, month in months])
+    metrics = {"run_id": run_id, "table_name": trips, "version": version, "months": len(months), "seconds": time.time() - began, **counts}
+    return FlowRun(tables, version, metrics)
+
+
+def month_literals(raw: DataFrame, year: int, month: int) -> DataFrame:
+    return raw.withColumns({"file_year": F.lit(year), "file_month": F.lit(month)})
+
+
+def present_months(spark: SparkSession, root: str) -> list[tuple[int, int]]:
+    """The months that have a folder below ``root``."""
+    found = [re.search(r"/file_year=(\d+)/file_month=(\d+)$", folder) for folder in files.delivery_folders(spark, root)]
+    return [(int(m[1]), int(m[2])) for m in found if m]
+
+
+def process_v1_months(spark: SparkSession, root: str, out: str, months: Sequence[tuple[int, int]] | None = None, keep: Sequence[str] = (), **options) -> FlowRun:
+    """Delivered month folders, all or some, to published trips and the four metric tables of each month."""
+    months = present_months(spark, root) if months is None else list(months)
+    raw = files.scan_deliveries(spark, root, keep=keep, months=months)
+    return run_flow(raw, out, "trips", derive_v1, metric_reports(), months, (*DAY_PARTITION, *DAY_CLUSTER), **options)
+
+
+def process_v1(spark: SparkSession, input_path: str, out: str, year: int, month: int, **options) -> FlowRun:
+    """One month file to published trips plus the four metric tables; other months stay."""
+    raw = month_literals(files.scan_raw_trips(spark, input_path), year, month)
+    return run_flow(raw, out, "trips", derive_v1, metric_reports(), [(year, month)], (*DAY_PARTITION, *DAY_CLUSTER), **options)
 
 
 def visual_views(spark: SparkSession, processed: DataFrame, suffix: str = "") -> list[str]:
@@ -146,29 +246,59 @@ def as_v1_columns(trips: DataFrame) -> DataFrame:
     return renamed.withColumns({"payment_type_desc": described, "is_weekend": F.col("is_weekend").cast("int")})
 
 
-def process_v2(spark: SparkSession, root: str, table: str, table_path: str, year: int, month: int) -> DataFrame:
-    """Month folder to the analytics table, then the visual views over it."""
-    raw = tables.month_slice(files.scan_parquet(spark, root), year, month)
-    derived = derive_v2(files.rename_spellings(raw.drop("pickup_year", "pickup_month")))
-    writers.create_analytics_table(spark, table, table_path)
-    writers.append_analytics(derived, table, ANALYTICS_TRIP)
-    stored = spark.table(table)
-    visual_views(spark, as_v1_columns(stored), f"_{year}_{month:02d}")
-    return stored
+def process_v2_months(spark: SparkSession, root: str, out: str, months: Sequence[tuple[int, int]] | None = None, **options) -> FlowRun:
+    """Delivered month folders, all or some, to the published analytics table; views read it (:func:`published_views`)."""
+    months = present_months(spark, root) if months is None else list(months)
+    raw = files.scan_deliveries(spark, root, keep=("trip_id",), months=months)
+    options = {"times": ("pickup_datetime", "dropoff_datetime"), **options}
+    return run_flow(raw, out, "analytics", derive_v2, {}, months, ("pickup_date", *ANALYTICS_CLUSTER), **options)
+
+
+def published_views(spark: SparkSession, run: FlowRun, table: str, months: Sequence[tuple[int, int]] | None = None, suffix: str = "") -> list[str]:
+    """The analytics table as a temporary view and the visual views over it, or over some months of it."""
+    run.read("analytics").createOrReplaceTempView(table)
+    parts = None if months is None else [f"file_year={year}/file_month={month}" for year, month in months]
+    return visual_views(spark, as_v1_columns(run.tables.read("analytics", parts)), suffix)
+
+
+def process_v2(spark: SparkSession, root: str, table: str, out: str, year: int, month: int, **options) -> DataFrame:
+    """One month of a month-partitioned lake to the published analytics table, then the visual views of that month.
+
+    Other months of the analytics table stay; returns the whole table.
+    """
+    raw = files.rename_spellings(tables.month_slice(files.scan_parquet(spark, root), year, month).drop("pickup_year", "pickup_month"))
+    options = {"times": ("pickup_datetime", "dropoff_datetime"), **options}
+    run = run_flow(month_literals(raw, year, month), out, "analytics", derive_v2, {}, [(year, month)], ("pickup_date", *ANALYTICS_CLUSTER), **options)
+    published_views(spark, run, table, [(year, month)], f"_{year}_{month:02d}")
+    return run.read("analytics")
 
 
-def process_v4(
-    spark: SparkSession, input_path: str, zone_path: str, out: str, year: int, month: int
-) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Month file and zone CSV to stored enriched trips plus their statistics."""
+def process_v4_months(
+    spark: SparkSession, root: str, zone_path: str, out: str, months: Sequence[tuple[int, int]] | None = None, keep: Sequence[str] = (), **options
+) -> FlowRun:
+    """Delivered month folders and the zone CSV to published enriched trips and the statistics of each month.
+
+    The outlier limits are percentiles of everything the run reads.
+    """
+    months = present_months(spark, root) if months is None else list(months)
+    raw = files.scan_deliveries(spark, root, keep=keep, months=months)
+    return _flow_v4(spark, raw, zone_path, out, months, **options)
+
+
+def process_v4(spark: SparkSession, input_path: str, zone_path: str, out: str, year: int, month: int, **options) -> FlowRun:
+    """One month file and the zone CSV to published enriched trips plus their statistics."""
+    raw = month_literals(files.scan_raw_trips(spark, input_path), year, month)
+    return _flow_v4(spark, raw, zone_path, out, [(year, month)], **options)
+
+
+def _flow_v4(spark: SparkSession, raw: DataFrame, zone_path: str, out: str, months: Sequence[tuple[int, int]], **options) -> FlowRun:
     lookup = files.scan_zones(spark, zone_path)
-    derived = derive_v4(files.scan_raw_trips(spark, input_path), lookup)
-    path = f"{out}/processed/{year}/{month:02d}/trips"
-    writers.write_partitioned(derived, path, replace="all")
-    stored = spark.read.parquet(path)
-    statistics = trip_statistics(stored)
-    writers.write_frames(statistics, f"{out}/statistics/{year}/{month:02d}")
-    return stored, statistics
+    limits = clean.percentile_limits(raw, ("trip_distance", "total_amount"), clean.OUTLIER_PERCENTILE)
+
+    def derive(trips: DataFrame) -> DataFrame:
+        return zones.zone_enrich_features(trips.where(clean.keep_if(clean.outlier_rules(limits))), lookup)
+
+    return run_flow(raw, out, "enriched", derive, statistic_reports(), months, **options)
 
 
 def quality_report(trips: DataFrame) -> DataFrame:

@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 from tripmill import schemas
 from tripmill.functions import columns as C
 from tripmill.functions import features, profiles
-from tripmill.operators import clean, cluster, outliers, quality, sampling, stats, timeseries, zones
+from tripmill.operators import bundles, clean, cluster, outliers, quality, sampling, stats, timeseries, zones
 from tripmill.plans import catalog, processing
-from tripmill.session import shared_dir
+from tripmill.session import settle, shared_dir
 from tripmill.sources import calendar, files, star, synthetic, tables, writers
 from tripmill.streaming import landing, windows
 
@@ -119,6 +119,32 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@register("scan_drifting_months")
+def _(t: Tables) -> DataFrame:
+    """Month folders in two layouts: other spellings, numbers as fractions or text, times as text, a column more."""
+    root, raw = t.shared("drifting"), t.raw().drop("tip_amount")
+    raw = raw.withColumns({"file_year": F.year("tpep_pickup_datetime"), "file_month": F.month("tpep_pickup_datetime")})
+    early = F.col("file_year") < 1995
+    spelled = raw.where(early).withColumnsRenamed({"pu_location_id": "PULocationID", "do_location_id": "DOLocationID", "tpep_pickup_datetime": "Pickup_Datetime"})
+    spelled = spelled.withColumns(
+        {
+            "Pickup_Datetime": F.date_format("Pickup_Datetime", "yyyy-MM-dd HH:mm:ss"),
+            "passenger_count": F.when(F.col("passenger_count") == 7, 7.5).otherwise(F.col("passenger_count").cast("double")),
+            "payment_type": F.when(F.col("payment_type") == 5, "n/a").otherwise(F.col("payment_type").cast("string")),
+            "airport_fee": F.lit(1.25),
+        }
+    )
+    later = raw.where(~early).withColumn("PULocationID", F.col("pu_location_id").cast("long")).drop("pu_location_id")
+    for part in (spelled, later):
+        writers.write_partitioned(part, root, processing.FILE_MONTH)
+    found = files.scan_deliveries(t.spark, root, keep=("trip_id",), reject_column="misfits")
+    return found.select(
+        "trip_id", "file_year", "file_month", "misfits", "trip_distance", "pu_location_id", "do_location_id", "fare_amount", "total_amount",
+        F.col("tpep_pickup_datetime").cast("timestamp_ntz").alias("tpep_pickup_datetime"),
+        F.col("passenger_count").cast("double").alias("passenger_count"), F.col("payment_type").cast("double").alias("payment_type"),
+    )
+
+
 @register("scan_zone_csv")
 def _(t: Tables) -> DataFrame:
     path = t.shared("zones")
@@ -473,15 +499,51 @@ add("value_counts_top_pickups", lambda t: catalog.value_counts(t.v2(), "pickup_l
 add("daily_location_rollup", lambda t: rounded(zones.daily_location_rollup(t.v1())))
 
 
-def _bundle_sizes(frames: dict[str, DataFrame]) -> DataFrame:
-    """Name and row count of every frame of a bundle, in one query."""
-    sized = [f.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("part"), "rows") for n, f in frames.items()]
-    return tables.union_tables(sized)
+#: Key columns that are numbers, by part of a bundle.
+BUNDLE_KEYS: dict[str, tuple[str, ...]] = {
+    "hourly_metrics": ("pickup_date", "pickup_hour"),
+    "location_metrics": ("pu_location_id",),
+    "hourly_patterns": ("pickup_hour",),
+    "daily_patterns": ("pickup_dayofweek",),
+    "top_pickups": ("pickup_location_id",),
+    "peak_hours": ("pickup_hour", "demand_level"),
+    "hourly_demand": ("pickup_hour",),
+    "revenue_by_location": ("pickup_location_id",),
+    "heatmap": ("day_of_week",),
+    "viz_hourly_patterns": ("pickup_hour",),
+    "viz_location_performance": ("pu_location_id",),
+}
+
+
+def _long(frames: dict[str, DataFrame], before: tuple[str, ...] = ()) -> DataFrame:
+    """Every measure of a bundle; key columns named ``before`` stand in front."""
+    keys = {name: (*before, *BUNDLE_KEYS.get(name, _text_columns(frame))) for name, frame in frames.items()}
+    return bundles.long_form(frames, keys)
+
+
+def _text_columns(frame: DataFrame) -> list[str]:
+    return [f.name for f in frame.schema if not isinstance(f.dataType, T.NumericType)]
+
+
+def _eda(frames: dict[str, DataFrame]) -> DataFrame:
+    return _long(frames | {"basic_stats": rounded(frames["basic_stats"], 5)})
+
+
+@register("analysis_bundle")
+def _(t: Tables) -> DataFrame:
+    frames = processing.analysis_bundle(_settled(t.v2()))
+    return _long(frames | {"trend": rounded(frames["trend"], 5)})
+
+
+def _settled(trips: DataFrame) -> DataFrame:
+    """The trips stored once, as every part of a bundle reads them."""
+    return settle(trips, "trips")
 
 
-add("trip_statistics", lambda t: _bundle_sizes(processing.trip_statistics(t.v4())))
-add("trip_metrics", lambda t: _bundle_sizes(processing.trip_metrics(t.v1())))
-add("eda_summary", lambda t: _bundle_sizes(processing.eda_summary(t.v2())))
+add("trip_statistics", lambda t: _long(processing.trip_statistics(t.v4())))
+add("trip_metrics", lambda t: _long(processing.trip_metrics(t.v1())))
+add("eda_summary", lambda t: _eda(processing.eda_summary(_settled(t.v2()))))
+add("eda_run", lambda t: _eda(processing.eda_run(_settled(t.v2()))))
 
 # ---------------------------------------------------------------- time series
 
@@ -628,14 +690,39 @@ def _(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- flows
 
-add("process_v1", lambda t: rounded(catalog.REPORTS_V1["daily_metrics"](_stored_flow(t, t.v1()))))
-add("process_v2", lambda t: rounded(catalog.REPORTS_V2["view_performance"](_stored_flow(t, t.v2()))))
-add("process_v4", lambda t: catalog.REPORTS_V4["borough_stats"](_stored_flow(t, t.v4())))
+def _delivered(t: Tables) -> str:
+    """The raw trips as delivered month folders."""
+    root = t.shared("delivered")
+    months = {"file_year": F.year("tpep_pickup_datetime"), "file_month": F.month("tpep_pickup_datetime")}
+    writers.write_partitioned(t.raw().withColumns(months), root, processing.FILE_MONTH, replace="all")
+    return root
+
+
+def _stored_months(trips: DataFrame) -> DataFrame:
+    return trips.groupBy(*processing.FILE_MONTH).agg(F.count(F.lit(1)).alias("trip_count"), F.sum("total_amount").alias("revenue"))
+
+
+@register("process_v1")
+def _(t: Tables) -> DataFrame:
+    run = processing.process_v1_months(t.spark, _delivered(t), t.shared("published"))
+    frames = {name: run.read(name) for name in catalog.METRIC_TABLES}
+    return _long({**frames, "trips": _stored_months(run.read("trips"))}, processing.FILE_MONTH)
+
+
+@register("process_v2")
+def _(t: Tables) -> DataFrame:
+    run = processing.process_v2_months(t.spark, _delivered(t), t.shared("published"))
+    views = processing.published_views(t.spark, run, f"analytics_{run.metrics['run_id']}", suffix=f"_{run.metrics['run_id']}")
+    return _long({name: t.spark.table(view) for name, view in zip(catalog.VISUAL_VIEWS, views)})
 
 
-def _stored_flow(t: Tables, derived: DataFrame) -> DataFrame:
-    """Derived trips stored by month and read back, as every flow reports from storage."""
-    return _stored(t, "flow", lambda path: writers.write_partitioned(derived, path))
+@register("process_v4")
+def _(t: Tables) -> DataFrame:
+    lookup = t.shared("lookup")
+    t.zones().write.csv(lookup, header=True)
+    run = processing.process_v4_months(t.spark, _delivered(t), lookup, t.shared("published"))
+    frames = {name: run.read(name) for name in processing.STATISTICS}
+    return _long({**frames, "trips": _stored_months(run.read("enriched"))}, processing.FILE_MONTH)
 
 
 def builders() -> dict[str, Build]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,21 +33,30 @@ def spread_rows(df: DataFrame, key: str) -> DataFrame:
 def scan_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
     """One month of a table laid out as ``pickup_year=/pickup_month=`` folders.
 
-    The filter is on partition columns, so only that month's files are listed.
+    The filter is on partition columns: all folders are listed, and only that
+    month's files are opened.
     """
     return spark.read.parquet(root).where((F.col("pickup_year") == year) & (F.col("pickup_month") == month))
 
 
-def _target(field: T.StructField, df: DataFrame) -> Column:
-    """The source column as the declared type; null where the value does not fit."""
-    actual = df.schema[field.name].dataType
-    column = F.col(field.name)
-    wanted = field.dataType
-    if isinstance(wanted, T.TimestampType) and isinstance(actual, T.StringType):
-        return F.try_to_timestamp(column)
+def fitted(column: Column, actual: T.DataType, wanted: T.DataType) -> Column:
+    """A source column as the declared type; null where the value does not fit.
+
+    Numbers widen. Fractions fit whole-number types only if they are whole, and
+    numbers only within the range of the type. Text fits what it spells. Other
+    pairs of types (a date for a number) fit nothing.
+    """
     if actual == wanted:
         return column
-    return column.try_cast(wanted)
+    whole = isinstance(wanted, T.IntegralType)
+    if isinstance(actual, T.StringType):
+        return F.try_to_timestamp(F.trim(column)) if isinstance(wanted, T.TimestampType) else F.trim(column).try_cast(wanted)
+    if whole and isinstance(actual, (T.FractionalType, T.DecimalType)):
+        return F.when(column == F.floor(column), column.try_cast(wanted))
+    alike = (T.NumericType,), (T.BooleanType,), (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(wanted, T.StringType) or any(isinstance(actual, kinds) and isinstance(wanted, kinds) for kinds in alike):
+        return column.try_cast(wanted)
+    return F.lit(None).cast(wanted)
 
 
 def rename_spellings(df: DataFrame, spellings: Mapping[str, str] = schemas.SOURCE_SPELLINGS) -> DataFrame:
@@ -60,7 +72,10 @@ def conform(df: DataFrame, schema: T.StructType, reject_column: str | None = Non
     present but did not fit their declared type.
     """
     present = set(df.columns)
-    targets = {f.name: _target(f, df) if f.name in present else F.lit(None).cast(f.dataType) for f in schema}
+    targets = {
+        f.name: fitted(F.col(f.name), df.schema[f.name].dataType, f.dataType) if f.name in present else F.lit(None).cast(f.dataType)
+        for f in schema
+    }
     selected = [column.alias(name) for name, column in targets.items()]
     if reject_column:
         misfits = [
@@ -88,6 +103,63 @@ def scan_raw_trips(
     return conform(rename_spellings(scan_parquet(spark, path)), schemas.RAW_TRIP, reject_column)
 
 
+def delivery_folders(spark: SparkSession, root: str, pattern: str = "*.parquet") -> list[str]:
+    """Folders below ``root`` that hold data files: listed without opening a file, one row per folder."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root)
+    folders = listing.select(F.regexp_replace("path", r"/[^/]*$", "").alias("folder")).distinct()
+    return sorted(row["folder"] for row in folders.collect())
+
+
+def layouts(spark: SparkSession, folders: Sequence[str], readers: int = 16) -> list[tuple[T.StructType, list[str]]]:
+    """Folders grouped by the columns and types that their footers declare.
+
+    A delivery is written by one writer, so one footer speaks for its folder;
+    footers of many folders are read at the same time.
+    """
+    found: dict[tuple, tuple[T.StructType, list[str]]] = {}
+    with ThreadPoolExecutor(readers) as pool:
+        for folder, schema in zip(folders, pool.map(lambda f: spark.read.parquet(f).schema, folders)):
+            layout = tuple((f.name, f.dataType.simpleString()) for f in schema)
+            found.setdefault(layout, (schema, []))[1].append(folder)
+    return list(found.values())
+
+
+def scan_deliveries(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType = schemas.RAW_TRIP,
+    keep: Sequence[str] = (),
+    reject_column: str | None = None,
+    months: Sequence[tuple[int, int]] | None = None,
+) -> DataFrame:
+    """Month folders (``file_year=/file_month=``) of different layouts as one frame of the declared fields.
+
+    Folders are grouped by footer; each group is read with its own types and
+    conformed column by column (:func:`fitted`), then all are united. Columns
+    named in ``keep`` stay as text. With ``reject_column``, each row tells how many
+    of its values did not fit. The plan has one branch per layout, whatever the
+    number of folders, and only the given ``months`` are read.
+    """
+    wanted = T.StructType([*schema.fields, *[T.StructField(name, T.StringType()) for name in keep if name not in schema.fieldNames()]])
+    month = ("file_year", "file_month")
+    folders = delivery_folders(spark, root)
+    if months is not None:
+        found = [re.search(r"/file_year=(\d+)/file_month=(\d+)$", folder) for folder in folders]
+        folders = [m.string for m in found if m and (int(m[1]), int(m[2])) in set(months)]
+    frames = []
+    for layout, own in layouts(spark, folders):
+        read = T.StructType([*layout.fields, *[T.StructField(name, T.IntegerType()) for name in month]])
+        raw = rename_spellings(spark.read.schema(read).option("basePath", root).parquet(*own))
+        numbered = raw.withColumns({f"_{name}": F.col(name) for name in month})
+        frames.append(conform(numbered, T.StructType([*wanted.fields, *[T.StructField(f"_{name}", T.IntegerType()) for name in month]]), reject_column))
+    if not frames:
+        empty = T.StructType([*wanted.fields, *[T.StructField(name, T.IntegerType()) for name in month]])
+        none = spark.createDataFrame([], empty)
+        return none.withColumn(reject_column, F.lit(0)) if reject_column else none
+    united = reduce(DataFrame.unionByName, frames)
+    return united.withColumnsRenamed({f"_{name}": name for name in month})
+
+
 def scan_zones(spark: SparkSession, path: str) -> DataFrame:
     """Zone lookup CSV with a header; the id is read as an integer."""
     return spark.read.schema(schemas.ZONE).csv(path, header=True)

@@ -6,7 +6,8 @@ import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,15 +111,27 @@ def append_analytics(df: DataFrame, table: str, schema: T.StructType = ANALYTICS
     conformed.select(*names).write.mode("append").format("parquet").partitionBy("pickup_date").saveAsTable(table)
 
 
+def observed(seen: Observation, df: DataFrame, measures: Mapping[str, Column]) -> dict:
+    """What a job observed of ``df``.
+
+    Adaptive execution cuts a branch off once it knows that it is empty, and the
+    observation with it; then the measures are taken by a pass of their own.
+    """
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        found = {}
+    return found or df.agg(*[column.alias(name) for name, column in measures.items()]).first().asDict()
+
+
 def truncate_load(df: DataFrame, path: str, schema: T.StructType) -> int:
     """Replace a table's content with conformed rows; returns the rows written.
 
     The count is observed while writing, not by a second pass.
     """
-    seen = Observation("load")
-    counted = conform(df, schema).observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+    seen, rows = Observation("load"), conform(df, schema)
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return observed(seen, rows, {"rows": F.count(F.lit(1))})["rows"]
 
 
 def write_hash_distributed(
