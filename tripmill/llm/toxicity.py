@@ -53,9 +53,6 @@ HIDDEN = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 
 _PLAIN = str.maketrans({**HOMOGLYPHS, **{c: None for c in HIDDEN}})
 _SIGNS = re.compile(r"[01345678@$!|]+")
-_WORD = re.compile(r"(?<![^\W\d_])[\w@$!|]*[^\W\d_][\w@$!|]*")
-_LEET_SIGN = re.compile(r"[01345678@$!|](?=[\w@$!|])|(?<=[\w@$!|])[013457]")
-_ODD = re.compile(r"[0-9@$!|]")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -166,16 +163,17 @@ def _patterns(folded: str) -> set[str]:
     return {w[:n] for w in words for n in BEGINNINGS if len(w) >= n} | {f"{w} " for w in words if len(w) > 2}
 
 
-def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", key: Column | None = None, fit_rows: int = FIT_ROWS) -> Lexicon:
+def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", key: Column | None = None, fit_rows: int = FIT_ROWS, sizes: dict[int, int] | None = None) -> Lexicon:
     """A lexicon from labelled rows; at most about ``fit_rows`` rows of each class, chosen by hash of ``key``.
 
-    The driver receives patterns (bounded by ``LEXICON_SIZE``), phrases
+    ``sizes`` gives the rows of each class if the caller has counted them. The driver receives patterns (bounded by ``LEXICON_SIZE``), phrases
     (``EXCEPTIONS_SIZE``) and two numbers for each fitted row.
     """
     require(labelled, text_col, label_col)
     key = F.xxhash64(key if key is not None else F.col(text_col))
     rows = labelled.where(F.col(label_col).isin(0, 1)).select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), key.alias("_key"))
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if sizes is None:
+        sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Lexicon(curve=(-40.0, 0.0, 0.0))
     share = F.when(F.col("label") == 1, F.lit(fit_rows / sizes[1])).otherwise(F.lit(fit_rows / sizes[0]))
@@ -263,9 +261,15 @@ def _fit(points: list[tuple[int, float, int]], weigh: tuple[float, float]) -> tu
 
 def learn_from_tables(spark: SparkSession, sf_dir: str) -> Lexicon:
     """The lexicon of a folder: labelled documents outside the held-out third."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").where(F.col("toxic").isNotNull()).select("doc_id", "toxic")
-    return learn(documents.where(third() != 1).join(labels, "doc_id"), key=F.col("doc_id"))
+    documents = table(spark, sf_dir, "documents").where(third() != 1).select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
+    # ids are joined and chosen first, so that only the texts of the fitted rows leave their task
+    known = documents.select("doc_id").join(labels, "doc_id")
+    sizes = {int(r["toxic"]): r["count"] for r in known.groupBy("toxic").count().collect()}
+    share = F.when(F.col("toxic") == 1, F.lit(FIT_ROWS / max(1, sizes.get(1, 0)))).otherwise(F.lit(FIT_ROWS / max(1, sizes.get(0, 0))))
+    chosen = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)).distinct()
+    few = settle(chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(4 * FIT_ROWS), "chosen")
+    return learn(documents.join(F.broadcast(few), "doc_id"), key=F.col("doc_id"), sizes=sizes)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
