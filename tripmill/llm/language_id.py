@@ -155,12 +155,12 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", k
     require(labelled, text_col, lang_col)
     key = F.xxhash64(key if key is not None else F.col(text_col))
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(key, F.lit(1 << 20)).alias("_key")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(key, F.lit(1 << 62)).alias("_key")
     )
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return Filters((), np.zeros((1, SLOTS), np.uint64), np.zeros(0))
-    limit = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(min(1.0, fit_rows / n) * (1 << 20)))])
+    limit = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, max(1, min(n, fit_rows) * (1 << 62) // n))])
     sample = rows.where(F.col("_key") < limit[F.col("lang")]).select("lang", "text")
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
