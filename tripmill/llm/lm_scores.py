@@ -229,7 +229,7 @@ SQL = {
             FROM documents
         ), words AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM docs),
         counts AS (SELECT word, count(*) AS n FROM words GROUP BY word),
-        vocabulary AS (SELECT word, n FROM counts WHERE n >= 5 ORDER BY n DESC LIMIT 65000),
+        vocabulary AS (SELECT word, n FROM counts WHERE n >= 5),
         sizes AS (SELECT sum(n) AS total, (SELECT count(*) FROM vocabulary) AS v,
                          (SELECT count(*) FROM docs WHERE len(words) > 0) AS starts FROM counts),
         known AS (SELECT word, n FROM vocabulary
