@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,42 @@ from pyspark.sql.pandas.types import to_arrow_schema
 BATCH_BYTES = 8 << 20
 
 
+#: What a Python worker keeps between tasks: one model with its stores.
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, build: Callable[[], object]):
+    """The worker's model of that name; another one that it kept is let go first."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Lets go of what the worker keeps and hands free memory back to the system.
+
+    Workers are reused from stage to stage; a step that needs much memory itself
+    begins with this, so that the stores of an earlier stage do not add to it.
+    """
+    _KEPT.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def fresh(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The step of a task, begun with :func:`release`."""
+
+    def run(source: Iterator) -> Iterator:
+        release()
+        yield from step(source)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,7 +87,7 @@ def map_rows(
             yield pa.RecordBatch.from_pylist(held, arrow)
 
     arrow = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
-    return df.mapInArrow(batches, schema)
+    return df.mapInArrow(fresh(batches), schema)
 
 
 def _pieces(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:

@@ -29,13 +29,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import require, slices, table
+from tripmill.llm.common import fresh, require, slices, table
 from tripmill.llm.components import connected
 from tripmill.session import settle
 
@@ -46,6 +47,8 @@ SHARE, OF = 4, 5
 FREQUENT, FREQUENT_KEPT = 16, 200_000
 #: Shingles repeated less often within one map task are not reported as frequent.
 LOCAL_REPEATS = 4
+#: Shingles that a map task holds before it reports the frequent ones among them.
+HELD_SHINGLES = 4_000_000
 #: Longest list that gives all its pairs.
 SHORT_LIST = 16
 MOST_EXTRA = 4
@@ -166,9 +169,9 @@ def _describe(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def frequent() -> pa.RecordBatch:
         tokens, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         tokens, counts = tokens[counts >= LOCAL_REPEATS], counts[counts >= LOCAL_REPEATS]
-        empty = pa.nulls(len(tokens))
+        none = pa.nulls(len(tokens), pa.int64())
         return pa.record_batch(
-            [empty.cast(kind), empty.cast(pa.int64()), empty.cast(pa.int64()), pa.array(tokens.view(np.int64)), pa.array(counts.astype(np.int64))], names
+            [pa.nulls(len(tokens), kind), none, none, pa.array(tokens.view(np.int64)), pa.array(counts.astype(np.int64))], names
         )
 
     names, kind = ["id", "n_shingles", "cid", "token", "n"], pa.int64()
@@ -183,9 +186,9 @@ def _describe(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     weight += len(shingles)
             empty = pa.nulls(len(sets), pa.int64())
             yield pa.record_batch([piece.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(cids, pa.int64()), empty, empty], names)
-        if weight > 4_000_000:
-            yield frequent()
-            held, weight, seen = [], 0, set()
+            if weight > HELD_SHINGLES:
+                yield frequent()
+                held, weight, seen = [], 0, set()
     yield frequent()
 
 
@@ -353,7 +356,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     salted = right.withColumn("_part", F.pmod(F.xxhash64("b"), F.lit(64)))
     parts = salted.select("a", "_part").distinct()
     rows = salted.unionByName(left.join(parts, "a").select("a", "b", "z", "_part"))
-    return rows.repartition("a", "_part").sortWithinPartitions("a", "_part", F.asc_nulls_first("b")).select("a", "b", "z").mapInArrow(_verify, "a bigint, b bigint")
+    return rows.repartition("a", "_part").sortWithinPartitions("a", "_part", F.asc_nulls_first("b")).select("a", "b", "z").mapInArrow(fresh(_verify), "a bigint, b bigint")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -362,7 +365,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = plain.schema["id"].dataType.simpleString()
-    described = settle(plain.mapInArrow(_describe, f"id {id_type}, n_shingles bigint, cid bigint, token bigint, n bigint"), "sets")
+    described = settle(plain.mapInArrow(fresh(_describe), f"id {id_type}, n_shingles bigint, cid bigint, token bigint, n bigint"), "sets")
     documents = described.where("token IS NULL").select("id", "n_shingles", "cid")
     frequent = (
         described.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(FREQUENT_KEPT)
@@ -370,11 +373,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     tokens = frequent["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     emit = _emit_prefixes(tokens[order], frequent["n"].to_numpy(np.int64)[order])
-    prefixes = plain.select("text").mapInArrow(emit, "token bigint, cid bigint, meta bigint")
+    prefixes = plain.select("text").mapInArrow(fresh(emit), "token bigint, cid bigint, meta bigint")
     met = settle(
         prefixes.repartition("token")
         .sortWithinPartitions("token", "cid")
-        .mapInArrow(_meet, "a bigint, b bigint, n bigint, need bigint, first boolean, token bigint, cid bigint, meta bigint"),
+        .mapInArrow(fresh(_meet), "a bigint, b bigint, n bigint, need bigint, first boolean, token bigint, cid bigint, meta bigint"),
         "candidates",
     )
     pairs = settle(
@@ -382,7 +385,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     long_lists = met.where("token IS NOT NULL").select("token", "cid", "meta").distinct()
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).union(long_lists.select("cid")).distinct()
-    squeezed = plain.select("text").mapInArrow(_compressed, "cid bigint, z binary, size bigint, " + ", ".join(f"m{i} bigint" for i in range(MARKS)))
+    squeezed = plain.select("text").mapInArrow(fresh(_compressed), "cid bigint, z binary, size bigint, " + ", ".join(f"m{i} bigint" for i in range(MARKS)))
     texts = settle(squeezed.join(wanted, "cid", "left_semi").dropDuplicates(["cid"]), "texts")
 
     # pairs with the first member of a list: nearly all components come together here
@@ -436,10 +439,26 @@ def _crossing(rows: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay: of each component the one with the smallest id."""
-    groups = near_groups(docs, id_col, text_col)
-    dropped = settle(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")), "dropped")
-    return docs.join(dropped, F.col(id_col) == F.col("_gone"), "left_anti")
+    """The rows that stay: of each component the one with the smallest id.
+
+    Rows are told apart by id and text, so rows that share an id are decided one by
+    one; null ids come last, and of equal ids the text of the smaller hash stays.
+    Rows of equal id and text are copies: one stays, unless the text has no words.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    parts = {"_none": F.col(id_col).isNull(), "_id": F.col(id_col), "_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(1), text)}
+    key = F.struct(*[column.alias(name) for name, column in parts.items()])
+    groups = near_groups(docs.select(key.alias("_key"), F.col(text_col).alias("_text")), "_key", "_text")
+    groups = settle(groups.where("n_shingles > 0").select("_key", "component_id"), "decided")
+    same = reduce(Column.__and__, [F.col(f"_gone{name}").eqNullSafe(column) for name, column in parts.items()])
+    gone = groups.where(~F.col("_key").eqNullSafe(F.col("component_id"))).select("_key.*").toDF(*[f"_gone{name}" for name in parts]).distinct()
+    kept = docs.join(gone, same, "left_anti")
+    again = groups.where(F.col("_key").eqNullSafe(F.col("component_id"))).groupBy("_key").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    again = again.select("_key.*").toDF(*[f"_gone{name}" for name in parts])
+    if again.isEmpty():
+        return kept
+    repeated = kept.withColumns(parts).join(again, same, "left_semi").dropDuplicates(list(parts)).select(*docs.columns)
+    return kept.join(again, same, "left_anti").unionByName(repeated)
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,14 +18,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import require, table
+from tripmill.llm.common import kept, require, table
 from tripmill.llm.token_counts import _byte_of_symbol
 from tripmill.session import settle
 
@@ -103,9 +102,8 @@ class ChunkEncoder:
             self.known.update(zip(odd, self.whole(odd)))
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    return kept(("chunks", path), lambda: ChunkEncoder(path))
 
 
 def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
