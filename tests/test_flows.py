@@ -488,6 +488,49 @@ def test_stream_counts_drop_late_rows(spark, make_trips, tmp_path):
     assert run() == {8: 1, 12: 1}
 
 
+def test_late_and_repeated_rows_are_counted(spark, make_trips, tmp_path):
+    source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    os.makedirs(source)
+    schema = make_trips(at(1)).schema
+    ids = lambda frame, *names: frame.withColumn("trip_id", F.element_at(F.array(*map(F.lit, names)), F.col("trip_id").cast("int") + 1))
+
+    def run(frame, name):
+        one_file(frame, source, name)
+        stream = spark.readStream.schema(schema).parquet(source)
+        query = windows.write_counts(windows.hourly_counts(stream, distinct=["trip_id"]), out, log, "append")
+        query.awaitTermination()
+        return {r.hour_start.hour: r.trips_per_hour for r in spark.read.parquet(out).collect()}, windows.dropped_rows(query)
+
+    hours, dropped = run(ids(make_trips(at(1, 8), at(1, 8), at(1, 12)), "a", "a", "b"), "1.parquet")
+    assert hours == {8: 1} and dropped == {"input_rows": 3, "late_rows": 0, "repeated_rows": 1}
+    hours, dropped = run(ids(make_trips(at(1, 12), at(1, 13), at(1, 9)), "b", "c", "late"), "2.parquet")
+    assert hours == {8: 1} and dropped == {"input_rows": 3, "late_rows": 1, "repeated_rows": 1}
+    hours, dropped = run(ids(make_trips(at(1, 18)), "d"), "3.parquet")
+    assert hours == {8: 1, 12: 1, 13: 1} and dropped["late_rows"] == 0
+
+
+def test_backlog_lands_in_batches(spark, make_trips, tmp_path):
+    source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    os.makedirs(source)
+    for day in range(1, 7):
+        one_file(make_trips(at(day), at(day, month=4), {**at(day), "trip_distance": 0.0}), source, f"{day}.parquet")
+    schema = spark.read.parquet(source).schema
+    landing.stream_land_batches(spark, source, schema, out, log, max_bytes=1).awaitTermination()
+    tables = publish.Publication(spark, out)
+    parts = lambda: tables.live().where("folder IS NOT NULL").count()
+    rows = lambda: sorted(tuple(r) for r in tables.read("trips").groupBy("pickup_month").count().collect())
+    assert rows() == [(3, 6), (4, 6)] and parts() == 12  # six batches of one file
+    last = processing.derive_v1(spark.read.parquet(f"{source}/6.parquet"))
+    assert landing.land_batch(last, 5, out) == 2  # the last batch again, as after a failure
+    assert rows() == [(3, 6), (4, 6)] and parts() == 12
+    assert landing.compact_batches(spark, out) == 2
+    assert rows() == [(3, 6), (4, 6)] and parts() == 4  # one part a month, and the newest batch
+    assert landing.compact_batches(spark, out) == 0
+    one_file(make_trips(at(9)), source, "9.parquet")
+    landing.stream_land_batches(spark, source, schema, out, log, max_bytes=1).awaitTermination()
+    assert rows() == [(3, 7), (4, 6)]
+
+
 def test_stream_equals_batch(spark, small, tmp_path):
     events = spark.read.parquet(f"{small}/events.parquet")
     stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(small)

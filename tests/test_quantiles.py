@@ -57,14 +57,75 @@ def test_approximate_has_the_same_shape(spark):
     assert found(Q.quantiles(df, ["x"], [0.5], approx=True)) == {("x", 0.5): 500.0}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_task_orders_a_whole_group(spark):
     """Ranking windows are partitioned by bucket, and the built-in percentile is not used."""
-    df = spark.range(100).select(F.col("id").cast("double").alias("x"))
-    plan = Q.exact_quantiles(df, ["x"], [0.5])._jdf.queryExecution().executedPlan().toString()
+    df = spark.range(100).select(F.col("id").cast("double").alias("x"), (F.col("id") % 3).alias("g"))
+    plan = plan_of(Q.exact_quantiles(df, ["x"], [0.5], ["g"]))
     assert "percentile(" not in plan
     assert "_bucket" in plan
 
 
+def test_whole_tables_are_not_expanded(spark, tmp_path):
+    """Counts of outliers and limits come from wide aggregates: no row is made above the scan."""
+    path = str(tmp_path / "t")
+    spark.range(3000).selectExpr("cast(id as string) AS trip_id", "id % 97 / 7.0 AS a", "id * 1.5 AS b").write.parquet(path)
+    df = spark.read.parquet(path)
+    counts = plan_of(iqr_outlier_counts(df, ["a", "b"]))
+    assert "Generate" not in counts[counts.index("HashAggregate") :] and "Join" not in counts
+    seen = []
+    made = Q._Search("a", "a", {5}, 1.0, 3.0, 0, 3000, [0.0] * (Q.CUTS + 1))
+    for narrowing in (True, False):
+        made.within = 10**9 if narrowing else 10
+        text = plan_of(df.agg(*made.measures("s")))
+        seen.append("percentile_approx" in text)
+        assert "Generate" not in text and "Join" not in text and "Sort [" not in text
+    assert seen == [True, False]
+
+
+@pytest.mark.parametrize("cuts, last", [(8, 4), (32, 50)])
+def test_narrowing_over_many_passes(spark, monkeypatch, cuts, last):
+    """Few cuts and a small last step make many passes; ties, runs of one value and infinities included."""
+    monkeypatch.setattr(Q, "CUTS", cuts)
+    monkeypatch.setattr(Q, "LAST_VALUES", last)
+    rng = np.random.default_rng(cuts)
+    data = {
+        "tied": rng.choice([1.0, 2.0, 2.5, 7.0], 5000),
+        "spread": rng.lognormal(0, 3, 5000),
+        "hot": np.where(np.arange(5000) % 3, 4.0, rng.normal(4, 1, 5000)),
+        "same": np.full(5000, 3.25),
+    }
+    result = found(Q.exact_quantiles(spark.createDataFrame(pd.DataFrame(data)), list(data), PROBS))
+    for name, values in data.items():
+        for p in PROBS:
+            assert result[(name, p)] == pytest.approx(np.quantile(values, p), rel=1e-12), (name, p)
+
+
+def test_a_sketch_that_is_off_is_widened(spark, monkeypatch):
+    """Cuts that miss the rank by far are noticed by the counts, and the interval is widened."""
+    data = np.arange(3000) / 8
+    df = spark.createDataFrame(pd.DataFrame({"x": data}))
+    monkeypatch.setattr(Q, "LAST_VALUES", 20)
+    real = Q._Search.narrow
+
+    def off(self):
+        real(self)
+        if self.reach < 16:
+            self.low, self.high = self.high + 3.0, self.high + 4.0
+
+    monkeypatch.setattr(Q._Search, "narrow", off)
+    assert found(Q.exact_quantiles(df, ["x"], [0.25]))[("x", 0.25)] == pytest.approx(np.quantile(data, 0.25))
+
+
+def test_infinities_are_values(spark):
+    df = spark.createDataFrame([(float("-inf"),), (1.0,), (2.0,), (float("inf"),)], "x double")
+    result = found(Q.exact_quantiles(df, ["x"], [0.0, 0.5, 1.0]))
+    assert result == {("x", 0.0): float("-inf"), ("x", 0.5): 1.5, ("x", 1.0): float("inf")}
+
+
 def test_outliers(spark):
     values = [float(v) for v in range(100)] + [1000.0, -900.0]
     df = spark.createDataFrame([(str(i), v, 1.0) for i, v in enumerate(values)], "trip_id string, a double, b double")

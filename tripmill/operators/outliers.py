@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.operators.quantiles import long_form, quantiles, spread
+from tripmill.operators.quantiles import quantiles, spread
 
 # Metrics checked and width of the fences.
 METRICS = ("total_amount", "trip_distance", "trip_duration_minutes", "speed_mph")
@@ -31,22 +32,36 @@ def iqr_fences(
     return with_fences(spread(found, {0.25: "q1", 0.75: "q3"}, by))
 
 
+def _outside(df: DataFrame, metrics: Sequence[str], approx: bool) -> dict[str, Column]:
+    """Whether each metric lies outside its fences, which are a subquery evaluated once."""
+    fences = iqr_fences(df, metrics, approx=approx)
+    limits = fences.agg(
+        F.struct(
+            *[
+                F.max(F.when(F.col("metric") == m, F.struct(F.col("lower_bound").alias("low"), F.col("upper_bound").alias("high")))).alias(m)
+                for m in metrics
+            ]
+        )
+    ).scalar()
+    values = {m: F.col(m).cast("double") for m in metrics}
+    return {m: ~F.isnan(v) & ((v < limits.getField(m).getField("low")) | (v > limits.getField(m).getField("high"))) for m, v in values.items()}
+
+
 def iqr_outliers(
     df: DataFrame, metrics: Sequence[str] = METRICS, keep: Sequence[str] = ("trip_id",), approx: bool = False
 ) -> DataFrame:
-    """Rows (keep..., metric, value) outside the fences of their metric.
-
-    The fence table has one row per metric, so it is safe to broadcast.
-    """
-    fences = F.broadcast(iqr_fences(df, metrics, approx=approx).select("metric", "lower_bound", "upper_bound"))
-    rows = long_form(df, metrics, keep)
-    outside = ~F.col("value").between(F.col("lower_bound"), F.col("upper_bound"))
-    return rows.join(fences, "metric").where(outside).select(*keep, "metric", "value")
+    """Rows (keep..., metric, value) outside the fences of their metric; a row without outliers is left before any is made."""
+    outside = _outside(df, metrics, approx)
+    found = [F.when(o, F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))) for m, o in outside.items()]
+    any_outside = reduce(Column.__or__, [F.coalesce(o, F.lit(False)) for o in outside.values()])
+    return df.where(any_outside).select(*keep, F.inline(F.array_compact(F.array(*found))))
 
 
 def iqr_outlier_counts(df: DataFrame, metrics: Sequence[str] = METRICS, approx: bool = False) -> DataFrame:
-    """Outliers per metric; metrics without any are absent."""
-    return iqr_outliers(df, metrics, (), approx).groupBy("metric").agg(F.count(F.lit(1)).alias("anomaly_count"))
+    """Outliers per metric, counted in one aggregate; metrics without any are absent."""
+    counts = df.agg(*[F.count_if(o).alias(m) for m, o in _outside(df, metrics, approx).items()])
+    rows = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("anomaly_count")) for m in metrics]
+    return counts.select(F.inline(F.array(*rows))).where("anomaly_count > 0")
 
 
 def outlier_rows(df: DataFrame, metric: str, approx: bool = False) -> DataFrame:

@@ -1,23 +1,35 @@
 """Exact percentiles that never gather a whole group in one task.
 
-A mergeable sketch first brackets every wanted rank. Only values inside the
-narrow bracket are then counted one by one; everything else is merely counted
+Over a whole table, every wanted rank is narrowed to an interval of values by a few
+passes. A pass is one wide aggregate for all columns and ranks: counts on both
+sides and at both ends of each interval, and a mergeable sketch of what lies
+within. Rows are neither expanded nor shuffled. Once an interval holds few values,
+the pass returns these themselves.
+
+Within groups, a sketch first brackets every rank per group. Only values inside
+the narrow bracket are then counted one by one; everything else is merely counted
 per side. Inside the bracket, ranks are located by bucket before single values
 are ordered, so no task orders more than a sliver of a group.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmill.session import settle
 
 ACCURACY = 10_000
 SLACK = 3 / ACCURACY
 BUCKETS = 1024
+#: Evenly spaced ranks that a narrowing pass asks its sketch for, and values that the last pass returns at most.
+CUTS = 512
+LAST_VALUES = 10_000
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keep: Iterable[str] = ()) -> DataFrame:
@@ -68,6 +80,111 @@ def _holds(rank: Column, start: Column, size: Column) -> Column:
     return (start <= rank) & (rank < start + size)
 
 
+@dataclass
+class _Search:
+    """The interval that holds the wanted ranks of one column: its ends, and the rows below it and within it."""
+
+    column: str
+    number: str
+    ranks: set[int]
+    low: float
+    high: float
+    below: int
+    within: int
+    cuts: list[float] | None
+    reach: int = 1
+    before: tuple | None = None
+    found: dict[int, float] = field(default_factory=dict)
+
+    @property
+    def open(self) -> list[int]:
+        return sorted(self.ranks - set(self.found))
+
+    def narrow(self) -> None:
+        """The cuts around the open ranks as the new ends, one spacing beyond what the sketch is unsure of."""
+        first, last = self.open[0] - self.below, self.open[-1] - self.below
+        left, right = (int(rank / max(1, self.within) * CUTS) for rank in (first, last))
+        self.before = (self.low, self.high, self.below, self.within, self.cuts)
+        at = lambda i: self.cuts[min(max(i, 0), CUTS)]
+        self.low, self.high = at(left - self.reach), at(right + 1 + self.reach)
+
+    @property
+    def few(self) -> bool:
+        """Whether the next pass is sure to find few values within the interval."""
+        if self.within <= LAST_VALUES:
+            return True
+        spread = (self.open[-1] - self.open[0]) / self.within + (2 * self.reach + 2) / CUTS + 4 / ACCURACY
+        return self.within * spread <= LAST_VALUES
+
+    def measures(self, name: str) -> list[Column]:
+        value = F.col(self.number)
+        inside = (value > F.lit(self.low)) & (value < F.lit(self.high))
+        kept = F.when(inside, value)
+        rest = F.collect_list(kept) if self.few else _cuts(kept)
+        conditions = {"below": value < F.lit(self.low), "low": value == F.lit(self.low), "inside": inside, "high": (value == F.lit(self.high)) & (value > F.lit(self.low))}
+        return [F.count_if(condition).alias(f"{name}_{kind}") for kind, condition in conditions.items()] + [rest.alias(f"{name}_rest")]
+
+    def learn(self, row: dict, name: str) -> None:
+        below, low, inside, high = (row[f"{name}_{kind}"] for kind in ("below", "low", "inside", "high"))
+        few = self.few
+        rest = sorted(row[f"{name}_rest"]) if few else row[f"{name}_rest"]
+        if self.open[0] < below or self.open[-1] >= below + low + inside + high:
+            # the sketch was further off than it may be: a wider interval of the pass before
+            _, _, self.below, self.within, self.cuts = self.before
+            self.reach *= 4
+            self.narrow()
+            return
+        for rank in self.open:
+            place = rank - below
+            if place < low:
+                self.found[rank] = self.low
+            elif place >= low + inside:
+                self.found[rank] = self.high
+            elif few:
+                self.found[rank] = rest[place - low]
+        self.below, self.within, self.cuts, self.reach = below + low, inside, None if few else rest, 1
+        if self.open:
+            self.narrow()
+
+
+def _number(df: DataFrame, column: str) -> Column:
+    """The column as a double; NaN counts as missing."""
+    value = F.col(f"`{column}`").cast("double")
+    return F.when(~F.isnan(value), value) if isinstance(df.schema[column].dataType, T.FractionalType) else value
+
+
+def _cuts(value: Column) -> Column:
+    spaced = F.expr(f"array({', '.join(f'{i / CUTS!r}D' for i in range(CUTS + 1))})")  # one call, whatever the number of cuts
+    return F.percentile_approx(value, spaced, ACCURACY)
+
+
+def _table_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> list[tuple[str, float, float]]:
+    """(metric, p, value) of a whole table; the driver receives counts, cuts and at most ``LAST_VALUES`` values for each rank."""
+    columns = list(dict.fromkeys(columns))
+    numbers = df.select(*[_number(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
+    first = numbers.agg(*[make(F.col(f"v{i}")).alias(f"{i}_{kind}") for i in range(len(columns)) for kind, make in (("n", F.count), ("cuts", _cuts))]).first()
+    searches: list[tuple[float, _Search, int]] = []
+    for i, column in enumerate(columns):
+        n, cuts = first[f"{i}_n"], first[f"{i}_cuts"]
+        for p in probs if n else ():
+            rank = math.floor((n - 1) * p)
+            search = _Search(column, f"v{i}", {rank, min(rank + 1, n - 1)}, 0.0, 0.0, 0, n, cuts)
+            search.narrow()
+            searches.append((float(p), search, n))
+    while pending := [search for _, search, _ in searches if search.open]:
+        row = numbers.agg(*[m for i, search in enumerate(pending) for m in search.measures(f"s{i}")]).first().asDict()
+        for i, search in enumerate(pending):
+            search.learn(row, f"s{i}")
+    found = []
+    for p, search, n in searches:
+        position = (n - 1) * p
+        rank = math.floor(position)
+        low, high = search.found[rank], search.found[min(rank + 1, n - 1)]
+        exact = position == rank or low == high  # infinite ends have no distance
+        found.append((search.column, p, low if exact else low + (high - low) * (position - rank)))
+    return found
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -77,17 +194,19 @@ def exact_quantiles(
 ) -> DataFrame:
     """Rows (by..., metric, p, value), linearly interpolated as ``percentile`` does.
 
-    Without ``by`` the bracket table has one row per column and percentile and
-    is broadcast. With ``by`` it is broadcast only if ``few_groups`` states
-    that the group labels come from a fixed list. Otherwise it is stored first,
-    so the engine picks the join from its real size: small ones are broadcast
-    and the rows are not shuffled.
+    Without ``by`` the passes run when this is called, and the result holds one row
+    per column and percentile. With ``by`` the bracket table is broadcast only if
+    ``few_groups`` states that the group labels come from a fixed list. Otherwise it
+    is stored first, so the engine picks the join from its real size: small ones are
+    broadcast and the rows are not shuffled.
     """
     by = list(by)
+    if not by:
+        return df.sparkSession.createDataFrame(_table_quantiles(df, columns, probs), "metric string, p double, value double")
     keys = [*by, "metric"]
     rows = long_form(df, columns, by)
     brackets, condition = linked(_bracketed(rows, keys, probs), keys)
-    brackets = F.broadcast(brackets) if few_groups or not by else settle(brackets, "brackets")
+    brackets = F.broadcast(brackets) if few_groups else settle(brackets, "brackets")
     side = F.when(F.col("value") < F.col("_lo"), -1).when(F.col("value") > F.col("_hi"), BUCKETS).otherwise(0)
     target = [*keys, "p", "_n", "_lo", "_hi"]
     points = (
@@ -115,7 +234,7 @@ def exact_quantiles(
     )
     link = [*keys, "p", "_bucket"]
     chosen, at = linked(chosen, link)
-    if few_groups or not by:
+    if few_groups:
         chosen = F.broadcast(chosen)
     within = Window.partitionBy(*link).orderBy("_point").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (

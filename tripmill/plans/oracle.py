@@ -759,9 +759,18 @@ def _reports() -> dict[str, str]:
             "SELECT pickup_date, count(*) AS trip_count, tidy(sum(total_amount), 6) AS revenue FROM v2 "
             "GROUP BY ALL"
         ),
+        "stream_land_batches": _grouped("v1", "pickup_hour", weekday),
         "stream_hourly_counts": (
             "SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_start, count(*) AS trips_per_hour, "
-            "tidy(avg(value), 6) AS avg_fare_per_hour FROM events GROUP BY ALL"
+            "tidy(avg(value), 6) AS avg_fare_per_hour FROM events, (SELECT date_trunc('day', min(ts)) AS first, max(ts) AS last FROM events) "
+            "WHERE NOT (event_id % 50 = 7 AND ts < first + INTERVAL 4 DAY) "
+            "AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= last - INTERVAL 1 HOUR GROUP BY ALL"
+        ),
+        "stream_dropped_rows": (
+            "SELECT count(*) + count(*) FILTER (repeated) AS input_rows, count(*) FILTER (late) AS late_rows, "
+            "count(*) FILTER (repeated) AS repeated_rows FROM (SELECT event_id % 50 = 7 AND ts < first + INTERVAL 4 DAY AS late, "
+            "event_id % 10 = 0 AND ts >= first + INTERVAL 10 DAY AND ts < first + INTERVAL 20 DAY AS repeated "
+            "FROM events, (SELECT date_trunc('day', min(ts)) AS first FROM events))"
         ),
     }
 

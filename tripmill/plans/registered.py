@@ -19,7 +19,7 @@ from tripmill.functions import features, profiles
 from tripmill.operators import bundles, clean, cluster, outliers, quality, sampling, stats, timeseries, zones
 from tripmill.plans import catalog, processing
 from tripmill.session import settle, shared_dir
-from tripmill.sources import calendar, files, star, synthetic, tables, writers
+from tripmill.sources import calendar, files, publish, star, synthetic, tables, writers
 from tripmill.streaming import landing, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -678,14 +678,52 @@ def _(t: Tables) -> DataFrame:
     return rounded(catalog.REPORTS_V1["viz_hourly_patterns"](t.spark.read.parquet(out)))
 
 
+@register("stream_land_batches")
+def _(t: Tables) -> DataFrame:
+    """A backlog of eight files landed in several batches, then compacted."""
+    source, out = t.shared("backlog"), t.shared("batches")
+    raw = t.raw()
+    raw.repartition(8, "trip_id").write.parquet(source)
+    landing.stream_land_batches(t.spark, source, raw.schema, out, t.shared("batches-log"), max_bytes=1 << 16).awaitTermination()
+    landing.compact_batches(t.spark, out)
+    return rounded(catalog.REPORTS_V1["viz_hourly_patterns"](publish.Publication(t.spark, out).read("trips")))
+
+
+#: Days of the events that arrive with the first and up to the second trigger, and days of which late rows are held back.
+EVENT_DAYS, LATE_DAYS = (10, 20), 4
+
+
+def _event_hours(t: Tables) -> tuple[DataFrame, dict[str, int]]:
+    """Hourly counts of events that arrive in three triggers, some of them twice and some far too late; and what was dropped."""
+    events, source = t.given("events"), t.shared("arrivals")
+    first = events.agg(F.date_trunc("day", F.min("ts")).cast("timestamp_ntz").alias("first")).first()["first"]
+    day = F.datediff(F.col("ts").cast("date"), F.lit(first.date()))
+    late = (F.col("event_id") % 50 == 7) & (day < LATE_DAYS)
+    second = (day >= EVENT_DAYS[0]) & (day < EVENT_DAYS[1])
+    arrivals = (
+        events.where((day < EVENT_DAYS[0]) & ~late),
+        events.where(second).unionByName(events.where(second & (F.col("event_id") % 10 == 0))),
+        events.where((day >= EVENT_DAYS[1]) | late),
+    )
+    out, log, dropped = t.shared("hours"), t.shared("hours-log"), {"input_rows": 0, "late_rows": 0, "repeated_rows": 0}
+    for number, arrived in enumerate(arrivals):
+        arrived.write.parquet(f"{source}/{number}")
+        stream = t.spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(source)
+        query = windows.write_counts(windows.hourly_counts(stream, "ts", value="value", distinct=["event_id"]), out, log, "append")
+        query.awaitTermination()
+        dropped = {name: n + dropped[name] for name, n in windows.dropped_rows(query).items()}
+    return t.spark.read.parquet(out), dropped
+
+
 @register("stream_hourly_counts")
 def _(t: Tables) -> DataFrame:
-    schema, out = t.given("events").schema, t.shared("hours")
-    stream = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
-    counts = windows.hourly_counts(stream, "ts", value="value")
-    windows.write_counts(counts, out, t.shared("hours-log")).awaitTermination()
-    stored = t.spark.read.parquet(out)
-    return rounded(stored.withColumn("hour_start", F.col("hour_start").cast("timestamp_ntz")))
+    """The hours that the watermark has passed; later ones are still open."""
+    return rounded(_event_hours(t)[0].withColumn("hour_start", F.col("hour_start").cast("timestamp_ntz")))
+
+
+@register("stream_dropped_rows")
+def _(t: Tables) -> DataFrame:
+    return t.spark.createDataFrame([_event_hours(t)[1]], "input_rows bigint, late_rows bigint, repeated_rows bigint")
 
 
 # ---------------------------------------------------------------- flows

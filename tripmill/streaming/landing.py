@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripmill.plans.processing import derive_v1
 from tripmill.session import settle
+from tripmill.sources.publish import Publication, new_run_id
 from tripmill.sources.writers import MONTH_PARTITION, write_partitioned
 
 DELIVERY_PARTITION = ("file_year", "file_month")
@@ -49,6 +50,63 @@ def stream_land_files(
     )
 
 
+LANDED_PARTITION = (*MONTH_PARTITION, "batch")
+
+
+def stream_land_batches(
+    spark: SparkSession, folder: str, schema: T.StructType, out: str, checkpoint: str, max_bytes: int = 10 << 30, derive: Derive = derive_v1
+) -> StreamingQuery:
+    """Land a backlog in batches of about ``max_bytes`` of files each; readers follow a manifest (:class:`Publication`).
+
+    A batch is rebalanced by month before it is written, so many small files become
+    few, and published in one step. Its rows stand under its own number: a batch
+    that runs again after a failure replaces what it had stored, and adds nothing.
+    """
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        land_batch(derive(batch), batch_id, out)
+
+    return (
+        spark.readStream.schema(schema)
+        .option("recursiveFileLookup", "true")
+        .option("maxBytesPerTrigger", str(max_bytes))
+        .parquet(folder)
+        .writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def land_batch(rows: DataFrame, batch_id: int, out: str) -> int:
+    """Publish the rows of one batch under its number; returns the rows."""
+    tables = Publication(rows.sparkSession, out)
+    staged = tables.stage(rows.withColumn("batch", F.lit(batch_id)), "trips", f"batch{batch_id}", LANDED_PARTITION)
+    tables.publish([staged], [])
+    return staged.observed["rows"]
+
+
+def compact_batches(spark: SparkSession, out: str, least: int = 2) -> int:
+    """Rewrite each month that lies in ``least`` or more batches as one; returns the months rewritten.
+
+    The newest batch is left out, as it may run again. Readers see the old parts or
+    the new one: both change with one publication.
+    """
+    tables = Publication(spark, out)
+    parts = tables.live().where((F.col("table_name") == "trips") & F.col("folder").isNotNull())
+    parts = parts.withColumn("_batch", F.regexp_extract("part", r"/batch=(\d+)$", 1).cast("long"))
+    newest = parts.agg(F.max("_batch")).first()[0]
+    months = parts.where(F.col("_batch") < (newest or 0)).groupBy(F.regexp_replace("part", "/batch=.*$", "").alias("month"))
+    chosen = months.agg(F.collect_list("part").alias("parts"), F.max("_batch").alias("last")).where(F.size("parts") >= least).collect()  # a row per month
+    if not chosen:
+        return 0
+    old = [part for row in chosen for part in row["parts"]]
+    last = max(row["last"] for row in chosen)
+    staged = tables.stage(tables.read("trips", old).withColumn("batch", F.lit(last).cast("int")), "trips", f"compact{last}-{new_run_id()}", LANDED_PARTITION)
+    tables.publish([staged], old)
+    return len(chosen)
+
+
 def _month_part(group: int, pattern: str) -> Column:
     path = F.col("_metadata.file_path")
     named, folder = F.regexp_extract(path, pattern, group), F.regexp_extract(path, MONTH_IN_FOLDER, group)
