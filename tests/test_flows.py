@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tripmill import schemas
 from tripmill.functions import features, profiles
-from tripmill.operators import bundles, cluster, quality, sampling
+from tripmill.operators import bundles, cluster, quality, sampling, zones
 from tripmill.operators.reports import Report, std
 from tripmill.plans import catalog, processing, registered
 from tripmill.session import shared_dir
@@ -531,6 +531,30 @@ def test_backlog_lands_in_batches(spark, make_trips, tmp_path):
     assert rows() == [(3, 7), (4, 6)]
 
 
+def test_rollup_reads_changed_parts_only(spark, make_trips, tmp_path):
+    tables = publish.Publication(spark, str(tmp_path / "p"))
+
+    def deliver(run, *rows):
+        trips = processing.month_literals(features.add_features(make_trips(*rows), profiles.V1), 2023, 1).withColumn("file_month", F.month("pickup_date"))
+        staged = tables.stage(trips, "trips", run, processing.FILE_MONTH)
+        tables.publish([staged], [])
+        parts = zones.refresh_daily_rollup(tables, "trips", processing.FILE_MONTH)
+        full = zones.daily_location_rollup(tables.read("trips"))
+        stored = zones.stored_daily_rollup(tables)
+        assert stored.exceptAll(full).count() == full.exceptAll(stored).count() == 0
+        return parts
+
+    part = "file_year=2023/file_month={}".format
+    assert sorted(deliver("a", at(1), at(1), at(2, month=4))) == [part(3), part(4)]
+    assert deliver("b", {**at(5), "fare_amount": None}) == [part(3)]
+    assert zones.refresh_daily_rollup(tables, "trips", processing.FILE_MONTH) == []
+
+
+def test_run_row_has_rates(spark):
+    row = quality.run_row(spark, {"run_id": "a", "seconds": 1.5, "rows_read": 4, "record_count": 3}).first()
+    assert (row.run_id, row.success_rate, row.rows_read) == ("a", 0.75, 4) and row.recorded_at is not None
+
+
 def test_stream_equals_batch(spark, small, tmp_path):
     events = spark.read.parquet(f"{small}/events.parquet")
     stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(small)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmill.operators import quantiles as Q
 from tripmill.operators.outliers import iqr_outlier_counts, iqr_outliers, outlier_rows
-from tripmill.operators.stats import density, five_number_summary, histogram_bins
+from tripmill.operators.stats import auto_histogram, correlation_matrix, density, five_number_summary, histogram_bins
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -161,3 +161,24 @@ def test_density_integrates_to_about_one(spark):
     rows = density(df, "x", ["g"], points=200).orderBy("x").collect()
     area = np.trapezoid([r.density for r in rows], [r.x for r in rows])
     assert area == pytest.approx(1, abs=0.02)
+
+
+def test_small_spread_is_not_flat(spark):
+    """A column whose values differ little against their size still correlates; one that is constant does not."""
+    rows = [(1_700_000_000_000.0 + i, float(i), 5.0, 2.0 if i < 5 else None, 1.0 if i < 5 else float(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "big double, x double, same double, part double, y double")
+    r = {(a, b): v for a, b, v in correlation_matrix(df, df.columns).collect()}
+    assert r["big", "x"] == pytest.approx(1) and r["big", "big"] == 1
+    assert r["same", "x"] is r["same", "same"] is r["part", "x"] is r["part", "y"] is None
+
+
+def test_automatic_bins(spark):
+    rng = np.random.default_rng(4)
+    data = pd.DataFrame({"a": np.round(rng.gamma(2, 3, 4000), 2), "b": np.full(4000, 3.0)})
+    rows = auto_histogram(spark.createDataFrame(data)).orderBy("metric", "bin").collect()
+    counts, edges = np.histogram(data["a"], bins="auto")
+    a = [r for r in rows if r.metric == "a"]
+    assert {r.bin - 1: r.row_count for r in a} == {i: n for i, n in enumerate(counts.tolist()) if n}
+    assert [r.bin_start for r in a] == pytest.approx([edges[r.bin - 1] for r in a]) and a[-1].bin_end == pytest.approx(edges[-1])
+    assert sum(r.density * (r.bin_end - r.bin_start) for r in a) == pytest.approx(1)
+    assert [(r.row_count, r.density) for r in rows if r.metric == "b"] == [(4000, None)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.operators.clean import Rules, flag_valid
@@ -103,5 +103,14 @@ def run_metrics(counts: DataFrame, run_id: str, **labels: str) -> DataFrame:
     return counts.withColumns({"run_id": F.lit(run_id), **extra, "recorded_at": F.current_timestamp()})
 
 
+def run_row(spark: SparkSession, metrics: Mapping[str, object]) -> DataFrame:
+    """One row of what a run observed of itself (its file, processing and validation metrics), with rate and time."""
+    kinds = {int: "bigint", float: "double", str: "string"}
+    schema = ", ".join(f"{name} {kinds[type(value)]}" for name, value in metrics.items())
+    row = spark.createDataFrame([tuple(metrics.values())], schema)
+    rate = F.try_divide(F.col("record_count").cast("double"), F.col("rows_read"))
+    return row.withColumns({"success_rate": rate, "recorded_at": F.current_timestamp()})
+
+
 def append_run_metrics(row: DataFrame, path: str) -> None:
     row.write.mode("append").parquet(path)

@@ -84,7 +84,6 @@ def distribution_stats(df: DataFrame, columns: Sequence[str] | None = None, appr
 
 
 _MASK_BITS = 62
-_FLAT = 1e-13
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORE_METRICS) -> DataFrame:
@@ -116,6 +115,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORE_METRICS) ->
         .agg(
             F.expr("count(*) AS n"),
             F.expr(f"array({', '.join(f'sum(x{i})' for i in size)}) AS s"),
+            F.expr(f"array({', '.join(f'min(x{i})' for i in size)}) AS lo"),
+            F.expr(f"array({', '.join(f'max(x{i})' for i in size)}) AS hi"),
             F.expr(f"array({', '.join(f'sum(x{i} * x{j})' for i, j in pairs)}) AS p"),
         )
     )
@@ -135,18 +136,22 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORE_METRICS) ->
         .selectExpr("*", f"{first}[k] AS i", f"{second}[k] AS j")
         .where(f"{present('i')} AND {present('j')}")
         .selectExpr(
-            "i", "j", "n", "s[i] AS a", "s[j] AS b", f"p[{diagonal}[i]] AS aa", f"p[{diagonal}[j]] AS bb", "ab"
-        )
+            "i", "j", "n", "s[i] AS a", "s[j] AS b", f"p[{diagonal}[i]] AS aa", f"p[{diagonal}[j]] AS bb", "ab",
+            "lo[i] AS a_lo", "hi[i] AS a_hi", "lo[j] AS b_lo", "hi[j] AS b_hi",
+        )
         .groupBy("i", "j")
-        .agg(*[F.sum(name).alias(name) for name in ("n", "a", "b", "aa", "bb", "ab")])
+        .agg(
+            *[F.sum(name).alias(name) for name in ("n", "a", "b", "aa", "bb", "ab")],
+            (F.max("a_hi") > F.min("a_lo")).alias("a_varies"),
+            (F.max("b_hi") > F.min("b_lo")).alias("b_varies"),
+        )
     )
     n, a, b = F.col("n"), F.col("a"), F.col("b")
 
-    def varied(squares: Column, total: Column) -> Column:
-        rest = squares - total * total / n
-        return F.when(rest > squares * _FLAT, rest)
+    def varied(squares: Column, total: Column, varies: str) -> Column:
+        return F.when(F.col(varies), F.greatest(squares - total * total / n, F.lit(0.0)))
 
-    root = F.sqrt(varied(F.col("aa"), a)) * F.sqrt(varied(F.col("bb"), b))
+    root = F.sqrt(varied(F.col("aa"), a, "a_varies")) * F.sqrt(varied(F.col("bb"), b, "b_varies"))
     r = F.when(F.col("i") == F.col("j"), F.when(root.isNotNull(), F.lit(1.0))).otherwise(
         F.try_divide(F.col("ab") - a * b / n, root)
     )
@@ -266,6 +271,38 @@ def histogram_bins(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     )
 
 
+def auto_histogram(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Histograms of several columns with bins fitted to each; bins without rows are left out.
+
+    The bin width is the smaller of the Freedman-Diaconis width, from exact
+    quartiles, and the Sturges width; a column without spread has one bin. Counts of
+    all columns come from one pass that combines them before the shuffle. The
+    density is the share of rows over the bin's width, null without spread. Columns
+    without values are absent.
+    """
+    columns = list(columns or numeric_columns(df))
+    shape = describe_numeric(df, columns).where(F.col("count") > 0)
+    n, span = F.col("count").cast("double"), F.col("max") - F.col("min")
+    wide, close = 2 * (F.col("q75") - F.col("q25")) / F.pow(n, F.lit(1 / 3)), span / (F.log2(n) + 1)
+    width = F.when(wide > 0, F.least(wide, close)).otherwise(close)
+    shape = shape.select("metric", "count", F.col("min").alias("_low"), span.alias("_span"), F.when(span > 0, F.ceil(span / width)).otherwise(1).cast("int").alias("bins"))
+    found = {r["metric"]: r for r in shape.collect()}  # a row per column
+    binned = []
+    for name, r in found.items():
+        value = F.col(name).cast("double")
+        place = F.floor((value - F.lit(r["_low"])) * F.lit(float(r["bins"])) / F.lit(r["_span"])) if r["_span"] > 0 else F.lit(0)
+        kept = value.isNotNull() & ~F.isnan(value)
+        binned.append(F.when(kept, F.struct(F.lit(name).alias("metric"), F.least(place, F.lit(r["bins"] - 1)).cast("int").alias("bin"))))
+    counted = df.select(F.inline(F.array_compact(F.array(*binned)))).groupBy("metric", "bin").agg(F.count(F.lit(1)).alias("row_count"))
+    known = df.sparkSession.createDataFrame([tuple(r) for r in found.values()], shape.schema)
+    step = F.col("_span") / F.col("bins")
+    return counted.join(F.broadcast(known), "metric").select(
+        "metric", (F.col("bin") + 1).alias("bin"), (F.col("_low") + F.col("bin") * step).alias("bin_start"),
+        (F.col("_low") + (F.col("bin") + 1) * step).alias("bin_end"), "row_count",
+        F.try_divide(F.col("row_count"), F.col("count") * step).alias("density"),
+    )
+
+
 def density(
     df: DataFrame,
     value: str,

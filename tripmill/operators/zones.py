@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions import features
 from tripmill.functions.profiles import V4, Profile
 from tripmill.operators.sizing import fits_broadcast
+from tripmill.sources.publish import Publication, new_run_id
 
 SIDES = (("pu_location_id", "pickup"), ("do_location_id", "dropoff"))
 
@@ -73,6 +76,37 @@ def daily_location_rollup(trips: DataFrame, date: str = "pickup_date", key: str
     )
 
 
+def changed_parts(tables: Publication, source: str, target: str) -> list[str]:
+    """Parts of ``source`` that were published after the part of ``target`` made from them."""
+    live = tables.live()
+    made = live.where(F.col("table_name") == target).select("part", F.col("version").alias("_made"))
+    found = live.where(F.col("table_name") == source).join(made, "part", "left")
+    return [row["part"] for row in found.where(F.col("_made").isNull() | (F.col("_made") < F.col("version"))).collect()]  # one row per part
+
+
+def refresh_daily_rollup(tables: Publication, source: str, partition: Sequence[str], target: str = "daily_rollup") -> list[str]:
+    """Bring the stored rollup up to date with its published source; returns the parts that were read.
+
+    The manifest tells which parts changed; only these are read and summed, and
+    their sums replace those stored before, in one publication.
+    """
+    parts = changed_parts(tables, source, target)
+    if parts:
+        trips = tables.read(source, parts)
+        sums = trips.groupBy(*partition, F.col("pickup_date").alias("date"), "pu_location_id").agg(
+            F.count(F.lit(1)).alias("trips"), F.count("fare_amount").alias("priced"), F.sum("fare_amount").alias("fares")
+        )
+        tables.publish([tables.stage(sums, target, new_run_id(), partition)], parts)
+    return parts
+
+
+def stored_daily_rollup(tables: Publication, target: str = "daily_rollup") -> DataFrame:
+    """The rollup that :func:`daily_location_rollup` computes, merged from the stored sums of all parts."""
+    return tables.read(target).groupBy("date", "pu_location_id").agg(
+        F.sum("trips").alias("trip_count"), F.try_divide(F.sum("fares"), F.sum("priced")).alias("avg_fare")
+    )
+
+
 def daily_metrics_zone_join(
     daily: DataFrame, zones: DataFrame, as_of: Column, days: int = 30, key: str = "pu_location_id"
 ) -> DataFrame:

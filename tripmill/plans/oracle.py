@@ -396,6 +396,14 @@ def _cleaning() -> dict[str, str]:
             f"count(*) FILTER ({valid}) / count(*) >= 0.95 AS passed FROM raw"
         ),
         "min_count_check": _with("SELECT count(*) >= 1000 AS passed FROM v2"),
+        "flow_run_metrics": _with(
+            "SELECT 'trips' AS table_name, CAST(1 AS BIGINT) AS version, "
+            "(SELECT count(DISTINCT (year(tpep_pickup_datetime), month(tpep_pickup_datetime))) FROM raw) AS months, "
+            "(SELECT count(*) FROM raw) AS rows_read, count(*) AS record_count, "
+            "count(*) FILTER (tpep_pickup_datetime IS NULL) AS null_pickup_count, "
+            "count(*) FILTER (tpep_dropoff_datetime IS NULL) AS null_dropoff_count, "
+            "count(*) FILTER (fare_amount < 0) AS negative_fare_count FROM v1"
+        ),
         "run_metrics": _with("SELECT *, 'run' AS run_id, 'analytics' AS flow FROM c", counted),
         "reject_reasons": _with(f"SELECT * FROM ({reasons}) WHERE rejected_rows > 0"),
     }
@@ -493,6 +501,10 @@ def _zone_joins() -> dict[str, str]:
             "SELECT pu_location_id, count(*) AS unmatched_trips FROM raw "
             "WHERE pu_location_id NOT IN (SELECT LocationID FROM zones WHERE LocationID % 10 <> 7) GROUP BY ALL"
         ),
+        "incremental_rollup": _with(
+            "SELECT pickup_date AS date, pu_location_id, count(*) AS trip_count, tidy(avg(fare_amount), 6) AS avg_fare FROM v1 "
+            "WHERE NOT (pickup_year = 1996 AND pickup_month = 5 AND passenger_count < 3) GROUP BY ALL"
+        ),
         "daily_location_rollup": _grouped(
             "v1", "pickup_date AS date, pu_location_id", {"trip_count": "n", "avg_fare": "a:fare_amount"}
         ),
@@ -1003,8 +1015,8 @@ def _statistics() -> dict[str, str]:
         "trip_duration_minutes", "speed_mph", "cost_per_mile", "cost_per_minute", "tip_percentage",
     )
 
-    def each(columns, template: str) -> str:
-        return _with(" UNION ALL ".join(f"SELECT '{c}' AS metric, {template.format(c=c)} FROM v2" for c in columns))
+    def each(columns, template: str, source: str = "v2", extra: str = "") -> str:
+        return _with(" UNION ALL ".join(f"SELECT '{c}' AS metric, {template.format(c=c)} FROM {source.format(c=c)}" for c in columns), extra)
 
     def matrix(columns) -> str:
         pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
@@ -1104,6 +1116,22 @@ binned AS (SELECT is_weekend, low, high, n, h, low + (b - 0.5::DOUBLE) * (high -
             "count(*) AS c FROM v2, edges WHERE cost_per_mile IS NOT NULL GROUP BY ALL) ON b = i",
             ",\nedges AS (SELECT min(cost_per_mile) AS low, max(cost_per_mile) AS high FROM v2)",
         ),
+        "auto_histogram": each(
+            numeric,
+            "CAST(b + 1 AS INTEGER) AS bin, tidy(low + b * (span / bins), 6) AS bin_start, tidy(low + (b + 1) * (span / bins), 6) AS bin_end, "
+            "c AS row_count, CASE WHEN span > 0 THEN tidy(c / (n * (span / bins)), 6) END AS density",
+            "shape_{c}, binned_{c}",
+            "".join(
+                f""",
+shape_{c} AS (SELECT *, CASE WHEN span > 0 THEN CAST(ceil(span / CASE WHEN wide > 0 THEN least(wide, close) ELSE close END) AS INTEGER) ELSE 1 END AS bins
+  FROM (SELECT count({c}) AS n, CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) - CAST(min({c}) AS DOUBLE) AS span,
+    2 * (quantile_cont({c}::DOUBLE, 0.75) - quantile_cont({c}::DOUBLE, 0.25)) / pow(count({c}), 1 / 3) AS wide,
+    (CAST(max({c}) AS DOUBLE) - CAST(min({c}) AS DOUBLE)) / (log2(count({c})) + 1) AS close FROM v2)),
+binned_{c} AS (SELECT CASE WHEN span > 0 THEN least(CAST(floor(({c}::DOUBLE - low) * bins::DOUBLE / span) AS BIGINT), bins - 1) ELSE 0 END AS b, count(*) AS c
+  FROM v2, shape_{c} WHERE {c} IS NOT NULL GROUP BY ALL)"""
+                for c in numeric
+            ),
+        ),
         "ols_trend_line": _with(
             "SELECT time_of_day, tidy(regr_slope(y, x), 6) AS slope, tidy(regr_intercept(y, x), 6) AS intercept, "
             "tidy(regr_r2(y, x), 6) AS r_squared, CAST(regr_count(y, x) AS BIGINT) AS points FROM "
@@ -1133,7 +1161,7 @@ _DATES = {
         "union_months",
     ),
     "month_start": ("month_range", "month_start"),
-    "date": ("date_hour_extract", "daily_metrics_zone_join", "daily_location_rollup", "chart_daily_revenue"),
+    "date": ("date_hour_extract", "daily_metrics_zone_join", "daily_location_rollup", "incremental_rollup", "chart_daily_revenue"),
     "month": (
         "monthly_metrics", "monthly_metrics_filled", "monthly_lag", "month_growth", "moving_average_3",
         "seasonal_decompose",

@@ -499,6 +499,22 @@ add("value_counts_top_pickups", lambda t: catalog.value_counts(t.v2(), "pickup_l
 add("daily_location_rollup", lambda t: rounded(zones.daily_location_rollup(t.v1())))
 
 
+@register("incremental_rollup")
+def _(t: Tables) -> DataFrame:
+    """The stored daily rollup after one month is delivered again with fewer trips: only that month is read anew."""
+    tables = publish.Publication(t.spark, t.shared("rollup"))
+    months = {"file_year": F.col("pickup_year"), "file_month": F.col("pickup_month")}
+    trips = t.v1().select("pickup_date", "pu_location_id", "fare_amount", "passenger_count", "pickup_year", "pickup_month").withColumns(months)
+    year, month = MONTH
+    again = trips.where((F.col("file_year") == year) & (F.col("file_month") == month) & (F.col("passenger_count") >= 3))
+    for run, frame in (("first", trips), ("again", again)):
+        staged = tables.stage(frame, "trips", run, processing.FILE_MONTH)
+        tables.publish([staged], [f"file_year={year}/file_month={month}"])
+        zones.refresh_daily_rollup(tables, "trips", processing.FILE_MONTH)
+    return rounded(zones.stored_daily_rollup(tables))
+
+
+
 #: Key columns that are numbers, by part of a bundle.
 BUNDLE_KEYS: dict[str, tuple[str, ...]] = {
     "hourly_metrics": ("pickup_date", "pickup_hour"),
@@ -627,6 +643,7 @@ add(
 )
 add("violin_density", lambda t: rounded(stats.density(t.v2(), "total_amount", ["is_weekend"], few_groups=True)))
 add("histogram_bins", lambda t: rounded(stats.histogram_bins(t.v2(), "cost_per_mile")))
+add("auto_histogram", lambda t: rounded(stats.auto_histogram(_settled(t.v2()))))
 add("ols_trend_line", lambda t: rounded(stats.ols_trend_line(t.v2())))
 add("zscore_profile", lambda t: rounded(stats.zscore_profile(catalog.REPORTS_V2["radar_profile"](t.v2()))))
 add("location_clusters", lambda t: rounded(cluster.location_clusters(catalog.REPORTS_V2["location_profile"](t.v2()))))
@@ -650,6 +667,17 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).drop("recorded_at")
 
 
+@register("flow_run_metrics")
+def _(t: Tables) -> DataFrame:
+    """Metrics of a run as its own writing job observed them."""
+    root, path = _delivered(t), t.shared("flow-runs")
+    months = processing.present_months(t.spark, root)
+    raw = files.scan_deliveries(t.spark, root, months=months)
+    run = processing.run_flow(raw, t.shared("published"), "trips", processing.derive_v1, {}, months)
+    quality.append_run_metrics(quality.run_row(t.spark, run.metrics), path)
+    return t.spark.read.parquet(path).drop("recorded_at", "run_id", "seconds", "success_rate")
+
+
 add("reject_reasons", lambda t: clean.reject_reasons(t.raw(), clean.standard_rules()))
 
 # ---------------------------------------------------------------- streams
@@ -684,7 +712,7 @@ def _(t: Tables) -> DataFrame:
     source, out = t.shared("backlog"), t.shared("batches")
     raw = t.raw()
     raw.repartition(8, "trip_id").write.parquet(source)
-    landing.stream_land_batches(t.spark, source, raw.schema, out, t.shared("batches-log"), max_bytes=1 << 16).awaitTermination()
+    landing.stream_land_batches(t.spark, source, raw.schema, out, t.shared("batches-log"), max_bytes=1 << 20).awaitTermination()
     landing.compact_batches(t.spark, out)
     return rounded(catalog.REPORTS_V1["viz_hourly_patterns"](publish.Publication(t.spark, out).read("trips")))
 
