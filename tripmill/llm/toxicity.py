@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import map_rows, require, table, third
+from tripmill.llm.common import map_rows, release, require, table, third
 from tripmill.session import settle
 
 #: Rows of each class that the model is fitted on, about: the only sampled step.
@@ -135,6 +135,7 @@ def score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold:
 
     @F.arrow_udf("struct<score:double,n_matches:int,matched_weight:double>")
     def rate(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         machine = lexicon.automaton()
         for column in columns:
             rows = []
