@@ -1,10 +1,10 @@
 """Exact percentiles that never gather a whole group in one task.
 
 Over a whole table, every wanted rank is narrowed to an interval of values by a few
-passes. A pass is one wide aggregate for all columns and ranks: counts on both
-sides and at both ends of each interval, and a mergeable sketch of what lies
-within. Rows are neither expanded nor shuffled. Once an interval holds few values,
-the pass returns these themselves.
+passes. A pass is two wide aggregates for all columns and ranks: the rows up to both
+ends of each interval, and, of the few rows within some interval, a mergeable sketch.
+Rows are neither expanded nor shuffled. Once an interval holds few values, the pass
+returns these themselves.
 
 Within groups, a sketch first brackets every rank per group. Only values inside
 the narrow bracket are then counted one by one; everything else is merely counted
@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ ACCURACY = 10_000
 SLACK = 3 / ACCURACY
 BUCKETS = 1024
 #: Evenly spaced ranks that a narrowing pass asks its sketch for, and values that the last pass returns at most.
-CUTS = 512
+CUTS = 1024
 LAST_VALUES = 10_000
 
 
@@ -116,33 +117,40 @@ class _Search:
         spread = (self.open[-1] - self.open[0]) / self.within + (2 * self.reach + 2) / CUTS + 4 / ACCURACY
         return self.within * spread <= LAST_VALUES
 
-    def measures(self, name: str) -> list[Column]:
-        value = F.col(self.number)
-        inside = (value > F.lit(self.low)) & (value < F.lit(self.high))
-        kept = F.when(inside, value)
-        rest = F.collect_list(kept) if self.few else _cuts(kept)
-        conditions = {"below": value < F.lit(self.low), "low": value == F.lit(self.low), "inside": inside, "high": (value == F.lit(self.high)) & (value > F.lit(self.low))}
-        return [F.count_if(condition).alias(f"{name}_{kind}") for kind, condition in conditions.items()] + [rest.alias(f"{name}_rest")]
+    def counts(self, name: str) -> list[Column]:
+        """Rows below the interval, up to its lower end, and up to its upper end."""
+        value, low, high = F.col(self.number), F.lit(self.low), F.lit(self.high)
+        conditions = {"below": value < low, "low": value <= low, "high": value <= high}
+        return [F.count_if(condition).alias(f"{name}_{kind}") for kind, condition in conditions.items()]
+
+    @property
+    def inside(self) -> Column:
+        return (F.col(self.number) > F.lit(self.low)) & (F.col(self.number) < F.lit(self.high))
+
+    def rest(self, name: str, spaced: Column) -> list[Column]:
+        """The number of values within the interval, and these themselves if they are few, else cuts of them."""
+        kept = F.when(self.inside, F.col(self.number))
+        found = F.collect_list(kept) if self.few else F.percentile_approx(kept, spaced, ACCURACY)
+        return [F.count(kept).alias(f"{name}_inside"), found.alias(f"{name}_rest")]
 
     def learn(self, row: dict, name: str) -> None:
-        below, low, inside, high = (row[f"{name}_{kind}"] for kind in ("below", "low", "inside", "high"))
+        below, low, high, inside = (row[f"{name}_{kind}"] for kind in ("below", "low", "high", "inside"))
         few = self.few
         rest = sorted(row[f"{name}_rest"]) if few else row[f"{name}_rest"]
-        if self.open[0] < below or self.open[-1] >= below + low + inside + high:
+        if self.open[0] < below or self.open[-1] >= high:
             # the sketch was further off than it may be: a wider interval of the pass before
             _, _, self.below, self.within, self.cuts = self.before
             self.reach *= 4
             self.narrow()
             return
         for rank in self.open:
-            place = rank - below
-            if place < low:
+            if rank < low:
                 self.found[rank] = self.low
-            elif place >= low + inside:
+            elif rank >= low + inside:
                 self.found[rank] = self.high
             elif few:
-                self.found[rank] = rest[place - low]
-        self.below, self.within, self.cuts, self.reach = below + low, inside, None if few else rest, 1
+                self.found[rank] = rest[rank - low]
+        self.below, self.within, self.cuts, self.reach = low, inside, None if few else rest, 1
         if self.open:
             self.narrow()
 
@@ -153,16 +161,18 @@ def _number(df: DataFrame, column: str) -> Column:
     return F.when(~F.isnan(value), value) if isinstance(df.schema[column].dataType, T.FractionalType) else value
 
 
-def _cuts(value: Column) -> Column:
-    spaced = F.expr(f"array({', '.join(f'{i / CUTS!r}D' for i in range(CUTS + 1))})")  # one call, whatever the number of cuts
-    return F.percentile_approx(value, spaced, ACCURACY)
+def _spaced() -> Column:
+    """Evenly spaced ranks, as one constant."""
+    return F.expr(f"array({', '.join(f'{i / CUTS!r}D' for i in range(CUTS + 1))})")
 
 
 def _table_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> list[tuple[str, float, float]]:
     """(metric, p, value) of a whole table; the driver receives counts, cuts and at most ``LAST_VALUES`` values for each rank."""
     columns = list(dict.fromkeys(columns))
     numbers = df.select(*[_number(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
-    first = numbers.agg(*[make(F.col(f"v{i}")).alias(f"{i}_{kind}") for i in range(len(columns)) for kind, make in (("n", F.count), ("cuts", _cuts))]).first()
+    spaced = _spaced()
+    measures = {"n": F.count, "cuts": lambda v: F.percentile_approx(v, spaced, ACCURACY)}
+    first = numbers.agg(*[make(f"v{i}").alias(f"{i}_{kind}") for i in range(len(columns)) for kind, make in measures.items()]).first()
     searches: list[tuple[float, _Search, int]] = []
     for i, column in enumerate(columns):
         n, cuts = first[f"{i}_n"], first[f"{i}_cuts"]
@@ -172,7 +182,9 @@ def _table_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
             search.narrow()
             searches.append((float(p), search, n))
     while pending := [search for _, search, _ in searches if search.open]:
-        row = numbers.agg(*[m for i, search in enumerate(pending) for m in search.measures(f"s{i}")]).first().asDict()
+        counts = numbers.agg(*[m for i, search in enumerate(pending) for m in search.counts(f"s{i}")]).first().asDict()
+        within = numbers.where(reduce(Column.__or__, [search.inside for search in pending]))
+        row = counts | within.agg(*[m for i, search in enumerate(pending) for m in search.rest(f"s{i}", spaced)]).first().asDict()
         for i, search in enumerate(pending):
             search.learn(row, f"s{i}")
     found = []
