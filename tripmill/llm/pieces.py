@@ -31,11 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import require, slices, table
+from tripmill.llm.suffixes import Recent, Suffixes
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-#: Entries kept per Python worker; a full store is emptied and fills again.
-KEPT_WORDS = 300_000
+#: Bytes of words and their ids that each of a worker's two generations holds, about.
+KEPT_BYTES = 96 << 20
+#: Pairs of pieces kept per worker; a full store is emptied and fills again.
 KEPT_PAIRS = 500_000
 WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
@@ -45,13 +47,16 @@ class Segmenter:
 
     def __init__(self, scores: dict[str, float], merges: bool):
         self.scores, self.merges = scores, merges
-        self.longest = max(map(len, scores), default=1)
-        self.unknown = min(scores.values(), default=0.0) - 10.0
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.names = [*scores, ""]
+        self.sizes, self.worth = [*map(len, scores), 1], [*scores.values(), min(scores.values(), default=0.0) - 10.0]
+        #: Number of the piece that stands for a character without one.
+        self.unknown = len(scores)
+        self.suffixes = Suffixes([[*map(ord, name)] for name in scores])
+        self.pairs: dict[int, bool] = {}
         self.parts: dict[str, tuple[str, str]] = {}
         self.word = ""
-        # forward states by prefix: (length of the last piece, score of the prefix, pieces of the prefix)
-        self.stack: list[tuple[int, float, int]] = [(0, 0.0, 0)]
+        # forward states by prefix: (number of the last piece, score and pieces of the prefix, state of the automaton)
+        self.stack: list[tuple[int, float, int, int]] = [(-1, 0.0, 0, 0)]
         self.reused = self.computed = 0
 
     def compatible(self, left: str, right: str) -> bool:
@@ -61,26 +66,17 @@ class Segmenter:
         must not merge before the one just undone, and of equal merges the left one
         comes first.
         """
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is not None:
-            return found
-        rank, before, found = self.rank, np.inf, None
-        while found is None:
+        rank, before = self.rank, np.inf
+        while True:
             if rank(left + right) < before:
-                found = False
-                break
+                return False
             of_left, of_right = rank(left) if len(left) > 1 else -np.inf, rank(right) if len(right) > 1 else -np.inf
             if of_left > of_right:
                 before, left = of_left, self.halves(left)[1]
             elif len(right) > 1:
                 before, right = np.nextafter(of_right, np.inf), self.halves(right)[0]
             else:
-                found = True
-        if len(self.pairs) >= KEPT_PAIRS:
-            self.pairs.clear()
-        self.pairs[key] = found
-        return found
+                return True
 
     def rank(self, piece: str) -> float:
         """Place of the merge that makes a piece: smaller is earlier, infinite if nothing makes it."""
@@ -97,43 +93,59 @@ class Segmenter:
             found = self.parts[piece] = (parts[0], parts[1])
         return found
 
-    def segment(self, word: str) -> list[str]:
-        """Pieces of a word; forward states of the prefix shared with the word before are reused."""
+    def path(self, word: str) -> list[int]:
+        """Numbers of the pieces of a word; forward states of the prefix shared with the word before are reused."""
         shared = 0
         for old, new in zip(self.word, word):
             if old != new:
                 break
             shared += 1
-        stack, scores = self.stack, self.scores
+        stack, pairs, sizes, worth, unknown = self.stack, self.pairs, self.sizes, self.worth, self.unknown
+        goto, step, ends = self.suffixes.goto, self.suffixes.step, self.suffixes.ends
         del stack[shared + 1 :]
         self.reused += shared
         self.computed += len(word) - shared
+        state = stack[shared][3]
         for end in range(shared + 1, len(word) + 1):
-            best = None
-            for start in range(max(0, end - self.longest), end):
-                piece = word[start:end]
-                score = scores.get(piece)
-                if score is None:
-                    if end - start > 1:
-                        continue
-                    score = self.unknown
-                if self.merges:
-                    before = stack[start][0]
-                    if before and not self.compatible(word[start - before : start], piece):
+            symbol, best = ord(word[end - 1]), None
+            state = goto.get(state << 21 | symbol) or step(state, symbol)
+            found = ends[state]
+            if not found or sizes[found[-1]] > 1:
+                found = (*found, unknown)
+            for piece in found:
+                last, score, count, _ = stack[end - sizes[piece]]
+                if not self.merges:
+                    if best is None or score + worth[piece] > best[1]:
+                        best = (piece, score + worth[piece], count + 1, state)
+                    continue
+                # a character without a piece never merges with what stands beside it
+                if last >= 0 and last != unknown != piece:
+                    pair = last << 21 | piece
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        if len(pairs) >= KEPT_PAIRS:
+                            pairs.clear()
+                        fits = pairs[pair] = self.compatible(self.names[last], self.names[piece])
+                    if not fits:
                         continue
-                    best = (end - start, stack[start][1] + score, stack[start][2] + 1)
-                    break
-                if best is None or stack[start][1] + score > best[1]:
-                    best = (end - start, stack[start][1] + score, stack[start][2] + 1)
+                best = (piece, score + worth[piece], count + 1, state)
+                break
             stack.append(best)
         self.word = word
         pieces, end = [], len(word)
         while end:
-            length = stack[end][0]
-            pieces.append(word[end - length : end])
-            end -= length
+            pieces.append(stack[end][0])
+            end -= sizes[pieces[-1]]
         return pieces[::-1]
 
+    def segment(self, word: str) -> list[str]:
+        """Pieces of a word as text."""
+        pieces, end = [], 0
+        for size in map(self.sizes.__getitem__, self.path(word)):
+            pieces.append(word[end : end + size])
+            end += size
+        return pieces
+
 
 class PieceCoder:
     """Ids of texts and texts of ids, for one SentencePiece model file of the merging kind."""
@@ -156,19 +168,27 @@ class PieceCoder:
         self.segmenter = Segmenter({names[i]: model.get_score(i) for i in plain}, merges=True)
         if any("\n" in name or MARK in name.lstrip(MARK) for name in self.ids):
             raise ValueError("pieces of this model cross word marks")
-        self.known: dict[str, bytes] = {}
+        self.known = Recent(KEPT_BYTES)
+        #: Little-endian 32-bit ids by number of the piece.
+        self.codes = [i.to_bytes(4, "little") for i in self.ids.values()]
 
-    def prepare(self, texts: list[str]) -> list[list[str]]:
-        """Marked words of each text; new ones are segmented in sorted order."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; new marked words of all texts are segmented in sorted order."""
+        store, codes, unknown = self.known, self.codes, self.segmenter.unknown
+        store.turn()
         marked = [WORD.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
-        known = self.known
-        new = {w for words in marked for w in words if w not in known}
-        if new and len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = {w for words in marked for w in words}
-        for word in sorted(new):
-            known[word] = np.array([i for piece in self.segmenter.segment(word) for i in self._ids_of(piece)], "<u4").tobytes()
-        return marked
+        coded = list(map(store.find, marked))
+        partly = [i for i, own in enumerate(coded) if None in own]
+        for word in sorted(store.missing(w for i in partly for w, ids in zip(marked[i], coded[i]) if ids is None)):
+            pieces = self.segmenter.path(word)
+            if unknown in pieces:
+                ids = [i for piece in self.segmenter.segment(word) for i in self._ids_of(piece)]
+                store.keep(word, b"".join(i.to_bytes(4, "little") for i in ids))
+            else:
+                store.keep(word, b"".join([codes[piece] for piece in pieces]))
+        for i in partly:
+            coded[i] = store.find(marked[i])
+        return [np.frombuffer(b"".join(own), "<u4") for own in coded]
 
     def _ids_of(self, piece: str) -> list[int]:
         found = self.ids.get(piece)
@@ -176,12 +196,13 @@ class PieceCoder:
             return [found]
         return [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in self.prepare(texts)]
-
     def decode(self, ids) -> str:
         size = len(self.raw)
-        text = b"".join([self.raw[i] for i in ids if i is not None and 0 <= i < size]).decode("utf-8", "replace")
+        if isinstance(ids, np.ndarray):
+            known = ids[(ids >= 0) & (ids < size)].tolist()
+        else:
+            known = [i for i in ids if i is not None and 0 <= i < size]
+        text = b"".join(map(self.raw.__getitem__, known)).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
@@ -240,7 +261,7 @@ def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for piece in slices([pa.record_batch([column], ["text"])], "text", 1 << 20):
                 texts = [t or "" for t in piece.column(0).to_pylist()]
                 for text, ids in zip(texts, own.encode(texts)):
-                    rows.append((len(ids), zlib.crc32(ids.tobytes()), own.decode(ids.tolist()) == text))
+                    rows.append((len(ids), zlib.crc32(ids.tobytes()), own.decode(ids) == text))
             kinds = (pa.int64(), pa.int64(), pa.bool_())
             yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["n_pieces", "ids_crc32", "round_trip"])
 

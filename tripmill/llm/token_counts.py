@@ -28,11 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import require, slices, table
+from tripmill.llm.suffixes import Recent, Suffixes
 
 LIMIT = 1024
 VOCABULARY = "byte_bpe_50k.json"
-#: Entries kept per Python worker; a full store is emptied and fills again.
-KEPT_WORDS = 300_000
+#: Bytes of words and chunks that each of a worker's two generations holds, about.
+KEPT_BYTES = 96 << 20
+#: Pairs of tokens kept per worker; a full store is emptied and fills again.
 KEPT_PAIRS = 500_000
 #: Split of a text into words before merging (fixed value of this vocabulary).
 WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -72,12 +74,12 @@ class PrefixCounter:
             if self.made.setdefault(pair[0] + pair[1], rank) == rank:
                 self.halves[pair[0] + pair[1]] = pair
         self.names = sorted({bytes([b]) for b in range(256)} | {a + b for a, b in self.ranks})
-        self.ids = {token: number for number, token in enumerate(self.names)}
-        self.longest = max(map(len, self.names))
-        self.counts: dict[str, int] = {}
-        self.chunks: dict[str, int] = {}
+        self.sizes = list(map(len, self.names))
+        self.suffixes = Suffixes(self.names)
+        # a chunk that is one word has the count of that word, so both share a store
+        self.counts = Recent(KEPT_BYTES)
         self.pairs: dict[int, bool] = {}
-        self._word, self._last, self._counts = b"", [0], [0]
+        self._word, self._last, self._counts, self._states = b"", [0], [0], [0]
 
     def compatible(self, left: bytes, right: bytes) -> bool:
         """Whether no merge across the border comes before the merges that made the two tokens.
@@ -105,57 +107,62 @@ class PrefixCounter:
         What the previous word shares with this one is kept, so sorted words
         share the work for their common prefixes.
         """
-        last, counts, shared = self._last, self._counts, 0
+        last, counts, states, shared = self._last, self._counts, self._states, 0
         for old, new in zip(self._word, word):
             if old != new:
                 break
             shared += 1
-        del last[shared + 1 :], counts[shared + 1 :]
-        ids, pairs, longest = self.ids, self.pairs, self.longest
+        del last[shared + 1 :], counts[shared + 1 :], states[shared + 1 :]
+        names, sizes, pairs, goto, step, ends = self.names, self.sizes, self.pairs, self.suffixes.goto, self.suffixes.step, self.suffixes.ends
+        state = states[shared]
         for end in range(shared + 1, len(word) + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                token = ids.get(word[start:end])
-                if token is None:
-                    continue
+            state = goto.get(state << 21 | word[end - 1]) or step(state, word[end - 1])
+            for token in ends[state]:
+                start = end - sizes[token]
                 if start:
                     pair = last[start] << 20 | token
                     fits = pairs.get(pair)
                     if fits is None:
                         if len(pairs) >= KEPT_PAIRS:
                             pairs.clear()
-                        fits = pairs[pair] = self.compatible(self.names[last[start]], word[start:end])
+                        fits = pairs[pair] = self.compatible(names[last[start]], names[token])
                     if not fits:
                         continue
                 last.append(token)
                 counts.append(counts[start] + 1)
+                states.append(state)
                 break
         self._word = word
         return counts
 
     def word_count(self, word: str) -> int:
-        count = self.counts.get(word)
+        count = self.counts.young.get(word)
         if count is None:
-            count = self.word_counts(word.encode())[-1]
+            count = self.counts.old.get(word) or self.word_counts(word.encode())[-1]
             if len(word) <= 64:
-                if len(self.counts) >= KEPT_WORDS:
-                    self.counts.clear()
-                self.counts[word] = count
+                self.counts.keep(word, count)
         return count
 
-    def prepare(self, texts: list[str]) -> list[list[str] | None]:
-        """Counts the new words of several texts at once, in sorted order; the chunks of each text."""
-        known = self.chunks
+    def prepare(self, texts: list[str]) -> list[tuple[list[str], list[int]] | None]:
+        """Chunks of each text and their counts; new words of all texts are counted in sorted order."""
+        store = self.counts
+        store.turn()
         chunks = [self._chunks(text) for text in texts]
-        new = {c for own in chunks if own for c in own if c not in known}
-        if new and len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = {c for own in chunks if own for c in own}
-        split = {chunk: WORDS.findall(chunk) for chunk in new}
-        for word in sorted({w for words in split.values() for w in words if w not in self.counts}):
-            self.word_count(word)
+        counts = [store.find(own) if own else None for own in chunks]
+        partly = [i for i, own in enumerate(counts) if own and None in own]
+        split = {}
+        for chunk in store.missing(c for i in partly for c, n in zip(chunks[i], counts[i]) if n is None):
+            word = chunk[1:] if chunk[:1] == " " else chunk
+            split[chunk] = (chunk,) if word.isascii() and word.isalpha() else WORDS.findall(chunk)
+        young = store.young
+        for word in sorted(store.missing(w for words in split.values() for w in words if w not in young)):
+            store.keep(word, self.word_counts(word.encode())[-1])
         for chunk, words in split.items():
-            known[chunk] = sum(map(self.word_count, words))
-        return chunks
+            if len(words) != 1:
+                store.keep(chunk, sum(map(young.__getitem__, words)))
+        for i in partly:
+            counts[i] = store.find(chunks[i])
+        return [None if own is None else (own, n or []) for own, n in zip(chunks, counts)]
 
     def _chunks(self, text: str) -> list[str] | None:
         """Chunks that begin with a single space each, or None if the text has to be split into words.
@@ -178,16 +185,17 @@ class PrefixCounter:
     def count(self, text: str) -> int:
         return sum(self.chunk_counts(text)[1])
 
-    def chunk_counts(self, text: str, chunks: list[str] | None = None) -> tuple[list[str], list[int]]:
-        """Chunks of a text that are encoded one by one, and their counts; ``chunks`` come from ``prepare``."""
-        if chunks is None and (chunks := self.prepare([text])[0]) is None:
+    def chunk_counts(self, text: str, prepared: tuple[list[str], list[int]] | None = None) -> tuple[list[str], list[int]]:
+        """Chunks of a text that are encoded one by one, and their counts; ``prepared`` comes from ``prepare``."""
+        found = prepared or self.prepare([text])[0]
+        if found is None:
             words = self._split(text)
             return words, [1 if self.special and self.special.fullmatch(w) else self.word_count(w) for w in words]
-        return chunks, list(map(self.chunks.__getitem__, chunks))
+        return found
 
-    def count_and_fit(self, text: str, budget: int, chunks: list[str] | None = None) -> tuple[int, int | None]:
+    def count_and_fit(self, text: str, budget: int, prepared: tuple[list[str], list[int]] | None = None) -> tuple[int, int | None]:
         """Token count, and the characters of the longest prefix within ``budget`` if the text is longer."""
-        chunks, counts = self.chunk_counts(text, chunks)
+        chunks, counts = self.chunk_counts(text, prepared)
         total = sum(counts)
         if total <= budget:
             return total, None
@@ -264,8 +272,8 @@ def count_tokens(docs: DataFrame, text_col: str = "text", limit: int = LIMIT, pa
             rows = []
             for piece in slices([pa.record_batch([column], ["text"])], "text", 1 << 20):
                 strings = [text or "" for text in piece.column(0).to_pylist()]
-                for text, chunks in zip(strings, own.prepare(strings)):
-                    tokens, cut = own.count_and_fit(text, limit, chunks)
+                for text, prepared in zip(strings, own.prepare(strings)):
+                    tokens, cut = own.count_and_fit(text, limit, prepared)
                     rows.append((tokens, len(text[:cut].encode())))
             yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], ["n_tokens", "fit_bytes"])
 
