@@ -174,3 +174,29 @@ def test_constant_column_correlates_with_nothing(spark):
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0), (1.0, 3.0)], "c double, x double")
     r = {(x.metric_a, x.metric_b): x.r for x in stats.correlation_matrix(df, ["c", "x"]).collect()}
     assert r == {("c", "c"): None, ("c", "x"): None, ("x", "c"): None, ("x", "x"): 1.0}
+
+
+@pytest.mark.parametrize("lags", [0, 1, 3])
+def test_unit_roots_of_many_series_equal_least_squares(spark, lags):
+    rng = np.random.default_rng(lags)
+    noise = {name: rng.normal(1e6, 3, size) for name, size in (("a", 80), ("b", 40), ("c", 12))}
+    made = noise | {"walk": np.cumsum(noise["a"] - 1e6), "flat": np.full(30, 7.0), "line": np.arange(20.0), "short": np.array([1.0, 5.0, 2.0])}
+    frames = [pd.DataFrame({"zone": name, "day": months(len(y)), "y": y}) for name, y in made.items()]
+    rows = spark.createDataFrame(pd.concat(frames)).repartition(5)
+    gone = spark.createDataFrame([("a", months(1, 900)[0], None), ("none", months(1)[0], None)], rows.schema)
+    found = {r.zone: r for r in timeseries.unit_roots(rows.unionByName(gone), "y", "day", ["zone"], lags).collect()}
+    assert set(found) == set(made)
+    for name, y in made.items():
+        step = np.diff(y)
+        at = np.arange(lags, len(step))
+        assert found[name].observations == max(0, len(at))
+        if name in ("flat", "line", "short"):
+            assert found[name].statistic is None and found[name].stationary is None
+            continue
+        x = np.column_stack([np.ones(len(at)), y[at] - y.mean(), *(step[at - k] for k in range(1, lags + 1))])
+        beta, *_ = np.linalg.lstsq(x, step[at], rcond=None)
+        rest = step[at] - x @ beta
+        error = np.sqrt(rest @ rest / (len(at) - x.shape[1]) * np.linalg.inv(x.T @ x)[1, 1])
+        assert found[name].statistic == pytest.approx(beta[1] / error, rel=1e-6)
+    assert found["a"].stationary and not found["walk"].stationary
+    assert timeseries.unit_roots(rows.limit(0), "y", "day", ["zone"], lags).count() == 0

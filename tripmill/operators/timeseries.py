@@ -27,6 +27,10 @@ MONTHLY_AVERAGES = {
 }
 TREND_METRICS = ("total_trips", "total_revenue", "avg_fare")
 PERIOD = 12
+# 5 % critical value of the unit-root statistic with a constant, by powers of 1 / observations.
+UNIT_ROOT_CRITICAL = (-2.86154, -2.8903, -4.234, -40.04)
+#: A regressor that the others explain but for this share of its variance counts as a combination of them.
+DEPENDENT = 1e-10
 
 YearMonth = tuple[int, int]
 
@@ -243,3 +247,47 @@ def adf_statistic(monthly: DataFrame, value: str = "total_trips", by: Sequence[s
         test, f"{layout}, adf_statistic double, adf_pvalue double, used_lag int, observations int"
     )
     return tested if by else tested.drop("_series")
+
+
+def unit_roots(rows: DataFrame, value: str, time: str, by: Sequence[str], lags: int = 1) -> DataFrame:
+    """Unit-root test with a constant and a fixed number of lags, for many series at once.
+
+    The steps of a series are regressed on the level before and on the ``lags``
+    steps before. All products of these variables are gathered as covariances, which
+    combine before the shuffle of groups, and are factored column by column (Cholesky) with
+    the level and the step last: the statistic is the quotient of the two entries
+    of the last row, scaled by the degrees of freedom.
+
+    One row per series with ``observations`` (rows of the regression), ``statistic``
+    and ``stationary`` (below the 5 % critical value). Steps lie between
+    neighbouring rows, so a calendar with gaps is filled beforehand where gaps
+    matter. Null and NaN values are left out; rows that repeat a time are ordered by value.
+    The statistic is null where the series is too short, constant, or fits without a rest.
+    A null key is a series of its own; a series without any value has no row.
+    """
+    order = Window.partitionBy(*by).orderBy(time, "_y")
+    known = rows.select(*by, time, F.col(value).cast("double").alias("_y")).where(F.col("_y").isNotNull() & ~F.isnan("_y"))
+    stepped = known.withColumn("_level", F.lag("_y").over(order)).withColumn("_step", F.col("_y") - F.col("_level"))
+    before = [F.lag("_step", k).over(order).alias(f"_x{k - 1}") for k in range(1, lags + 1)]
+    level, step = lags, lags + 1
+    cells = stepped.select(*by, *before, F.col("_level").alias(f"_x{level}"), F.col("_step").alias(f"_x{step}"))
+    complete = F.col(f"_x{lags - 1}" if lags else f"_x{step}").isNotNull()
+    pairs = [(i, j) for i in range(step + 1) for j in range(i + 1)]
+    table = cells.groupBy(*by).agg(
+        F.count_if(complete).alias("observations"),
+        *[F.covar_pop(F.when(complete, F.col(f"_x{i}")), F.when(complete, F.col(f"_x{j}"))).alias(f"_c{i}_{j}") for i, j in pairs],
+    )
+    for j in range(step + 1):
+        rest = F.col(f"_c{j}_{j}") - sum((F.col(f"_l{j}_{k}") ** 2 for k in range(j)), F.lit(0.0))
+        table = table.withColumn(f"_l{j}_{j}", F.when(rest > DEPENDENT * F.col(f"_c{j}_{j}"), F.sqrt(rest)))
+        below = {
+            f"_l{i}_{j}": (F.col(f"_c{i}_{j}") - sum((F.col(f"_l{i}_{k}") * F.col(f"_l{j}_{k}") for k in range(j)), F.lit(0.0))) / F.col(f"_l{j}_{j}")
+            for i in range(j + 1, step + 1)
+        }
+        if below:
+            table = table.withColumns(below)
+    n = F.col("observations")
+    spare = n - lags - 2
+    statistic = F.when(spare > 0, F.col(f"_l{step}_{level}") / F.col(f"_l{step}_{step}") * F.sqrt(spare))
+    critical = sum((F.lit(c) / n**power for power, c in enumerate(UNIT_ROOT_CRITICAL)), F.lit(0.0))
+    return table.select(*by, "observations", statistic.alias("statistic")).withColumn("stationary", F.col("statistic") < critical)

@@ -995,6 +995,21 @@ averaged AS (
             "FROM monthly WINDOW w AS (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)",
             _MONTHLY,
         ),
+        "location_unit_roots": _with(
+            "SELECT pu_location_id, observations, tidy(t, 6) AS statistic, "
+            "t < -2.86154 - 2.8903 / observations - 4.234 / observations ** 2 - 40.04 / observations ** 3 AS stationary FROM ("
+            "SELECT *, CASE WHEN observations > 3 AND (1 - dz * dz) * (1 - r * r) > 1e-10 "
+            "THEN r * sqrt((observations - 3) / (1 - r * r)) END AS t FROM ("
+            "SELECT *, CASE WHEN 1 - xz * xz > 1e-10 AND 1 - dz * dz > 1e-10 THEN (xd - xz * dz) / sqrt((1 - xz * xz) * (1 - dz * dz)) END AS r FROM ("
+            "SELECT pu_location_id, count(z) AS observations, CASE WHEN min(z) < max(z) AND min(x) < max(x) THEN corr(x, z) END AS xz, "
+            "CASE WHEN min(z) < max(z) AND min(d) < max(d) THEN corr(d, z) END AS dz, "
+            "CASE WHEN min(x) < max(x) AND min(d) < max(d) THEN corr(x, d) END AS xd FROM ("
+            "SELECT pu_location_id, d, CASE WHEN z IS NOT NULL THEN x END AS x, z FROM ("
+            "SELECT pu_location_id, x, y - x AS d0, CASE WHEN lag(y - x) OVER w IS NOT NULL THEN y - x END AS d, lag(y - x) OVER w AS z FROM ("
+            "SELECT pu_location_id, date, y, lag(y) OVER (PARTITION BY pu_location_id ORDER BY date) AS x FROM ("
+            "SELECT pu_location_id, pickup_date AS date, count(*) AS y FROM v1 GROUP BY ALL)) "
+            "WINDOW w AS (PARTITION BY pu_location_id ORDER BY date))) GROUP BY pu_location_id)))",
+        ),
         "trend_regression": _with(
             "SELECT metric, tidy(slope, 5) AS slope, tidy(r_squared, 5) AS r_squared, tidy(mean, 5) AS mean, "
             "tidy(std, 5) AS std, tidy(min, 5) AS min, tidy(max, 5) AS max, months, "

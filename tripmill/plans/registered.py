@@ -580,6 +580,10 @@ add("month_growth", lambda t: rounded(timeseries.month_growth(timeseries.monthly
 add("moving_average_3", lambda t: rounded(timeseries.moving_average(_monthly(t))))
 add("trend_regression", lambda t: rounded(timeseries.trend_regression(_monthly(t)), 5))
 add("seasonal_decompose", lambda t: rounded(timeseries.seasonal_decompose(_monthly(t))))
+add(
+    "location_unit_roots",
+    lambda t: rounded(timeseries.unit_roots(zones.daily_location_rollup(t.v1()), "trip_count", "date", ["pu_location_id"])),
+)
 add("adf_statistic", lambda t: rounded(timeseries.adf_statistic(_monthly(t))))
 
 # ---------------------------------------------------------------- order, limits, sets
