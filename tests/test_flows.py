@@ -599,3 +599,12 @@ def test_query_parameters(spark, make_trips):
         spark, "SELECT count(*) AS n FROM {trips} WHERE passenger_count = :riders", {"riders": 1}, trips=make_trips({})
     )
     assert df.first().n == 1
+
+
+def test_hourly_counts_query_counts_every_event(spark, tmp_path):
+    """Late rows, open hours and rows without a time are counted as well."""
+    times = [datetime(2024, 1, 1, 0, 5), datetime(2024, 1, 1, 0, 50), datetime(2024, 1, 9, 7, 0), datetime(2024, 1, 31, 23, 59), None]
+    events = spark.createDataFrame([(7 + 50 * i, when, float(i)) for i, when in enumerate(times)], "event_id bigint, ts timestamp_ntz, value double")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    found = {r.hour_start: (r.trips_per_hour, r.avg_fare_per_hour) for r in registered.queries()["stream_hourly_counts"](spark, str(tmp_path)).collect()}
+    assert found == {times[0].replace(minute=0): (2, 0.5), times[2]: (1, 2.0), datetime(2024, 1, 31, 23): (1, 3.0), None: (1, 4.0)}

@@ -10,20 +10,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def hourly_counts(
-    stream: DataFrame, when: str = "tpep_pickup_datetime", delay: str = "1 hour", value: str = "total_amount", distinct: Sequence[str] = ()
+    stream: DataFrame, when: str = "tpep_pickup_datetime", delay: str = "1 hour", value: str = "total_amount", distinct: Sequence[str] = (), undated: bool = False
 ) -> DataFrame:
     """Tumbling one-hour counts and average of ``value``; rows later than ``delay`` are dropped.
 
     With ``distinct``, a row whose key columns were seen within the delay counts
     once; the keys seen are forgotten as the watermark passes them, so the state
     does not grow with the stream. Works on batch frames too, where the watermark
-    has no effect.
+    has no effect. With ``undated``, rows without a time form a group without an
+    hour; such counts are for ``complete`` output, which drops no late rows either.
     """
     timed = stream.withColumn("_ts", F.col(when).cast("timestamp")).withWatermark("_ts", delay)
     if distinct:
         timed = timed.dropDuplicatesWithinWatermark(list(distinct)) if stream.isStreaming else timed.dropDuplicates(list(distinct))
+    hour = F.struct(F.date_trunc("hour", "_ts").alias("start")) if undated else F.window("_ts", "1 hour")
     return (
-        timed.groupBy(F.window("_ts", "1 hour").alias("_w"))
+        timed.groupBy(hour.alias("_w"))
         .agg(F.count(F.lit(1)).alias("trips_per_hour"), F.avg(value).alias("avg_fare_per_hour"))
         .select(F.col("_w.start").alias("hour_start"), "trips_per_hour", "avg_fare_per_hour")
     )
