@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmill.operators import quantiles as Q
 from tripmill.operators.outliers import iqr_outlier_counts, iqr_outliers, outlier_rows
-from tripmill.operators.stats import auto_histogram, correlation_matrix, density, five_number_summary, histogram_bins
+from tripmill.operators.stats import auto_histogram, basic_stats, correlation_matrix, density, describe_numeric, distribution_stats, five_number_summary, histogram_bins
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -182,3 +182,40 @@ def test_automatic_bins(spark):
     assert [r.bin_start for r in a] == pytest.approx([edges[r.bin - 1] for r in a]) and a[-1].bin_end == pytest.approx(edges[-1])
     assert sum(r.density * (r.bin_end - r.bin_start) for r in a) == pytest.approx(1)
     assert [(r.row_count, r.density) for r in rows if r.metric == "b"] == [(4000, None)]
+
+
+@pytest.mark.parametrize(
+    "run",
+    [
+        lambda df: Q.exact_quantiles(df, ["a", "b"], [0.25, 0.9]),
+        lambda df: describe_numeric(df, ["a", "b"]),
+        lambda df: basic_stats(df, ["a", "b"]),
+        lambda df: distribution_stats(df, ["a", "b"]),
+        lambda df: auto_histogram(df, ["a", "b"]),
+        lambda df: iqr_outliers(df, ["a", "b"], ["id"]),
+        lambda df: iqr_outlier_counts(df, ["a", "b"]),
+    ],
+)
+def test_what_columns_are_made_from_is_done_once(spark, run):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def value(i):
+        made.add(1)
+        return float(i * i % 977)
+
+    run(spark.range(3000).select("id", value("id").alias("a")).withColumn("b", F.col("a") + 1)).collect()
+    assert made.value in (3000, 6000)  # once for each use in the row, in one pass
+
+
+def test_ends_shared_by_ranks_and_repeated_values(spark, monkeypatch):
+    monkeypatch.setattr(Q, "LAST_VALUES", 5)
+    values = [0.0] * 4000 + [float(i % 7) for i in range(3000)] + [float("inf")] * 50 + [float("-inf")] * 50
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "a double")
+    probs = [0.0, 0.003, 0.01, 0.25, 0.5, 0.75, 0.8, 0.999, 1.0]
+    found = {r.p: r.value for r in Q.exact_quantiles(df, ["a"], probs).collect()}
+    ordered = sorted(values)
+    for p in probs:
+        position = (len(ordered) - 1) * p
+        low, high = ordered[int(position)], ordered[min(int(position) + 1, len(ordered) - 1)]
+        assert found[p] == (low if low == high or position == int(position) else low + (high - low) * (position - int(position)))
