@@ -608,3 +608,19 @@ def test_hourly_counts_query_counts_every_event(spark, tmp_path):
     events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
     found = {r.hour_start: (r.trips_per_hour, r.avg_fare_per_hour) for r in registered.queries()["stream_hourly_counts"](spark, str(tmp_path)).collect()}
     assert found == {times[0].replace(minute=0): (2, 0.5), times[2]: (1, 2.0), datetime(2024, 1, 31, 23): (1, 3.0), None: (1, 4.0)}
+
+
+def test_reports_with_different_keys_share_no_cells(spark, make_trips):
+    """Hours, locations and payments are counted apart; a day's metrics come from its hours, the whole from the fewest keys."""
+    groups = [list(group) for group in bundles.nested(processing.metric_reports())]
+    assert sorted(map(sorted, groups)) == [["daily_metrics", "hourly_metrics"], ["location_metrics"], ["payment_metrics"]]
+    assert [list(group) for group in bundles.nested(processing.statistic_reports())] == [["popular_routes"], ["by_borough", "overall"], ["by_time"]]
+    rows = [at(1, hour) | {"pu_location_id": place, "payment_type": kind, "fare_amount": 1.0 + hour} for hour in (3, 9) for place in (1, 2, None) for kind in (1, 2)]
+    trips = processing.derive_v1(make_trips(*rows))
+    reports = processing.metric_reports()
+    for name, ours in processing.trip_metrics(trips).items():
+        plan = ours._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[: plan.index("Relation")]
+        assert name != "location_metrics" or ("pickup_date" not in above and "payment_type_desc" not in above)
+        as_rows = lambda df: sorted(map(repr, registered.rounded(df).collect()))
+        assert as_rows(ours) == as_rows(reports[name](trips)), name
