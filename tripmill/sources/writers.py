@@ -29,6 +29,7 @@ def write_partitioned(
     mode: str = "overwrite",
     replace: str = "partitions",
     max_records_per_file: int = 20_000_000,
+    spread: bool = True,
 ) -> None:
     """Parquet folders per partition value.
 
@@ -38,10 +39,12 @@ def write_partitioned(
     Rows are rebalanced by partition value: values holding many rows are split
     over several tasks, small ones share a task, so one month with most of the
     data neither lands in a single task nor scatters into tiny files.
-    ``cluster`` orders rows within a file so row groups can be skipped.
+    ``cluster`` orders rows within a file so row groups can be skipped. Without
+    ``spread`` rows are written where they are, for rows that lie by partition value already.
     """
     partition, cluster = list(partition), list(cluster)
-    df = df.hint("rebalance", *partition)
+    if spread:
+        df = df.hint("rebalance", *partition)
     if cluster:
         df = df.sortWithinPartitions(*partition, *cluster)
     writer = (

@@ -108,33 +108,39 @@ def compact_batches(spark: SparkSession, out: str, least: int = 2) -> int:
 
 
 def _month_part(group: int, pattern: str) -> Column:
-    path = F.col("_metadata.file_path")
+    path = F.col("_path")
     named, folder = F.regexp_extract(path, pattern, group), F.regexp_extract(path, MONTH_IN_FOLDER, group)
     return F.coalesce(folder.try_cast("int"), named.try_cast("int"))
 
 
-def with_delivery(source: DataFrame, pattern: str = MONTH_IN_NAME) -> DataFrame:
-    """Rows with the month of their file (null if it tells none) and its delivery.
+def with_file(source: DataFrame) -> DataFrame:
+    """Rows with the path and time of their file."""
+    return source.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_modification_time").alias("_delivered"))
+
+
+def deliveries(batch: DataFrame, pattern: str = MONTH_IN_NAME) -> DataFrame:
+    """A row for each file of a batch (:func:`with_file`): its month (null if it tells none), its delivery and its time.
 
     A delivery is everything of one month that arrives in one folder under one
-    stamp, however many files it has.
+    stamp, however many files it has. Paths are parsed once a file, not once a row,
+    and no column of the rows is read for it.
     """
-    path = F.col("_metadata.file_path")
-    return source.select(
-        "*",
+    path = F.col("_path")
+    return batch.groupBy("_path").agg(F.max("_delivered").alias("delivered")).select(
+        "_path",
         _month_part(1, pattern).alias("file_year"),
         _month_part(2, pattern).alias("file_month"),
         F.struct(F.regexp_extract(path, STAMP_IN_NAME, 1).alias("stamp"), F.regexp_extract(path, r"^(.*)/[^/]*$", 1).alias("folder")).alias("delivery"),
-        F.col("_metadata.file_modification_time").alias("delivered"),
+        "delivered",
     )
 
 
 def latest_delivery(batch: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """The last delivery of each file month, if rows of it are in the batch: by stamp, then by the time of its newest file.
+    """The last delivery of each file month, if files of it are in the batch: by stamp, then by the time of its newest file.
 
     ``stored`` has the delivery that each month's stored rows belong to; ``held``
-    tells whether the chosen one is that. Deliveries are compared one row per
-    delivery; trips are not sorted.
+    tells whether the chosen one is that. ``batch`` has a row per file
+    (:func:`deliveries`); deliveries are compared one row per delivery.
     """
     month = list(DELIVERY_PARTITION)
     seen = batch.groupBy(*month, "delivery").agg(F.max("delivered").alias("newest")).withColumn("held", F.lit(False))
@@ -191,22 +197,24 @@ def stream_replace_months(
     def write(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
         known = F.col("file_year").isNotNull() & F.col("file_month").isNotNull()
-        lost = batch.where(~known).drop(*month, "delivery", "delivered")
+        # what follows works on a row per file; stored, so its real size picks the join and rows are not shuffled for it
+        found = settle(deliveries(batch, pattern), "files")
+        lost = found.where(~known).select("_path")
         if not lost.isEmpty():
-            lost.write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
-        arrived = batch.where(known)
+            batch.join(lost, "_path", "left_semi").select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
+        arrived = found.where(known)
         before = own.read.schema(f"{LEDGER}, delivery_batch bigint").parquet(ledger).where(F.col("delivery_batch") < batch_id)
         last = before.groupBy(*month).agg(F.max_by(F.struct("delivery", "newest"), "delivery_batch").alias("_last"))
-        # stored first, so their real size picks the join and a large delivery's rows are not shuffled to one task
         chosen = settle(latest_delivery(arrived, last.select(*month, "_last.*")), "deliveries")
-        rows = arrived.join(chosen.select(*month, "delivery"), [*month, "delivery"], "left_semi").drop("delivery", "delivered")
-        write_partitioned(derive(rows).withColumn("delivery_batch", F.lit(batch_id)), out, [*month, "delivery_batch"])
+        wanted = settle(arrived.join(chosen.select(*month, "delivery"), [*month, "delivery"], "left_semi").select("_path", *month), "wanted-files")
+        rows = batch.drop("_delivered").join(wanted, "_path").drop("_path").hint("rebalance", *month)  # before derived columns make rows wide
+        write_partitioned(derive(rows).withColumn("delivery_batch", F.lit(batch_id)), out, [*month, "delivery_batch"], spread=False)
         for year, number in chosen.where(~F.col("held")).select(*month).collect():  # one row per month
             _keep_only(own, f"{out}/file_year={year}/file_month={number}", f"delivery_batch={batch_id}")
         chosen.drop("held").write.mode("overwrite").parquet(f"{ledger}/delivery_batch={batch_id}")
 
     return (
-        with_delivery(stream_files(spark, folder, schema), pattern)
+        with_file(stream_files(spark, folder, schema))
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
