@@ -3,7 +3,11 @@
 import os
 import re
 
+from pyspark.sql import functions as F
+
 from tests.test_flows import at, one_file
+from tripmill.plans import processing
+from tripmill.sources import publish
 from tripmill.streaming import landing
 
 
@@ -18,3 +22,20 @@ def test_paths_are_parsed_once_a_file(spark, make_trips, tmp_path):
     steps = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
     below = [step for step in steps[1 + next(i for i, step in enumerate(steps) if "Aggregate" in step) :] if "Relation" not in step]
     assert below and not any(re.search("regexp_extract|fare_amount", step) for step in below)  # nor is any column of the rows read
+
+
+def test_compaction_moves_no_rows_between_tasks(spark, make_trips, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    for number in range(4):
+        landing.land_batch(processing.derive_v1(make_trips(*[at(1 + number, month=m) for m in (3, 4, 5)])), number, out)
+    tables = publish.Publication(spark, out)
+    groups = [[f"pickup_year=2023/pickup_month={m}/batch={b}" for b in range(3)] for m in (3, 4, 5)]
+    rows = tables.read_apart("trips", groups, 2)
+    months = rows.select("pickup_month", F.spark_partition_id().alias("task")).distinct().groupBy("task").count()
+    assert rows.count() == 9 and months.where("count > 1").count() == 0  # tasks of one month each
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    spread = []
+    real = publish.write_partitioned
+    monkeypatch.setattr(publish, "write_partitioned", lambda *args, **options: (spread.append(options["spread"]), real(*args, **options)))
+    assert landing.compact_batches(spark, out) == 3 and spread == [False]
+    assert tables.read("trips").count() == 12

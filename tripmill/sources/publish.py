@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmill.sources.tables import union_tables
 from tripmill.sources.writers import observed, write_partitioned
 
 MANIFEST = (
@@ -80,15 +81,17 @@ class Publication:
         partition: Sequence[str],
         cluster: Sequence[str] = (),
         measures: Mapping[str, Column] | None = None,
+        spread: bool = True,
     ) -> Staged:
         """Store a table of a run and count its rows, and any ``measures``, in the same job.
 
         Staging again under the same run id replaces what the run stored before.
+        Without ``spread`` rows are not shuffled: they lie by partition value already.
         """
         seen, measures = Observation(f"{table}-{run_id}"), {"rows": F.count(F.lit(1)), **(measures or {})}
         staged = Staged(table, run_id, tuple(partition), df.schema, {})
         counted = df.observe(seen, *[column.alias(name) for name, column in measures.items()])
-        write_partitioned(counted, f"{self.root}/{staged.folder}", partition, cluster, replace="all")
+        write_partitioned(counted, f"{self.root}/{staged.folder}", partition, cluster, replace="all", spread=spread)
         staged.observed.update(observed(seen, df, measures))
         if staged.observed["rows"] != self.staged(staged).count():
             # a task that ran again after a lost executor counts its rows again
@@ -139,12 +142,30 @@ class Publication:
 
     def read(self, table: str, parts: Sequence[str] | None = None) -> DataFrame:
         """The published rows of a table, or of some of its parts, with the columns of the newest run."""
+        schema, stored = self._stored(table)
+        return self._rows(table, schema, [path for part, (path, _) in stored.items() if path and (parts is None or part in parts)])
+
+    def read_apart(self, table: str, groups: Sequence[Sequence[str]], rows_per_task: int) -> DataFrame:
+        """The rows of groups of parts, each group in tasks of its own that read about ``rows_per_task`` rows; nothing is shuffled."""
+        schema, stored = self._stored(table)
+        frames = []
+        for group in groups:
+            held = [stored[part] for part in group if stored[part][0]]
+            tasks = -(-sum(rows for _, rows in held) // rows_per_task)
+            # two at least: frames of a single task each would be united in a single task
+            frames.append(self._rows(table, schema, [path for path, _ in held]).coalesce(max(2, tasks)))
+        return union_tables(frames)
+
+    def _stored(self, table: str) -> tuple[T.StructType, dict[str, tuple[str | None, int]]]:
+        """The columns of the newest run, and folder (None: emptied) and rows of each part."""
         own = self.live().where(F.col("table_name") == table)
-        rows = own.select("part", "folder", "version", "schema").collect()  # one row per part
+        rows = own.select("part", "folder", "version", "schema", "rows").collect()  # one row per part
         if not rows:
             raise ValueError(f"nothing is published as {table} below {self.root}")
         schema = T.StructType.fromJson(_json(max(rows, key=lambda r: r["version"])["schema"]))
-        paths = [f"{self.root}/{r['folder']}/{r['part']}" for r in rows if r["folder"] and (parts is None or r["part"] in parts)]
+        return schema, {r["part"]: (r["folder"] and f"{self.root}/{r['folder']}/{r['part']}", r["rows"]) for r in rows}
+
+    def _rows(self, table: str, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}").parquet(*paths).select(*schema.fieldNames())

@@ -51,6 +51,8 @@ def stream_land_files(
 
 
 LANDED_PARTITION = (*MONTH_PARTITION, "batch")
+# Rows that a task of a compaction reads and writes.
+COMPACT_ROWS = 500_000
 
 
 def stream_land_batches(
@@ -58,13 +60,17 @@ def stream_land_batches(
 ) -> StreamingQuery:
     """Land a backlog in batches of about ``max_bytes`` of files each; readers follow a manifest (:class:`Publication`).
 
-    A batch is rebalanced by month before it is written, so many small files become
-    few, and published in one step. Its rows stand under its own number: a batch
+    A batch is rebalanced by pickup month before columns are derived (after it, for
+    files without raw pickup times), so many small files become few, and published
+    in one step. Its rows stand under its own number: a batch
     that runs again after a failure replaces what it had stored, and adds nothing.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        land_batch(derive(batch), batch_id, out)
+        raw = "tpep_pickup_datetime" in batch.columns
+        if raw:
+            batch = batch.withColumn("_month", F.year("tpep_pickup_datetime") * 12 + F.month("tpep_pickup_datetime")).hint("rebalance", "_month").drop("_month")
+        land_batch(derive(batch), batch_id, out, spread=not raw)
 
     return (
         spark.readStream.schema(schema)
@@ -78,10 +84,10 @@ def stream_land_batches(
     )
 
 
-def land_batch(rows: DataFrame, batch_id: int, out: str) -> int:
-    """Publish the rows of one batch under its number; returns the rows."""
+def land_batch(rows: DataFrame, batch_id: int, out: str, spread: bool = True) -> int:
+    """Publish the rows of one batch under its number; returns the rows. Without ``spread`` they lie by month already."""
     tables = Publication(rows.sparkSession, out)
-    staged = tables.stage(rows.withColumn("batch", F.lit(batch_id)), "trips", f"batch{batch_id}", LANDED_PARTITION)
+    staged = tables.stage(rows.withColumn("batch", F.lit(batch_id)), "trips", f"batch{batch_id}", LANDED_PARTITION, spread=spread)
     tables.publish([staged], [])
     return staged.observed["rows"]
 
@@ -90,7 +96,8 @@ def compact_batches(spark: SparkSession, out: str, least: int = 2) -> int:
     """Rewrite each month that lies in ``least`` or more batches as one; returns the months rewritten.
 
     The newest batch is left out, as it may run again. Readers see the old parts or
-    the new one: both change with one publication.
+    the new one: both change with one publication. Parts lie by month, so tasks of
+    one month each read and write them and no row is shuffled.
     """
     tables = Publication(spark, out)
     parts = tables.live().where((F.col("table_name") == "trips") & F.col("folder").isNotNull())
@@ -102,7 +109,8 @@ def compact_batches(spark: SparkSession, out: str, least: int = 2) -> int:
         return 0
     old = [part for row in chosen for part in row["parts"]]
     last = max(row["last"] for row in chosen)
-    staged = tables.stage(tables.read("trips", old).withColumn("batch", F.lit(last).cast("int")), "trips", f"compact{last}-{new_run_id()}", LANDED_PARTITION)
+    rows = tables.read_apart("trips", [row["parts"] for row in chosen], COMPACT_ROWS).withColumn("batch", F.lit(last).cast("int"))
+    staged = tables.stage(rows, "trips", f"compact{last}-{new_run_id()}", LANDED_PARTITION, spread=False)
     tables.publish([staged], old)
     return len(chosen)
 
