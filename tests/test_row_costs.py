@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.test_flows import at, one_file
 from tripmill.plans import processing
-from tripmill.sources import publish
+from tripmill.sources import files, publish, writers
 from tripmill.streaming import landing
 
 
@@ -39,3 +39,20 @@ def test_compaction_moves_no_rows_between_tasks(spark, make_trips, tmp_path, mon
     monkeypatch.setattr(publish, "write_partitioned", lambda *args, **options: (spread.append(options["spread"]), real(*args, **options)))
     assert landing.compact_batches(spark, out) == 3 and spread == [False]
     assert tables.read("trips").count() == 12
+
+
+def test_delivered_months_are_stored_where_they_are_read(spark, make_trips, tmp_path, monkeypatch):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    months = {"file_year": F.year("tpep_pickup_datetime"), "file_month": F.month("tpep_pickup_datetime")}
+    trips = make_trips(*[at(day, month=m) for m in (3, 4, 5) for day in range(1, 6)])
+    writers.write_partitioned(trips.withColumns(months), root, processing.FILE_MONTH)
+    raw = files.scan_deliveries(spark, root, keep=("trip_id",), task_bytes=1)
+    where = raw.select("file_month", F.spark_partition_id().alias("task")).distinct().groupBy("task").count()
+    assert where.where("count > 1").count() == 0 and raw.rdd.getNumPartitions() > 1
+    whole = files.scan_deliveries(spark, root, keep=("trip_id",))
+    assert raw.columns == whole.columns and raw.count() == 15 and raw.exceptAll(whole).count() == 0
+    spread = []
+    real = publish.write_partitioned
+    monkeypatch.setattr(publish, "write_partitioned", lambda *args, **options: (spread.append(options["spread"]), real(*args, **options)))
+    run = processing.process_v2_months(spark, root, out)
+    assert spread == [False] and run.metrics["record_count"] == run.metrics["rows_read"] == run.read("analytics").count() == 15
