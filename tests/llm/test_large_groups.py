@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from tripmill.llm import suffix_dedup
+from tripmill.llm import jaccard_join, suffix_dedup
 
 
 def prose(rng: random.Random, words: int) -> str:
@@ -35,3 +35,27 @@ def test_a_pattern_within_a_text_makes_few_pieces(spark, monkeypatch):
         spans = suffix_dedup.merged_spans([(p, p + 400) for p in range(len(text) - 399) if windows[text[p : p + 400]] > 1])
         assert found[i] == (sum(high - low for low, high in spans), len(spans)) and spans
     assert 0 < sum(frame.count() for frame in frames["hot-pieces"]) < 300
+
+
+def test_a_group_of_near_copies_verifies_few_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    words = prose(rng, 150).split()
+    rows = []
+    for i in range(300):
+        own = list(words)
+        for at in rng.sample(range(150), rng.choice((1, 2, 2))):
+            own[at] = f"own{i}"
+        rows.append((i, " ".join(own)))
+    pairs, verified = [], jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda chosen, texts: pairs.append(chosen.count()) or verified(chosen, texts))
+    found = {r.doc_id: r.component_id for r in jaccard_join.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    sets = {i: {tuple(t.split()[p : p + 5]) for p in range(146)} for i, t in rows}
+    component = {i: i for i, _ in rows}
+    for i in component:
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if 100 * shared >= 80 * (len(sets[i] | sets[j])) and component[i] != component[j]:
+                low, high = sorted((component[i], component[j]))
+                component = {k: low if c == high else c for k, c in component.items()}
+    assert found == component
+    assert sum(pairs) < 8 * len(rows)
