@@ -39,6 +39,8 @@ MARK = "▁"
 KEPT_BYTES = 96 << 20
 #: Pairs of pieces kept per worker; a full store is emptied and fills again.
 KEPT_PAIRS = 500_000
+#: Steps of the automaton that follow its fallbacks, kept per worker in the same way.
+KEPT_STEPS = 300_000
 WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
@@ -53,6 +55,7 @@ class Segmenter:
         self.unknown = len(scores)
         self.suffixes = Suffixes([[*map(ord, name)] for name in scores])
         self.pairs: dict[int, bool] = {}
+        self.steps: dict[int, int] = {}
         self.parts: dict[str, tuple[str, str]] = {}
         self.word = ""
         # forward states by prefix: (number of the last piece, score and pieces of the prefix, state of the automaton)
@@ -101,14 +104,18 @@ class Segmenter:
                 break
             shared += 1
         stack, pairs, sizes, worth, unknown = self.stack, self.pairs, self.sizes, self.worth, self.unknown
-        goto, step, ends = self.suffixes.goto, self.suffixes.step, self.suffixes.ends
+        goto, steps, ends = self.suffixes.goto.get, self.steps.get, self.suffixes.ends
         del stack[shared + 1 :]
         self.reused += shared
         self.computed += len(word) - shared
         state = stack[shared][3]
         for end in range(shared + 1, len(word) + 1):
-            symbol, best = ord(word[end - 1]), None
-            state = goto.get(state << 21 | symbol) or step(state, symbol)
+            key, best = state << 21 | ord(word[end - 1]), None
+            state = goto(key)
+            if state is None:
+                state = steps(key)
+                if state is None:
+                    state = self._fall(key)
             found = ends[state]
             if not found or sizes[found[-1]] > 1:
                 found = (*found, unknown)
@@ -138,6 +145,13 @@ class Segmenter:
             end -= sizes[pieces[-1]]
         return pieces[::-1]
 
+    def _fall(self, key: int) -> int:
+        """The automaton's step for a state and a symbol that it has to fall back for."""
+        if len(self.steps) >= KEPT_STEPS:
+            self.steps.clear()
+        found = self.steps[key] = self.suffixes.step(key >> 21, key & 0x1FFFFF)
+        return found
+
     def segment(self, word: str) -> list[str]:
         """Pieces of a word as text."""
         pieces, end = [], 0
@@ -178,16 +192,18 @@ class PieceCoder:
         store.turn()
         marked = [WORD.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
         coded = list(map(store.find, marked))
-        partly = [i for i, own in enumerate(coded) if None in own]
-        for word in sorted(store.missing(w for i in partly for w, ids in zip(marked[i], coded[i]) if ids is None)):
+        gaps = [(own, words, [at for at, ids in enumerate(own) if ids is None]) for own, words in zip(coded, marked) if None in own]
+        for word in sorted(store.missing(words[at] for _, words, places in gaps for at in places)):
             pieces = self.segmenter.path(word)
             if unknown in pieces:
                 ids = [i for piece in self.segmenter.segment(word) for i in self._ids_of(piece)]
                 store.keep(word, b"".join(i.to_bytes(4, "little") for i in ids))
             else:
                 store.keep(word, b"".join([codes[piece] for piece in pieces]))
-        for i in partly:
-            coded[i] = store.find(marked[i])
+        young = store.young
+        for own, words, places in gaps:
+            for at in places:
+                own[at] = young[words[at]]
         return [np.frombuffer(b"".join(own), "<u4") for own in coded]
 
     def _ids_of(self, piece: str) -> list[int]:
