@@ -1,10 +1,13 @@
-"""Rows made for very large groups."""
+"""Rows made for very large groups, and passages that the pipeline cuts."""
 
 from __future__ import annotations
 
 import random
 from collections import Counter
 
+import corpus_pipeline
+from conftest import SMALL
+
 from tripmill.llm import jaccard_join, suffix_dedup
 
 
@@ -59,3 +62,16 @@ def test_a_group_of_near_copies_verifies_few_pairs(spark, monkeypatch):
                 component = {k: low if c == high else c for k, c in component.items()}
     assert found == component
     assert sum(pairs) < 8 * len(rows)
+
+
+def test_the_pipeline_cuts_passages_of_over_fifty_words(spark):
+    rng = random.Random(6)
+    passages = [" ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 6))) for _ in range(n)) for n in (52, 55, 59)]
+    assert all(256 < len(p) < 400 and len(p.split()) > 50 for p in passages)
+    rows = [(i, f"{prose(rng, 80)} {i}{passages[i % 3]}{i} {prose(rng, 80)}") for i in range(9)]
+    rows += [(20 + i, prose(rng, 150)) for i in range(4)]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    cut = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.cut_repeats(spark, docs, SMALL).collect()}
+    for i, text in rows:
+        wanted = text.replace(passages[i % 3], "") if 3 <= i < 9 else text
+        assert cut[i] == (wanted, len(wanted))
