@@ -64,6 +64,48 @@ def test_a_group_of_near_copies_verifies_few_pairs(spark, monkeypatch):
     assert sum(pairs) < 8 * len(rows)
 
 
+def test_a_passage_spread_over_tasks_makes_no_long_lists(spark, monkeypatch):
+    frames = stored_rows(jaccard_join, monkeypatch)
+    passage = prose(random.Random(8), 60)
+    rows = [(i, f"{prose(random.Random(100 + i), 160)} {passage}") for i in range(200)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(3)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 100), "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in jaccard_join.near_groups(docs).collect()}
+    assert found == {i: i % 1000 for i, _ in rows}
+    assert frames["long-lists"][0].count() < 20
+
+
+def test_pairs_of_a_group_are_met_about_once(spark, monkeypatch):
+    rng = random.Random(9)
+    words = prose(rng, 150).split()
+    rows = []
+    for i in range(150):
+        own = list(words)
+        for at in rng.sample(range(150), rng.choice((2, 2, 3))):
+            own[at] = f"own{i}"
+        rows.append((i, " ".join(own)))
+    kept, met_across = [], jaccard_join._met_across
+    monkeypatch.setattr(jaccard_join, "_met_across", lambda *frames: kept.append((frames, met_across(*frames))) or kept[-1][1])
+    monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
+    jaccard_join.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    (mixed, _, texts), met = kept[0]
+    texts = {r.cid: r for r in texts.collect()}
+    lists: dict[int, list] = {}
+    for r in mixed.collect():
+        lists.setdefault(r.token, []).append(r)
+    wanted = Counter()
+    for members in lists.values():
+        for n, x in enumerate(members):
+            for y in members[:n]:
+                left, right = texts[x.cid], texts[y.cid]
+                differ = sum(((left[f"m{i}"] ^ right[f"m{i}"]) & (2**64 - 1)).bit_count() for i in range(jaccard_join.MARKS))
+                if x.component != y.component and 9 * differ <= left["size"] + right["size"] and 5 * min(left["size"], right["size"]) >= 4 * max(left["size"], right["size"]):
+                    wanted[min(x.cid, y.cid), max(x.cid, y.cid)] += 1
+    rows = [(r.a, r.b) for r in met.collect()]
+    assert set(rows) == set(wanted) and len(wanted) > 100
+    assert sum(wanted.values()) > 10 * len(wanted) and len(rows) < 2 * len(wanted)
+
+
 def test_the_pipeline_cuts_passages_of_over_fifty_words(spark):
     rng = random.Random(6)
     passages = [" ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 6))) for _ in range(n)) for n in (52, 55, 59)]
