@@ -6,7 +6,8 @@ import re
 from pyspark.sql import functions as F
 
 from tests.test_flows import at, one_file
-from tripmill.plans import processing
+from tripmill.operators import sizing, zones
+from tripmill.plans import processing, registered
 from tripmill.sources import files, publish, writers
 from tripmill.streaming import landing
 
@@ -56,3 +57,51 @@ def test_delivered_months_are_stored_where_they_are_read(spark, make_trips, tmp_
     monkeypatch.setattr(publish, "write_partitioned", lambda *args, **options: (spread.append(options["spread"]), real(*args, **options)))
     run = processing.process_v2_months(spark, root, out)
     assert spread == [False] and run.metrics["record_count"] == run.metrics["rows_read"] == run.read("analytics").count() == 15
+
+
+def _shuffles(frame):
+    """Steps below a frame that shuffle its rows."""
+    return re.findall("REBALANCE|SortMergeJoin|ShuffledHashJoin", frame._jdf.queryExecution().executedPlan().toString())
+
+
+def test_flows_over_delivered_months_store_rows_where_they_are_read(spark, make_trips, tmp_path, monkeypatch):
+    root, lookup = str(tmp_path / "in"), tmp_path / "zones.csv"
+    months = {"file_year": F.year("tpep_pickup_datetime"), "file_month": F.month("tpep_pickup_datetime")}
+    trips = make_trips(*[{**at(day, month=m), "trip_distance": float(day), "total_amount": 10.0 + day} for m in (3, 4, 5) for day in range(1, 6)])
+    writers.write_partitioned(trips.withColumns(months), root, processing.FILE_MONTH)
+    lookup.write_text("LocationID,Borough,Zone\n1,North,A\n2,South,B\n")
+    spread, shuffled = [], []
+    real = publish.write_partitioned
+
+    def watched(df, path, *args, **options):
+        if "enriched" in path:
+            spread.append(options["spread"])
+            shuffled.append(_shuffles(df))
+        real(df, path, *args, **options)
+
+    monkeypatch.setattr(publish, "write_partitioned", watched)
+    run = processing.process_v4_months(spark, root, str(lookup), str(tmp_path / "out"))
+    stored = {(r.file_month, r["count"]) for r in run.read("enriched").groupBy("file_month").count().collect()}
+    assert spread == [False] and shuffled == [[]] and stored == {(3, 4), (4, 4), (5, 4)}  # the dearest trip of each month is not below the 99th percentile
+    monkeypatch.setattr(zones, "fits_broadcast", lambda _: False)
+    again = processing.process_v4_months(spark, root, str(lookup), str(tmp_path / "again"))
+    assert spread == [False, True]  # joins that shuffle leave rows anywhere
+    assert again.read("enriched").exceptAll(run.read("enriched")).count() == 0 and again.metrics["record_count"] == 12
+
+
+def test_a_lookup_is_held_by_its_bytes(spark):
+    lookup = spark.range(300).selectExpr("CAST(id AS int) AS LocationID", "'North' AS Borough", "IF(id = 0, NULL, repeat('z', 20)) AS Zone")
+    size = sizing.held_bytes(lookup)
+    assert 300 * 64 < size < 300 * 200
+    assert sizing.fits_broadcast(lookup, 300, 0) and sizing.fits_broadcast(lookup, 299, size) and not sizing.fits_broadcast(lookup, 299, size - 1)
+    assert sizing.fits_broadcast(lookup.limit(0), 0, 0)
+
+
+def test_delivered_trips_are_dealt_as_order_lines(spark, small):
+    tables = registered.Tables(spark, small)
+    dealt, plain = tables.raw_by_month(), tables.raw()
+    assert dealt.schema == plain.schema and dealt.exceptAll(plain).count() == plain.exceptAll(dealt).count() == 0
+    steps = dealt.where(F.xxhash64("trip_id") % 2 == 0)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at_shuffle = next(i for i, step in enumerate(steps) if "RebalancePartitions" in step)
+    assert "concat_ws" in steps[at_shuffle - 1] and "concat_ws" not in steps[at_shuffle + 1]  # trips are made above it
+    assert "Filter" not in "".join(steps[:at_shuffle]) and any("xxhash64" in step for step in steps[at_shuffle:])  # and left out below it
