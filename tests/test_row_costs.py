@@ -105,3 +105,17 @@ def test_delivered_trips_are_dealt_as_order_lines(spark, small):
     at_shuffle = next(i for i, step in enumerate(steps) if "RebalancePartitions" in step)
     assert "concat_ws" in steps[at_shuffle - 1] and "concat_ws" not in steps[at_shuffle + 1]  # trips are made above it
     assert "Filter" not in "".join(steps[:at_shuffle]) and any("xxhash64" in step for step in steps[at_shuffle:])  # and left out below it
+
+
+def test_replaced_months_are_stored_by_the_tasks_that_read_them(spark, make_trips, tmp_path, monkeypatch):
+    source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    for month in (2, 3):
+        os.makedirs(f"{source}/file_year=2023/file_month={month}")
+        for name, day in (("part-00000-a.parquet", 1), ("part-00001-a.parquet", 3)):
+            one_file(make_trips(at(day, month=month), at(day + 1, month=month)), f"{source}/file_year=2023/file_month={month}", name)
+    shuffled, real = [], landing.write_partitioned
+    monkeypatch.setattr(landing, "write_partitioned", lambda df, *args, **options: (shuffled.append(_shuffles(df)), real(df, *args, **options)))
+    landing.stream_replace_months(spark, source, make_trips(at(1)).schema, out, log).awaitTermination()
+    stored = spark.read.parquet(out)
+    assert shuffled == [[]] and {(r.file_month, r["count"]) for r in stored.groupBy("file_month").count().collect()} == {(2, 4), (3, 4)}
+    assert len(stored.inputFiles()) <= 4  # no more files than were delivered

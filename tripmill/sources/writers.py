@@ -30,6 +30,7 @@ def write_partitioned(
     replace: str = "partitions",
     max_records_per_file: int = 20_000_000,
     spread: bool = True,
+    compression: str | None = None,
 ) -> None:
     """Parquet folders per partition value.
 
@@ -41,6 +42,7 @@ def write_partitioned(
     data neither lands in a single task nor scatters into tiny files.
     ``cluster`` orders rows within a file so row groups can be skipped. Without
     ``spread`` rows are written where they are, for rows that lie by partition value already.
+    ``compression`` names a codec of the files instead of the session's.
     """
     partition, cluster = list(partition), list(cluster)
     if spread:
@@ -50,6 +52,8 @@ def write_partitioned(
     writer = (
         df.write.mode(mode).partitionBy(*partition).option("maxRecordsPerFile", max_records_per_file)
     )
+    if compression:
+        writer = writer.option("compression", compression)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "static" if replace == "all" else "dynamic")
     writer.parquet(path)

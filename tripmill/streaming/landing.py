@@ -192,7 +192,8 @@ def stream_replace_months(
     ``-deliveries``): more files of it are added in later batches, a newer one
     replaces it, an older one is left out. Deliveries are chosen before rows are
     cleaned, so one that cleaning empties still empties its month. Rows are stored
-    by month and ``delivery_batch``, and a batch decides from the ledger of the
+    by month and ``delivery_batch``, by the tasks that read their files (no more files than
+    were delivered, and without a shuffle), and a batch decides from the ledger of the
     batches before it, so repeating it is harmless. Rows of files that tell no
     month are stored as they are below ``rejected`` (default: ``out`` with
     ``-rejected``), by batch.
@@ -215,8 +216,9 @@ def stream_replace_months(
         last = before.groupBy(*month).agg(F.max_by(F.struct("delivery", "newest"), "delivery_batch").alias("_last"))
         chosen = settle(latest_delivery(arrived, last.select(*month, "_last.*")), "deliveries")
         wanted = settle(arrived.join(chosen.select(*month, "delivery"), [*month, "delivery"], "left_semi").select("_path", *month), "wanted-files")
-        rows = batch.drop("_delivered").join(wanted, "_path").drop("_path").hint("rebalance", *month)  # before derived columns make rows wide
-        write_partitioned(derive(rows).withColumn("delivery_batch", F.lit(batch_id)), out, [*month, "delivery_batch"], spread=False)
+        # a file holds rows of one month, so its rows are stored by the tasks that read them
+        rows = batch.drop("_delivered").join(wanted, "_path").drop("_path")
+        write_partitioned(derive(rows).withColumn("delivery_batch", F.lit(batch_id)), out, [*month, "delivery_batch"], spread=False, compression="zstd")
         for year, number in chosen.where(~F.col("held")).select(*month).collect():  # one row per month
             _keep_only(own, f"{out}/file_year={year}/file_month={number}", f"delivery_batch={batch_id}")
         chosen.drop("held").write.mode("overwrite").parquet(f"{ledger}/delivery_batch={batch_id}")
