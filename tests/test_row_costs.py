@@ -107,6 +107,13 @@ def test_delivered_trips_are_dealt_as_order_lines(spark, small):
     assert "Filter" not in "".join(steps[:at_shuffle]) and any("xxhash64" in step for step in steps[at_shuffle:])  # and left out below it
 
 
+def test_the_run_of_flow_metrics_stores_months_where_they_are_read(spark, small, monkeypatch):
+    spread, real = [], publish.write_partitioned
+    monkeypatch.setattr(publish, "write_partitioned", lambda *args, **options: (spread.append(options["spread"]), real(*args, **options)))
+    registered.builders()["flow_run_metrics"](registered.Tables(spark, small))
+    assert spread == [False]
+
+
 def test_replaced_months_are_stored_by_the_tasks_that_read_them(spark, make_trips, tmp_path, monkeypatch):
     source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
     for month in (2, 3):
