@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -89,3 +90,43 @@ def test_a_worker_keeps_one_model():
     assert common.kept("a", lambda: 4) == 4
     assert packing.encoder is not None
     common.release()
+
+
+def test_the_pipeline_learns_toxicity_from_every_labelled_document(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    words = {1: "vile grond", 0: "calm river"}
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 == 1][:120]
+    rows = [(i, f"{words[i % 4 == 0]} word{i % 7}" + (" zorblax" if i in held and i % 4 == 0 else "")) for i in range(400)]
+    labels = [(i, int(i % 4 == 0)) for i in range(300)] + [(0, 1), (None, 1), (301, None)]
+    spark.createDataFrame([*rows, (None, "vile")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    fitted, real = [], toxicity.settle
+
+    def counted(frame, purpose):
+        stored = real(frame, purpose)
+        if purpose == "labelled":
+            fitted.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(toxicity, "settle", counted)
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 10)
+    docs = spark.createDataFrame([(i, text, "en", "web", len(text)) for i, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.reject_toxic(spark, docs, str(tmp_path)).collect()}
+    assert fitted == [300]  # all labelled documents, held-out ones too
+    assert kept == {i for i, _ in rows if i % 4}
+    assert "zorblax " in toxicity.learn_from_all(spark, str(tmp_path)).weights  # a word of held-out documents alone
+
+
+def test_the_curve_of_all_points_is_that_of_collected_ones(spark, monkeypatch):
+    points = [(1, 0.5 * i, 20 * i) for i in range(1, 30)] + [(0, 0.1 * i, 50 + i) for i in range(20)] + [(0, 0.0, i) for i in range(100)]
+    frame = spark.createDataFrame(points, "label int, total double, words long")
+    assert toxicity._fit_all(frame) == pytest.approx(toxicity._fit(points, (1.0, 1.0)), abs=1e-6)
+    falling = [(label, total, 10 + int(90 * total)) for label, total, _ in points if label] + [(0, t, 100_000) for t in (1.0, 5.0, 14.0)] + [(0, 0.0, 5)]
+    curve = toxicity._fit_all(spark.createDataFrame(falling, "label int, total double, words long"))
+    assert min(curve[1:]) >= 0
+    # patterns are counted alike however many a task holds
+    rows = spark.createDataFrame([("vile grond bark", 1)] * 4 + [("calm river", 0)] * 9, "text string, toxic int")
+    whole = toxicity.learn(rows, fit_rows=None)
+    monkeypatch.setattr(toxicity, "HELD_PATTERNS", 2)
+    assert whole.weights and toxicity.learn(rows, fit_rows=None) == whole

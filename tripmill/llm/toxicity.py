@@ -20,7 +20,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import map_rows, release, require, table, third
 from tripmill.session import settle
 
-#: Rows of each class that the model is fitted on, about: the only sampled step.
+#: Rows of each class that the query's model is fitted on, about: the only sampled step.
 FIT_ROWS = 4000
 #: Most patterns and exception phrases of a learned lexicon.
 LEXICON_SIZE = 4000
@@ -41,6 +41,8 @@ LEAST_WEIGHT = 2.5
 LEAST_ROWS = 3
 BEGINNINGS = (4, 5, 6, 8)
 THRESHOLD = 0.7
+#: Patterns that a task counts before it hands their counts on.
+HELD_PATTERNS = 200_000
 
 # fixed values: letters that look like Latin letters, and signs that stand for letters
 HOMOGLYPHS = {
@@ -120,7 +122,10 @@ def _features(total: float, words: int) -> tuple[float, float]:
 
 
 def measure(machine, text: str | None) -> tuple[float, int]:
-    folded = fold(text or "")
+    return _measure(machine, fold(text or ""))
+
+
+def _measure(machine, folded: str) -> tuple[float, int]:
     return sum(_hits(machine, folded).values()) if len(machine) else 0.0, folded.count(" ") - 1
 
 
@@ -164,21 +169,28 @@ def _patterns(folded: str) -> set[str]:
     return {w[:n] for w in words for n in BEGINNINGS if len(w) >= n} | {f"{w} " for w in words if len(w) > 2}
 
 
-def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", key: Column | None = None, fit_rows: int = FIT_ROWS, sizes: dict[int, int] | None = None) -> Lexicon:
-    """A lexicon from labelled rows; at most about ``fit_rows`` rows of each class, chosen by hash of ``key``.
+def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", key: Column | None = None, fit_rows: int | None = FIT_ROWS, sizes: dict[int, int] | None = None) -> Lexicon:
+    """A lexicon from labelled rows; at most about ``fit_rows`` rows of each class, chosen by hash of ``key``, or all rows (None).
 
     ``sizes`` gives the rows of each class if the caller has counted them. The driver receives patterns (bounded by ``LEXICON_SIZE``), phrases
-    (``EXCEPTIONS_SIZE``) and two numbers for each fitted row.
+    (``EXCEPTIONS_SIZE``) and two numbers for each fitted row, or sums alone where all rows are fitted.
     """
     require(labelled, text_col, label_col)
     key = F.xxhash64(key if key is not None else F.col(text_col))
     rows = labelled.where(F.col(label_col).isin(0, 1)).select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), key.alias("_key"))
-    if sizes is None:
-        sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    if not sizes.get(0) or not sizes.get(1):
-        return Lexicon(curve=(-40.0, 0.0, 0.0))
-    share = F.when(F.col("label") == 1, F.lit(fit_rows / sizes[1])).otherwise(F.lit(fit_rows / sizes[0]))
-    sample = settle(rows.where(F.pmod("_key", F.lit(1 << 20)) < share * (1 << 20)).select("text", "label"), "labelled")
+    if fit_rows is not None:
+        if sizes is None:
+            sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+        if not sizes.get(0) or not sizes.get(1):
+            return Lexicon(curve=(-40.0, 0.0, 0.0))
+        share = F.when(F.col("label") == 1, F.lit(fit_rows / sizes[1])).otherwise(F.lit(fit_rows / sizes[0]))
+        rows = rows.where(F.pmod("_key", F.lit(1 << 20)) < share * (1 << 20))
+
+    def folded_rows(source: Iterator[dict]) -> Iterator[dict]:
+        for row in source:
+            yield {"folded": fold(row["text"] or ""), "label": row["label"]}
+
+    sample = settle(map_rows(rows.select("text", "label"), folded_rows, "folded string, label int", lambda row: 64 + len(row["folded"])), "labelled")
     fitted = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     positives, negatives = fitted.get(1, 0), fitted.get(0, 0)
     if not positives or not negatives:
@@ -186,12 +198,19 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
 
     def count_patterns(source: Iterator[dict]) -> Iterator[dict]:
         counts = (Counter(), Counter())
+
+        def counted() -> Iterator[dict]:
+            for pattern in counts[1]:
+                yield {"pattern": pattern, "toxic": counts[1][pattern], "clean": 0}
+            for pattern in counts[0]:
+                yield {"pattern": pattern, "toxic": 0, "clean": counts[0][pattern]}
+            counts[0].clear(), counts[1].clear()
+
         for row in source:
-            counts[row["label"]].update(_patterns(fold(row["text"] or "")))
-        for pattern in counts[1]:
-            yield {"pattern": pattern, "toxic": counts[1][pattern], "clean": 0}
-        for pattern in counts[0]:
-            yield {"pattern": pattern, "toxic": 0, "clean": counts[0][pattern]}
+            counts[row["label"]].update(_patterns(row["folded"]))
+            if len(counts[0]) + len(counts[1]) > HELD_PATTERNS:
+                yield from counted()
+        yield from counted()
 
     weight = F.log((F.col("toxic") + 0.5) / (positives + 1.0)) - F.log((F.col("clean") + 0.5) / (negatives + 1.0))
     chosen = (
@@ -211,7 +230,7 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     def count_phrases(source: Iterator[dict]) -> Iterator[dict]:
         machine, counts = draft.automaton(), (Counter(), Counter())
         for row in source:
-            folded = fold(row["text"] or "")
+            folded = row["folded"]
             phrases = set()
             for start in _hits(machine, folded) if weights else ():
                 end = folded.find(" ", start + 1)
@@ -237,31 +256,84 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     def measured(source: Iterator[dict]) -> Iterator[dict]:
         machine = final.automaton()
         for row in source:
-            total, words = measure(machine, row["text"])
+            total, words = _measure(machine, row["folded"])
             yield {"label": row["label"], "total": total, "words": words}
 
-    points = map_rows(sample, measured, "label int, total double, words bigint").collect()  # bounded by fit_rows
+    points = map_rows(sample, measured, "label int, total double, words bigint")
+    if fit_rows is None:
+        return Lexicon(final.weights, final.exceptions, _fit_all(points))
+    points = points.collect()  # bounded by fit_rows
     prior = (sizes[1] / positives, sizes[0] / negatives)
     return Lexicon(final.weights, final.exceptions, _fit([(p["label"], p["total"], p["words"]) for p in points], prior))
 
 
+def _newton(sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], free: tuple[int, ...] = (0, 1, 2)) -> np.ndarray:
+    """Weighted logistic regression with a small ridge, by Newton steps; coefficients that are not ``free`` stay 0.
+
+    ``sums`` gives, for coefficients, the second and first derivatives over the points.
+    """
+    own = np.array(free)
+    ridge, b = np.array([1e-3, 0.3, 0.3]), np.zeros(3)
+    b[own] = np.array([-3.0, 0.5, 0.5])[own]
+    for _ in range(50):
+        second, first = sums(b)
+        step = np.linalg.solve((second + np.diag(ridge))[np.ix_(own, own)], (first - ridge * b)[own])
+        b[own] += np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-6:
+            break
+    return b
+
+
 def _fit(points: list[tuple[int, float, int]], weigh: tuple[float, float]) -> tuple[float, float, float]:
-    """Weighted logistic regression with a small ridge, by Newton steps; rising in both features."""
+    """The curve of collected points, rising in both features."""
     x = np.array([(1.0, *_features(total, words)) for _, total, words in points])
     y = np.array([label for label, _, _ in points], float)
     w = np.where(y == 1, *weigh) / (sum(weigh) / 2)
-    ridge, b = np.diag([1e-3, 0.3, 0.3]), np.array([-3.0, 0.5, 0.5])
-    for _ in range(50):
+
+    def sums(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (w * p * (1 - p))[:, None]) + ridge, x.T @ (w * (y - p)) - ridge @ b)
-        b = b + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
-            break
+        return x.T @ (x * (w * p * (1 - p))[:, None]), x.T @ (w * (y - p))
+
+    b = _newton(sums)
     return float(b[0]), max(0.0, float(b[1])), max(0.0, float(b[2]))
 
 
+def _fit_all(points: DataFrame) -> tuple[float, float, float]:
+    """The curve of all points (label, total, words), which stay where they are: each step gets nine sums.
+
+    Where a feature would fall, it is left out and the others are fitted without it.
+    """
+    total, words = F.col("total"), F.col("words")
+    features = (F.lit(1.0), F.log1p(total), F.log1p(total / F.sqrt(1 + words / 1000)))
+    # texts without a match are one point
+    stored = settle(points.select("label", *[x.alias(f"x{i}") for i, x in enumerate(features)]).groupBy("label", "x0", "x1", "x2").count(), "points")
+    x, n = [F.col(f"x{i}") for i in range(3)], F.col("count")
+
+    def sums(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        linear = sum((x[i] * F.lit(float(b[i])) for i in range(1, 3)), x[0] * F.lit(float(b[0])))
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), linear))))
+        pairs = [(i, j) for i in range(3) for j in range(i, 3)]
+        found = stored.agg(*[F.sum(n * p * (1 - p) * x[i] * x[j]) for i, j in pairs], *[F.sum(n * (F.col("label") - p) * x[i]) for i in range(3)]).first()
+        second = np.zeros((3, 3))
+        for (i, j), value in zip(pairs, found):
+            second[i, j] = second[j, i] = value
+        return second, np.array(found[len(pairs) :])
+
+    free = (0, 1, 2)
+    while (b := _newton(sums, free))[1:].min() < 0:
+        free = tuple(i for i in free if i != 1 + b[1:].argmin())
+    return tuple(float(value) for value in b)
+
+
+def learn_from_all(spark: SparkSession, sf_dir: str) -> Lexicon:
+    """The lexicon of a folder from every labelled document; nothing is sampled or held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct()
+    return learn(documents.join(labels, "doc_id"), fit_rows=None)
+
+
 def learn_from_tables(spark: SparkSession, sf_dir: str) -> Lexicon:
-    """The lexicon of a folder: labelled documents outside the held-out third."""
+    """The lexicon of a folder: a sample of the labelled documents outside the held-out third."""
     documents = table(spark, sf_dir, "documents").where(third() != 1).select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
     # ids are joined and chosen first, so that only the texts of the fitted rows leave their task
