@@ -329,7 +329,7 @@ def learn_from_all(spark: SparkSession, sf_dir: str) -> Lexicon:
     """The lexicon of a folder from every labelled document; nothing is sampled or held out."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct()
-    # stored, so that their real size picks the join: texts are shuffled only where the labels are too many to broadcast
+    # stored, so that their real size picks the join
     return learn(documents.join(settle(labels, "labels"), "doc_id"), fit_rows=None)
 
 

@@ -192,8 +192,8 @@ def stream_replace_months(
     ``-deliveries``): more files of it are added in later batches, a newer one
     replaces it, an older one is left out. Deliveries are chosen before rows are
     cleaned, so one that cleaning empties still empties its month. Rows are stored
-    by month and ``delivery_batch``, by the tasks that read their files (no more files than
-    were delivered, and without a shuffle), and a batch decides from the ledger of the
+    by month and ``delivery_batch``, by the tasks that read their files (without a shuffle, in
+    no more files than parts of delivered files are read), and a batch decides from the ledger of the
     batches before it, so repeating it is harmless. Rows of files that tell no
     month are stored as they are below ``rejected`` (default: ``out`` with
     ``-rejected``), by batch.
